@@ -47,32 +47,32 @@ def _lookup_table(vocab: DataFrame, slots: int) -> Column:
     ).scalar()
 
 
-def token_ids(
-    tokens: Column, vocab: DataFrame, slots: int = 4096, max_tokens: int = settings.MAX_TOKENS
-) -> Column:
-    """Start id, ids of the tokens, end id; cut to ``max_tokens`` with these two included."""
-    table = _lookup_table(vocab, slots)
-
-    def id_of(token: Column) -> Column:
-        entries = F.get(table, F.pmod(F.xxhash64(token), F.lit(slots)).cast("int"))
-        return F.coalesce(F.try_element_at(entries, token), F.lit(settings.UNKNOWN_ID))
-
-    body = F.transform(F.slice(tokens, 1, max_tokens - 2), id_of)
-    return F.concat(
-        F.array(F.lit(settings.START_ID)), body, F.array(F.lit(settings.END_ID))
-    )
-
-
 def encode(
     documents: DataFrame,
     vocab: DataFrame,
     id_col: str,
     text_col: str,
     max_tokens: int = settings.MAX_TOKENS,
+    slots: int = 4096,
 ) -> DataFrame:
-    """ID and token ids of each text, not padded: the form to store."""
-    ids = token_ids(text.tokens(F.col(text_col)), vocab, max_tokens=max_tokens)
-    return documents.select(id_col, ids.alias("input_ids"))
+    """ID and token ids of each text, not padded: the form to store.
+
+    A text gives the start id, the ids of its tokens and the end id, and is cut to
+    ``max_tokens`` with these two included. Texts are encoded in place, without a shuffle.
+    """
+    def id_of(token: Column) -> Column:
+        entries = F.get("_vocab", F.pmod(F.xxhash64(token), F.lit(slots)).cast("int"))
+        return F.coalesce(F.try_element_at(entries, token), F.lit(settings.UNKNOWN_ID))
+
+    # Lambdas may use columns but not subqueries, hence the step between.
+    tokens = F.slice(text.tokens(F.col(text_col)), 1, max_tokens - 2)
+    cut = documents.select(id_col, tokens.alias("_tokens"), _lookup_table(vocab, slots).alias("_vocab"))
+    ids = F.concat(
+        F.array(F.lit(settings.START_ID)),
+        F.transform("_tokens", id_of),
+        F.array(F.lit(settings.END_ID)),
+    )
+    return cut.select(id_col, ids.alias("input_ids"))
 
 
 def pad(encoded: DataFrame, longest: Column | int | None = None) -> DataFrame:

@@ -16,8 +16,8 @@ def _as_map(heads: DataFrame) -> Column:
     return heads.agg(F.map_from_entries(F.collect_list(entry)).alias("heads")).scalar()
 
 
-def _output(vector: str, heads: Column, target: str, member: int) -> Column:
-    head = heads[f"{target}:{member}"]
+def _output(vector: str, target: str, member: int) -> Column:
+    head = F.col("_heads")[f"{target}:{member}"]
     return scores.linear_head(F.col(vector), head["weights"], head["bias"])
 
 
@@ -29,11 +29,11 @@ def member_outputs(
     targets: tuple[str, ...] = settings.SCORE_COLUMNS,
 ) -> DataFrame:
     """Add one array column per target, ``<target>_members``, with the raw output of each member."""
-    table = _as_map(heads)
-    return rows.withColumns({
-        f"{target}_members": F.array(*[_output(vector, table, target, m) for m in range(members)])
+    # Lambdas may use columns but not subqueries, hence the step between.
+    return rows.withColumn("_heads", _as_map(heads)).withColumns({
+        f"{target}_members": F.array(*[_output(vector, target, m) for m in range(members)])
         for target in targets
-    })
+    }).drop("_heads")
 
 
 def ensemble_mean(outputs: Column, link: str = "identity") -> Column:
@@ -89,12 +89,11 @@ def score(
     digits: int | None = None,
 ) -> DataFrame:
     """Add the ensemble scores: mean of the members, then clipped to 0..1."""
-    table = _as_map(mean_head(heads))
     added = {}
     for target, name in zip(targets, names):
-        value = scores.clip(_output(vector, table, target, 0))
+        value = scores.clip(_output(vector, target, 0))
         added[name] = F.round(value, digits) if digits is not None else value
-    return rows.withColumns(added)
+    return rows.withColumn("_heads", _as_map(mean_head(heads))).withColumns(added).drop("_heads")
 
 
 def keep_relevant(

@@ -183,8 +183,8 @@ vocab AS (
 _IDS = f"""
 WITH {_VOCAB},
 cut AS (SELECT doc_id, tokens[1:510] AS tokens FROM spoken),
-at AS (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS i FROM cut),
-body AS (SELECT doc_id, list(coalesce(token_id, 1) ORDER BY i) AS ids FROM at LEFT JOIN vocab USING (term) GROUP BY doc_id),
+placed AS (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS i FROM cut),
+body AS (SELECT doc_id, list(coalesce(token_id, 1) ORDER BY i) AS ids FROM placed LEFT JOIN vocab USING (term) GROUP BY doc_id),
 encoded AS (
   SELECT doc_id, list_concat(list_concat([2], coalesce(ids, [])), [3]) AS ids FROM documents LEFT JOIN body USING (doc_id))
 """
