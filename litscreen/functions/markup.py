@@ -7,7 +7,7 @@ closed runs to the end, and tags inside comments, scripts and style sheets do no
 from __future__ import annotations
 
 import json
-from html.entities import html5
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -56,7 +56,7 @@ def decode_characters(text: Column) -> Column:
 
 
 def _named_characters() -> dict[str, str]:
-    return {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
+    return {"apos": "'"} | {name: chr(code) for name, code in name2codepoint.items()}
 
 
 def paragraph_text(element: Column, decode: bool = True) -> Column:

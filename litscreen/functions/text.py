@@ -8,15 +8,17 @@ from pyspark.sql import functions as F
 from litscreen import settings
 
 # The blanks and the characters that make up a word.
-BLANK = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
-BLANK_IN_LINE = r"[ \t\f\x0B\x1C-\x1F\x85\p{Z}]"
+BLANKS = (
+    " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 NOT_WORD = r"[^\p{L}\p{M}\p{N}]+"
 TOKEN = r"[\p{L}\p{M}\p{N}]+|[^\s\x0B\x1C-\x1F\x85\p{Z}\p{L}\p{M}\p{N}]"
 
 
 def strip(text: Column) -> Column:
     """Drop blanks at both ends, line breaks and no-break spaces included."""
-    return F.regexp_replace(text, rf"\A{BLANK}++|{BLANK}++\z", "")
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def folder_name(query: Column, length: int = settings.NAME_LENGTH) -> Column:
@@ -75,12 +77,9 @@ def clean_id(value: Column) -> Column:
 
 
 def one_line(text: Column) -> Column:
-    """Strip the lines, drop the empty ones and join the rest by one space.
-
-    That is the same as writing one space for each run of blanks with a line break in it.
-    """
-    breaks = rf"(?<!{BLANK_IN_LINE}){BLANK_IN_LINE}*+[\r\n]{BLANK}*+"
-    return strip(F.regexp_replace(text, breaks, " "))
+    """Strip the lines, drop the empty ones and join the rest by one space."""
+    lines = F.transform(F.split(text, r"[\r\n]+"), strip)
+    return F.array_join(F.filter(lines, lambda line: line != ""), " ")
 
 
 def words(text: Column) -> Column:

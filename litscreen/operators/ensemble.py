@@ -55,8 +55,9 @@ def train(
 ) -> PipelineModel:
     """Fit all members and return them with their text features as one pipeline.
 
-    The features are made once and kept for all fits. Kept partitions that are lost are
-    made again from the texts.
+    The features are made once and kept for all fits; kept partitions that are lost are made
+    again from the texts. Each fit is one pass over them (normal equations), so ``width`` is
+    limited to 4096.
     """
     features = Pipeline(stages=[
         RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"[^\p{L}\p{M}\p{N}]+"),
@@ -71,7 +72,7 @@ def train(
         member, target = head
         return LinearRegression(
             featuresCol="features", labelCol=target, weightCol=f"weight_{member}",
-            predictionCol=_output(member, target), regParam=0.01, solver="l-bfgs", maxIter=50,
+            predictionCol=_output(member, target), regParam=0.01, solver="normal",
         ).fit(rows)
 
     heads = [(member, target) for member in range(members) for target in targets]

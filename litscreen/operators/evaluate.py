@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from litscreen import settings
 from litscreen.functions import scores
-from litscreen.operators.joins import attach
 
 
 def missing_counts(df: DataFrame) -> DataFrame:
@@ -44,9 +43,9 @@ def add_noise(
     })
 
 
-def join_by_key(left: DataFrame, right: DataFrame, key: str, spread_by: str | None = None) -> DataFrame:
-    """Rows with the columns that another table holds for their key, never by position."""
-    return attach(left, right, key, spread_by)
+def join_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of two tables with the same key, which is unique in both; never by position."""
+    return left.join(right, key)
 
 
 def mse(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:

@@ -2,45 +2,48 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litscreen.functions import markup, text
 
 
+def keep_present(df: DataFrame, value: Column, name: str, empty: bool = True) -> DataFrame:
+    """Add a column and keep the rows that have a value in it, empty texts included or not.
+
+    A row gives none or one row. Written as an explode, because a filter on a computed column
+    is moved below it by the optimizer and then computes it twice.
+    """
+    present = (lambda x: x.isNotNull()) if empty else (lambda x: x != "")
+    return df.select("*", F.explode(F.filter(F.array(value), present)).alias(name))
+
+
 def with_element(pages: DataFrame, name: str, column: str = "element", page: str = "page") -> DataFrame:
-    """Add the first element of that name, NULL where the page has none."""
-    return pages.withColumn(column, markup.first_element(F.col(page), name))
+    """Add the first element of that name and keep the pages that have one."""
+    return keep_present(pages, markup.first_element(F.col(page), name), column)
 
 
 def bodies(decoded: DataFrame) -> DataFrame:
     """Query folder, id and body of each article that has one."""
-    found = with_element(decoded, "body", "body_html").filter(F.col("body_html").isNotNull())
-    return found.select("query_folder", "id", "body_html")
+    return with_element(decoded, "body", "body_html").select("query_folder", "id", "body_html")
 
 
 def abstracts(decoded: DataFrame, name: str = "abstract") -> DataFrame:
     """Query folder, id, text and markup of each abstract; the text may be empty."""
-    found = with_element(decoded, name, "abstract_html").filter(
-        F.col("abstract_html").isNotNull()
-    )
     plain = text.without_quotes(markup.paragraph_text(F.col("abstract_html")))
-    return found.select(
+    return with_element(decoded, name, "abstract_html").select(
         "query_folder", "id", plain.alias("abstract_text"), "abstract_html", "fetched_at"
     )
 
 
-def without_element(decoded: DataFrame, name: str) -> DataFrame:
-    """The articles that lack the element."""
-    return with_element(decoded, name).filter(
-        F.col("element").isNull() & F.col("page").isNotNull()
-    ).select("query_folder", "id")
+def without_element(pages: DataFrame, name: str, page: str = "page") -> DataFrame:
+    """The pages that lack the element: the other side of :func:`with_element`."""
+    return pages.filter(F.col(page).isNotNull() & markup.first_element(F.col(page), name).isNull())
 
 
 def dataset_rows(extracted: DataFrame) -> DataFrame:
     """Abstracts as rows of the data set: on one line, empty ones dropped."""
-    return (
-        extracted.withColumn("Abstract", text.one_line(F.col("abstract_text")))
-        .filter(F.col("Abstract") != "")
-        .select("Abstract", text.clean_id(F.col("id")).alias("ID"), "query_folder", "fetched_at")
+    line = text.one_line(F.col("abstract_text"))
+    return keep_present(extracted, line, "Abstract", empty=False).select(
+        "Abstract", text.clean_id(F.col("id")).alias("ID"), "query_folder", "fetched_at"
     )

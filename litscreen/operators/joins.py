@@ -2,41 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 16
 
 
-def is_small(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 64 << 20) -> bool:
-    """Measure whether a table is small enough to send to every executor.
+def measure(
+    df: DataFrame, max_rows: int = 100_000, extra: Column | None = None, max_bytes: int = 64 << 20
+) -> tuple[bool, object]:
+    """Whether a table is small enough to send to every executor, and one more aggregate of it.
 
     Reads at most ``max_rows + 1`` rows, so the check itself is bounded.
     """
     size = F.sum(F.length(F.to_json(F.struct("*")).cast("binary")))
-    rows, width = df.limit(max_rows + 1).agg(F.count("*"), size).first()
-    return rows <= max_rows and (width or 0) <= max_bytes
+    head = df.limit(max_rows + 1)
+    rows, width, value = head.agg(F.count("*"), size, F.lit(None) if extra is None else extra).first()
+    return rows <= max_rows and (width or 0) <= max_bytes, value
 
 
 def attach(
+    rows: DataFrame, lookup: DataFrame, key: str, spread_by: str, how: str = "inner"
+) -> DataFrame:
+    """Give each row the columns of a stored table with narrow rows for each key.
+
+    A key may have a third of all rows. The lookup is broadcast if it is measured to be
+    small, so that no row moves; if it is not, the hot keys are spread by salts.
+    """
+    if measure(lookup)[0]:
+        return rows.join(F.broadcast(lookup), key, how)
+    return salted_join(rows, lookup, key, spread_by, how)
+
+
+def salted_join(
     rows: DataFrame,
     lookup: DataFrame,
     key: str,
-    spread_by: str | None = None,
+    spread_by: str,
     how: str = "inner",
     salts: int = SALTS,
 ) -> DataFrame:
-    """Give each row the columns of a table that holds one narrow row per key.
+    """A join where the rows of each key are dealt to ``salts`` tasks by the hash of another column.
 
-    The lookup is written out once per salt and the rows are dealt to the salts by the
-    hash of ``spread_by``, so a key with a third of all rows is spread over ``salts`` tasks.
-    Spark broadcasts the lookup by itself where its size lets it.
+    The lookup is written out once per salt; the result is that of the plain join.
     """
-    if spread_by is None:
-        return rows.join(lookup, key, how)
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies, [key, "_salt"], how).drop("_salt")
+    return dealt.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
 
 
 def rest_of(rows: DataFrame, part: DataFrame, key: str) -> DataFrame:

@@ -7,31 +7,42 @@ match whole, and the words of a phrase stand next to each other.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from litscreen import settings
 from litscreen.functions import text
 from litscreen.operators.dedup import first_per_key
-from litscreen.operators.joins import attach, is_small
+from litscreen.operators.joins import attach, measure, salted_join
+
+
+_BITS = 62
 
 
 def prepare_terms(query_terms: DataFrame) -> DataFrame:
     """Terms in the form they are looked up: the phrase, and its longest word as the key.
 
     The longest word is the one that the fewest texts hold, more or less. Terms without a
-    word in them can match nothing and are left out.
+    word in them can match nothing and are left out. The clauses of a query are numbered
+    from 0, and their number goes with each of them.
     """
     parts = F.split(F.trim("phrase"), " ")
     longest = F.array_max(F.transform(parts, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
-    terms = (
+    of_query = Window.partitionBy("query_id")
+    return (
         query_terms.withColumn("phrase", text.words(F.col("term")))
         .filter(F.trim("phrase") != "")
         .select("query_id", "clause", "field", "phrase", longest["w"].alias("anchor"))
-        .distinct()
+        .withColumn("clause", F.dense_rank().over(of_query.orderBy("clause")) - 1)
+        .withColumn("clauses", F.max("clause").over(of_query) + 1)
     )
-    sizes = terms.groupBy("query_id").agg(F.count_distinct("clause").alias("clauses"))
-    return terms.join(sizes, "query_id")
+
+
+def _held_clauses(few: bool) -> Column:
+    # One bit per clause keeps the aggregation to one shuffle of fixed-width rows.
+    if few:
+        return F.bit_count(F.bit_or(F.expr("shiftleft(1L, clause)")))
+    return F.count_distinct("clause")
 
 
 def _anchors() -> Column:
@@ -50,7 +61,7 @@ def _hits_broadcast(folded: DataFrame, terms: DataFrame, keys: list[str]) -> Dat
 
 def _hits_shuffled(folded: DataFrame, terms: DataFrame, keys: list[str]) -> DataFrame:
     # Only ids and words meet the terms; the texts move once, to the phrases still open.
-    met = attach(folded.select(*keys, _anchors()), terms, "anchor", spread_by=keys[0])
+    met = salted_join(folded.select(*keys, _anchors()), terms, "anchor", keys[0])
     single = F.length("phrase") == F.length("anchor") + 2
     keep = [*keys, "query_id", "clause", "clauses"]
     phrases = met.filter(~single).select(*keep, "phrase")
@@ -75,7 +86,8 @@ def matches(
     """
     keys = [id_col, *carry]
     terms = prepare_terms(query_terms)
-    find = _hits_broadcast if is_small(terms, broadcast_rows) else _hits_shuffled
+    small, most = measure(terms, broadcast_rows, F.max("clauses"))
+    find = _hits_broadcast if small else _hits_shuffled
     hits = None
     for field, column in fields.items():
         folded = articles.select(*keys, text.words(F.col(column)).alias("_words"))
@@ -84,7 +96,7 @@ def matches(
         hits = of_field if hits is None else hits.unionByName(of_field)
     return (
         hits.groupBy(*keys, "query_id", "clauses")
-        .agg(F.count_distinct("clause").alias("_held"))
+        .agg(_held_clauses(small and most <= _BITS).alias("_held"))
         .filter(F.col("_held") == F.col("clauses"))
         .select(*keys, "query_id")
     )
@@ -118,7 +130,7 @@ def search_planned(
         articles = articles.filter(F.col(day).between(F.lit(oldest), F.lit(newest_day)))
     terms = query_terms.join(active.select("query_id"), "query_id", "left_semi")
     pairs = matches(articles, terms, id_col, fields, carry=(day,))
-    ranged = attach(pairs, active, "query_id", spread_by=id_col).filter(
+    ranged = attach(pairs, active, "query_id", id_col).filter(
         (F.col("mode") == "FULL") | F.col(day).between(F.col("since"), F.col("until"))
     )
     chosen = ranged.select("query_id", id_col, day)

@@ -70,8 +70,8 @@ def _paragraphs(element: str) -> str:
     return f"replace({text}, '\"', '')"
 
 
-_PAGE_ID = r"regexp_extract(url, '//[^/]+/([a-z]+/[0-9]+)', 1)"
-_FOLDER = r"regexp_extract(url, '//([^/]+)/', 1)"
+_PAGE_ID = r"regexp_extract(url, '//[^/]+/([a-z]+)/([0-9]+)', 2)"
+_FOLDER = r"regexp_extract(url, '//[^/]+/([a-z]+)/([0-9]+)', 1)"
 
 # ---------------------------------------------------------------- search
 

@@ -142,8 +142,8 @@ def date_reformat(spark, d):
 
 
 def normalise_lines(spark, d):
-    lines = spread(_read(spark, d, "documents").select("doc_id", "text"))
-    return lines.select("doc_id", text.one_line(F.col("text")).alias("Abstract")).filter(F.col("Abstract") != "")
+    line = text.one_line(F.col("text"))
+    return extract.keep_present(_articles(spark, d), line, "Abstract", empty=False).drop("text")
 
 
 # ---------------------------------------------------------------- elements of pages
@@ -153,27 +153,28 @@ def _pages(spark, d):
 
 
 def extract_body(spark, d):
-    found = extract.with_element(_pages(spark, d), "body", "body_html")
-    return found.filter(F.col("body_html").isNotNull()).select("page_id", "body_html")
+    return extract.with_element(_pages(spark, d), "body", "body_html").drop("page")
 
 
 def extract_paragraphs(spark, d):
-    found = extract.with_element(_pages(spark, d), "article").filter(F.col("element").isNotNull())
+    found = extract.with_element(_pages(spark, d), "article")
     plain = text.without_quotes(markup.paragraph_text(F.col("element")))
     return found.select("page_id", plain.alias("abstract_text"))
 
 
 def missing_element(spark, d):
-    found = extract.with_element(_pages(spark, d), "abstract")
-    return found.filter(F.col("element").isNull()).select("page_id")
+    return extract.without_element(_pages(spark, d), "abstract").drop("page")
+
+
+_ADDRESS = r"//[^/]+/([a-z]+)/([0-9]+)"
 
 
 def _raw_articles(spark, d):
-    """The pages as landed articles: the host names the folder, the path the id."""
-    host = F.regexp_extract("url", r"//([^/]+)/", 1)
-    path = F.regexp_extract("url", r"//[^/]+/([a-z]+/[0-9]+)", 1)
-    return _read(spark, d, "pages").select(
-        host.alias("query_folder"), path.alias("id"), F.encode("html", "UTF-8").alias("content"),
+    """The pages as landed articles: folder and id are parts of the address."""
+    return spread(_read(spark, d, "pages")).select(
+        F.regexp_extract("url", _ADDRESS, 1).alias("query_folder"),
+        F.regexp_extract("url", _ADDRESS, 2).alias("id"),
+        F.encode("html", "UTF-8").alias("content"),
         F.timestamp_seconds("page_id").alias("fetched_at"),
     )
 
@@ -264,7 +265,7 @@ def _articles(spark, d):
 def _dated(spark, d, pairs):
     """Each document arrives with the event of the same number."""
     days = _read(spark, d, "events").select(F.col("event_id").alias("doc_id"), F.to_date("ts").alias("pub_date"))
-    return joins.attach(pairs, days, "doc_id", spread_by="query_id")
+    return pairs.join(days, "doc_id")
 
 
 def boolean_search_top50(spark, d):
@@ -320,7 +321,11 @@ def query_plan(spark, d):
 
 def incremental_select(spark, d):
     events = _read(spark, d, "events").select("event_id", "user_id", F.to_date("ts").alias("day"))
-    chosen = incremental.select_new(events, _error_state(spark, d, "user_id"), CURRENT, "user_id", "day", "event_id")
+    # The state is a stored table: written by the last run, read by this one.
+    path = shared_folder(spark, "state")
+    sinks.commit_run_state(_error_state(spark, d, "query_id").withColumn("query_id", F.col("query_id").cast("string")), path)
+    state = tables.read_run_state(spark, path).select(F.col("query_id").cast("long").alias("user_id"), "last_fetch")
+    chosen = incremental.select_new(events, state, CURRENT, "user_id", "day", "event_id")
     return chosen.select("event_id", "user_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "mode")
 
 
@@ -490,11 +495,8 @@ def stream_ingest(spark, d):
     def rows(batch):
         found = extract.with_element(batch.withColumnRenamed("html", "page"), "article")
         plain = text.without_quotes(markup.paragraph_text(F.col("element")))
-        key = F.regexp_extract("url", r"//[^/]+/([a-z]+/[0-9]+)", 1)
-        return (
-            found.filter(F.col("element").isNotNull())
-            .select(key.alias("ID"), text.one_line(plain).alias("Abstract"), "page_id")
-            .filter(F.col("Abstract") != "")
+        return extract.keep_present(found, text.one_line(plain), "Abstract", empty=False).select(
+            F.regexp_extract("url", _ADDRESS, 2).alias("ID"), "Abstract", "page_id"
         )
 
     ingest.append_stream(source, rows, target, checkpoint, "ID", [F.col("page_id")]).awaitTermination()

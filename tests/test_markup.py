@@ -1,0 +1,73 @@
+import pytest
+from pyspark.sql import functions as F
+
+from litscreen.functions import markup
+
+
+def _apply(spark, column, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    return [r[0] for r in df.orderBy("i").select(column(F.col("v"))).collect()]
+
+
+CASES = {
+    "<a><BODY class='x'>t</Body ></a>": "<BODY class='x'>t</Body >",
+    "<bodyx>1</bodyx><body>2</body><body>3</body>": "<body>2</body>",
+    "<body>never closed <p>x": "<body>never closed <p>x",
+    "<body/><p>x</p></body>": "<body/>",
+    "<body></body>": "<body></body>",
+    "<body a='1>0' b=\"</body>\">t</body>": "<body a='1>0' b=\"</body>\">t</body>",
+    '<body a="odd>t</body>': '<body a="odd>t</body>',
+    "<!-- <body>no</body> --><body>yes</body>": "<body>yes</body>",
+    "<script>'<body>'</script><style><body></style><body>z</body>": "<body>z</body>",
+    "<body><script>'</body>'</script>in</body>out": "<body><script>'</body>'</script>in</body>",
+    "<body><!-- </body> -->in</body>out": "<body><!-- </body> -->in</body>",
+    "<p>none</p>": None,
+    "a < b <body>x < y</body>": "<body>x < y</body>",
+    "": None,
+    None: None,
+}
+
+
+def test_first_element(spark):
+    got = _apply(spark, lambda c: markup.first_element(c, "body"), list(CASES))
+    assert got == list(CASES.values())
+
+
+PARAGRAPHS = {
+    "<x><title>T</title><p>One <b>two</b></p><sec>drop<p>three</p></sec></x>": "One two three",
+    "<x><p>a</p><p></p><p>b</p></x>": "a  b",
+    "<x><p/>out<p>in</p></x>": " in",
+    "<x>no paragraph</x>": "",
+    # Unclosed and nested: each piece of text once, nothing lost.
+    "<x><p>a<p>b</p></x>": "a b",
+    "<x><p>a <list><p>b</p></list> c</p> out <p>d</p></x>": "a  b  c d",
+    "<x></p>out<p>in</p></p>out</x>": "in",
+    "<x><P class='k'>A</P><pre>out</pre></x>": "A",
+    "<x><p>p &lt; 0.05 &amp;amp; &#945;&#x3B1; &eacute;&nbsp;&nope; &copy</p></x>":
+        "p < 0.05 &amp; αα é &nope; ©",
+    "<x><p>1 < 2 and 3 > 2</p></x>": "1 < 2 and 3 > 2",
+    "<x><p>a<!-- <p>no</p> -->b<script>'<p>'</script></p></x>": "ab",
+    "<x><p>&#xD800; &#0; &#99999999; &;</p></x>": "&#xD800; &#0; &#99999999; &;",
+    None: None,
+}
+
+
+def test_paragraph_text(spark):
+    got = _apply(spark, markup.paragraph_text, list(PARAGRAPHS))
+    assert got == list(PARAGRAPHS.values())
+
+
+def test_characters_can_be_left(spark):
+    got = _apply(spark, lambda c: markup.paragraph_text(c, decode=False), ["<x><p>a &amp; b</p></x>"])
+    assert got == ["a &amp; b"]
+
+
+@pytest.mark.parametrize("page", [
+    "<body " + "a='b' " * 50_000 + ">" + "x<" * 100_000,
+    "<p>" * 3_000 + "x" * 100_000,
+    "<!-- " * 20_000,
+])
+def test_long_pages_do_not_overflow(spark, page):
+    df = spark.createDataFrame([(page,)], "v string")
+    element = markup.first_element(F.col("v"), "body")
+    df.select(element, markup.paragraph_text(F.col("v"))).collect()
