@@ -1,7 +1,7 @@
 """Elements of a page, and the text of their paragraphs.
 
-The rules are those of a lenient reader: names are case-blind, an element that is never
-closed runs to the end, and tags inside comments, scripts and style sheets do not count.
+The rules are those of a lenient reader: names are case-blind, an element or comment that is
+never closed runs to the end, and tags inside comments, scripts and style sheets do not count.
 """
 
 from __future__ import annotations
@@ -13,9 +13,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Loops are possessive: linear time and no deep recursion on long pages.
-_ATTRIBUTES = r"""(?:[^>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|[="'])*+"""
-_HIDDEN = r"<!--.*?-->|<script(?=[\s/>]).*?</script\s*>|<style(?=[\s/>]).*?</style\s*>"
-_TAG = rf"</?[a-zA-Z]{_ATTRIBUTES}>|<[!?][^>]*+>"
+_ATTRIBUTES = r"""(?:[^<>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|[="'])*+"""
+_HIDDEN = (
+    r"<!--.*?(?:-->|\z)|<script(?=[\s/>]).*?(?:</script\s*>|\z)|<style(?=[\s/>]).*?(?:</style\s*>|\z)"
+)
+_TAG = rf"</?[a-zA-Z]{_ATTRIBUTES}>|<[!?][^<>]*+>"
 _CHARACTER = r"&(?:#[xX]0*([0-9a-fA-F]{1,6})|#0*([0-9]{1,7})|([a-zA-Z][-.a-zA-Z0-9]*));?"
 
 

@@ -1,0 +1,94 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from litscreen import schemas
+from litscreen.operators import incremental
+from litscreen.plans import jobs
+from litscreen.sources import tables
+
+CURRENT = datetime.date(2024, 6, 4)
+
+
+def _day(text):
+    return datetime.date.fromisoformat(text) if text else None
+
+
+@pytest.mark.parametrize("first_run,last,gate", [
+    (True, None, "FULL"), (True, "2024-06-04", "FULL"), (False, "2024-06-04", "SKIP_SAME_DAY"),
+    (False, "2024-05-28", "RUN"), (False, "2024-05-29", "SKIP_TOO_SOON"), (False, "2024-06-20", "RUN"),
+    (False, None, "ERROR_NO_STATE"),
+])
+def test_gate(spark, first_run, last, gate):
+    column = incremental.run_gate(F.lit(_day(last)).cast("date"), F.lit(CURRENT), first_run)
+    assert spark.range(1).select(column).first()[0] == gate
+
+
+def test_plan_and_advance(spark):
+    queries = spark.createDataFrame([(q, f"text {q}", q) for q in "abc"], schemas.QUERIES)
+    state = spark.createDataFrame(
+        [("a", _day("2024-05-28")), ("b", CURRENT), ("gone", _day("2024-01-01"))], schemas.RUN_STATE
+    )
+    plan = incremental.plan_queries(queries, state, CURRENT)
+    rows = {r.query_id: r for r in plan.collect()}
+    assert {q: r.mode for q, r in rows.items()} == {"a": "INCREMENTAL", "b": "SKIP", "c": "FULL"}
+    assert rows["a"].search_text == "text a AND (2024/05/28[PubDate] : 2024/06/04[PubDate])"
+    assert rows["c"].search_text == "text c" and rows["c"].since is None
+    after = {r.query_id: r.last_fetch for r in incremental.advance(state, plan, CURRENT).collect()}
+    assert after == {"a": CURRENT, "b": CURRENT, "c": CURRENT, "gone": _day("2024-01-01")}
+    first = incremental.plan_queries(queries, state, CURRENT, first_run=True)
+    assert {r.mode for r in first.collect()} == {"FULL"}
+
+
+@pytest.fixture()
+def world(spark, tmp_path):
+    start = datetime.date(2024, 1, 1)
+    rows = [
+        (f"{i}", "gene " + ("duct" if i % 2 else "x"), f"content {i}", start + datetime.timedelta(i // 2))
+        for i in range(60)
+    ]
+    corpus = spark.createDataFrame(rows, "id string, abstract string, content string, pub_date date")
+    queries = spark.createDataFrame([("all", "gene", "all_1"), ("odd", "duct", "odd_1")], schemas.QUERIES)
+    terms = spark.createDataFrame(
+        [("all", 0, "gene", "Abstract"), ("odd", 0, "duct", "Abstract")], schemas.QUERY_TERMS
+    )
+    return corpus, queries, terms, tmp_path
+
+
+def _landed(spark, path):
+    return {(r.query_folder, r.id) for r in spark.read.schema(schemas.ARTICLES_RAW).parquet(path).collect()}
+
+
+def test_two_runs_equal_one_full_run(spark, world):
+    corpus, queries, terms, tmp_path = world
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+
+    def run(day, first_run=False, visible=None):
+        seen = corpus.filter(F.col("pub_date") <= F.lit(visible or day))
+        return jobs.select_articles(spark, seen, queries, terms, landing, state, day, first_run)
+
+    one, two = datetime.date(2024, 1, 15), datetime.date(2024, 1, 30)
+    with pytest.raises(ValueError, match="no run state"):
+        run(one)
+    assert run(one, first_run=True) == "FULL"
+    assert run(one) == "SKIP_SAME_DAY"
+    assert run(datetime.date(2024, 1, 18)) == "SKIP_TOO_SOON"
+    half = _landed(spark, landing)
+    assert len(half) == 30 + 15
+    assert run(two) == "RUN"
+    both = _landed(spark, landing)
+    expected = {("all_1", str(i)) for i in range(60)} | {("odd_1", str(i)) for i in range(1, 60, 2)}
+    assert both == expected
+    assert {r.last_fetch for r in tables.read_run_state(spark, state).collect()} == {two}
+
+
+def test_state_stays_where_a_run_fails(spark, world):
+    corpus, queries, terms, tmp_path = world
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    broken = corpus.withColumn("content", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        jobs.select_articles(spark, broken, queries, terms, landing, state, CURRENT, first_run=True)
+    assert tables.read_run_state(spark, state).count() == 0
+    assert jobs.select_articles(spark, corpus, queries, terms, landing, state, CURRENT, first_run=True) == "FULL"
+    assert len(_landed(spark, landing)) == 50 + 30

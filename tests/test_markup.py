@@ -66,6 +66,8 @@ def test_characters_can_be_left(spark):
     "<body " + "a='b' " * 50_000 + ">" + "x<" * 100_000,
     "<p>" * 3_000 + "x" * 100_000,
     "<!-- " * 20_000,
+    "<script " * 20_000,
+    "<body><p>" + "<a " * 30_000 + "<! " * 30_000 + "='" * 30_001,
 ])
 def test_long_pages_do_not_overflow(spark, page):
     df = spark.createDataFrame([(page,)], "v string")

@@ -66,7 +66,7 @@ def _lines(value):
     return " ".join(line.strip() for line in re.split("\r\n|\r|\n", value) if line.strip())
 
 
-@h(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@h(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text("ab \n\r\t  \x85\x1f", max_size=30), min_size=1, max_size=40))
 def test_one_line_is_strip_and_join(spark, values):
     assert _apply(spark, text.one_line, values) == [_lines(v) for v in values]
