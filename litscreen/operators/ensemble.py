@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from litscreen import schemas, settings
-from litscreen.functions import scores
+from litscreen.functions import scores, text
 from litscreen.operators.heads import ensemble_mean
 
 
@@ -43,6 +43,19 @@ def _output(member: int, target: str) -> str:
     return f"{target}_{member}"
 
 
+def text_features(texts: DataFrame, text_col: str, width: int) -> PipelineModel:
+    """Words, hashed into ``width`` counts, weighted by how few texts hold them."""
+    return Pipeline(stages=[
+        RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=text.NOT_WORD),
+        HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=width),
+        IDF(inputCol="_counts", outputCol="features"),
+    ]).fit(texts)
+
+
+def as_embedding(vector: str) -> Column:
+    return vector_to_array(F.col(vector), "float32")
+
+
 def train(
     training: DataFrame,
     id_col: str = settings.ID_COLUMN,
@@ -51,7 +64,7 @@ def train(
     members: int = settings.ENSEMBLE_SIZE,
     width: int = 1024,
     seed: int = settings.SPLIT_SEED,
-    parallel: int = 4,
+    parallel: int = 8,
 ) -> PipelineModel:
     """Fit all members and return them with their text features as one pipeline.
 
@@ -59,11 +72,7 @@ def train(
     again from the texts. Each fit is one pass over them (normal equations), so ``width`` is
     limited to 4096.
     """
-    features = Pipeline(stages=[
-        RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=r"[^\p{L}\p{M}\p{N}]+"),
-        HashingTF(inputCol="_tokens", outputCol="_counts", numFeatures=width),
-        IDF(inputCol="_counts", outputCol="features"),
-    ]).fit(training)
+    features = text_features(training, text_col, width)
     weighted = with_bootstrap(features.transform(training), id_col, members, seed)
     rows = weighted.select("features", *targets, *[f"weight_{m}" for m in range(members)])
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
@@ -126,7 +135,7 @@ def outputs(
         F.array(*[F.col(_output(m, t)) for m in range(members)]).alias(f"{t}_members") for t in targets
     ]
     if embeddings:
-        added.append(vector_to_array("features", "float32").alias("embedding"))
+        added.append(as_embedding("features").alias("embedding"))
     return scored.select(*rows.columns, *added)
 
 

@@ -240,6 +240,20 @@ SQL = {
           SELECT {_FOLDER} AS query_folder, {_PAGE_ID} AS id, {_element('html', 'body')} AS body_html FROM pages
           QUALIFY row_number() OVER (PARTITION BY {_FOLDER}, {_PAGE_ID} ORDER BY page_id DESC) = 1)
         WHERE body_html <> ''""",
+    "abstract_table": f"""
+        SELECT query_folder, id, {_paragraphs('abstract_html')} AS abstract_text, abstract_html FROM (
+          SELECT {_FOLDER} AS query_folder, {_PAGE_ID} AS id, {_element('html', 'article')} AS abstract_html FROM pages
+          QUALIFY row_number() OVER (PARTITION BY {_FOLDER}, {_PAGE_ID} ORDER BY page_id DESC) = 1)
+        WHERE abstract_html <> ''""",
+    "decode_rejects": r"SELECT doc_id FROM documents WHERE regexp_matches(text, '[\x{80}-\x{FF}]')",
+    "query_list": r"""
+        SELECT DISTINCT key AS query_id, query_text, key AS folder FROM (
+          SELECT query_text, substr(regexp_replace(replace(query_text, ' ', '_'), '[<>:"/\\|?*]', '', 'g'), 1, 50)
+                 || '_' || substr(md5(query_text), 1, 8) AS key
+          FROM (SELECT trim(unnest(string_split(text, chr(10)))) AS query_text FROM benchmark) WHERE query_text <> '')""",
+    "union_batches": """
+        SELECT text AS "Abstract", doc_id::VARCHAR AS "ID" FROM documents
+        UNION ALL SELECT text, conv_id || '-' || turn FROM conversations""",
     "csv_round_trip": """SELECT text AS "Abstract", doc_id::VARCHAR AS "ID" FROM documents""",
     "dedup_first": f"""WITH {_OLD_AND_NEW},
         both_tables AS (SELECT *, 0 AS batch FROM old UNION ALL SELECT *, 1 FROM new)
@@ -255,6 +269,10 @@ SQL = {
         SELECT query_id, doc_id, strftime(pub_date, '%Y-%m-%d') AS pub_date FROM top""",
     "search_many": f"WITH {_SENTENCE_FOUND} SELECT doc_id, query_id FROM found",
     "phrase_search": f"WITH {_PHRASE_FOUND} SELECT doc_id, query_id FROM found",
+    "newest_articles": """
+        SELECT doc_id, source, strftime(ts, '%Y-%m-%d') AS pub_date FROM documents JOIN events ON event_id = doc_id
+        ORDER BY ts::DATE DESC, doc_id LIMIT 50""",
+    "date_range": "SELECT event_id, user_id FROM events WHERE ts::DATE BETWEEN DATE '2024-01-20' AND DATE '2024-01-29'",
     "run_gate": """
         SELECT user_id, CASE WHEN days = 0 THEN 'SKIP_SAME_DAY' WHEN days >= 7 THEN 'RUN' ELSE 'SKIP_TOO_SOON' END AS gate
         FROM (SELECT user_id, abs(date_diff('day', max(ts)::DATE, DATE '2024-02-05')) AS days FROM events GROUP BY user_id)""",

@@ -200,6 +200,20 @@ def abstract_dataset(spark, d):
     return spark.read.parquet(target).select("ID", "Abstract")
 
 
+def abstract_table(spark, d):
+    """Text and markup of each element as a table by query folder."""
+    target = shared_folder(spark, "abstract-table")
+    found = extract.abstracts(files.decode(_raw_articles(spark, d)), "article")
+    sinks.write_by_folder(dedup.latest_per_key(found, ["query_folder", "id"], [F.col("fetched_at").desc()]), target)
+    return spark.read.parquet(target).select("query_folder", "id", "abstract_text", "abstract_html")
+
+
+def decode_rejects(spark, d):
+    """Texts that arrive in another encoding: those with accented letters are no UTF-8."""
+    articles = _articles(spark, d).select("doc_id", F.encode("text", "ISO-8859-1").alias("content"))
+    return files.rejects(files.decode(articles))
+
+
 def body_table(spark, d):
     """The bodies as a table by query folder."""
     target = shared_folder(spark, "bodies")
@@ -219,6 +233,22 @@ def csv_round_trip(spark, d):
     return files.read_abstracts_csv(spark, target)
 
 
+def query_list(spark, d):
+    """The lines of the passages as a list of queries, one per line of a text file."""
+    target = shared_folder(spark, "query-list")
+    _read(spark, d, "benchmark").select("text").write.text(target)
+    return files.read_queries(spark, target)
+
+
+def union_batches(spark, d):
+    """Two sources appended as one data set, without looking at their IDs."""
+    documents = _read(spark, d, "documents").select(F.col("text").alias("Abstract"), F.col("doc_id").cast("string").alias("ID"))
+    turns = _read(spark, d, "conversations").select(
+        F.concat_ws("-", "conv_id", "turn").alias("ID"), F.col("text").alias("Abstract")
+    )
+    return documents.unionByName(turns)
+
+
 # ---------------------------------------------------------------- one row per key
 
 def _old_and_new(spark, d):
@@ -297,6 +327,20 @@ def phrase_search(spark, d):
     return search.matches(_articles(spark, d), terms, "doc_id", {"Abstract": "text"})
 
 
+def newest_articles(spark, d):
+    """The 50 newest of all."""
+    dated = _dated(spark, d, _read(spark, d, "documents").select("doc_id", "source"))
+    top = dated.orderBy(F.col("pub_date").desc(), "doc_id").limit(settings.ARTICLES_PER_QUERY)
+    return top.select("doc_id", "source", F.date_format("pub_date", "yyyy-MM-dd").alias("pub_date"))
+
+
+def date_range(spark, d):
+    """Whole days from the first to the last one; the bounds are pushed down to the scan."""
+    since, until = (F.lit(day).cast("timestamp_ntz") for day in (STATE_UNTIL, CURRENT))
+    inside = (F.col("ts") >= since) & (F.col("ts") < until)
+    return _read(spark, d, "events").filter(inside).select("event_id", "user_id")
+
+
 def run_gate(spark, d):
     last = _read(spark, d, "events").groupBy("user_id").agg(F.to_date(F.max("ts")).alias("last"))
     gate = incremental.run_gate(F.col("last"), F.lit(datetime.date(2024, 2, 5)))
@@ -312,7 +356,7 @@ def _error_state(spark, d, key):
 
 
 def query_plan(spark, d):
-    """Each event type and user as a standing query with the state of the user's errors."""
+    """Each passage as a standing query; its state is that of the user of the same number."""
     state = _error_state(spark, d, "query_id")
     queries = _read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
     planned = incremental.plan_queries(queries, state, CURRENT)
@@ -339,9 +383,10 @@ def run_state_advance(spark, d):
 
 def select_articles(spark, d):
     """The whole selection job: plan, search, newest 50, landing and run state."""
-    documents = _dated(spark, d, _read(spark, d, "documents").select(
-        F.col("doc_id"), F.col("source").alias("query_id"), "text"
-    )).select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("abstract"), F.col("text").alias("content"), "pub_date")
+    documents = _dated(spark, d, _articles(spark, d)).select(
+        F.col("doc_id").cast("string").alias("id"), F.col("text").alias("abstract"),
+        F.col("text").alias("content"), "pub_date",
+    )
     queries = spark.createDataFrame(
         [(name, str(clauses), name) for name, clauses in STANDING_QUERIES.items()], schemas.QUERIES
     )
@@ -465,7 +510,15 @@ def encode_padded(spark, d):
 # ---------------------------------------------------------------- ensembles on texts
 
 def _training_set(spark, d):
-    return train_join(spark, d).withColumnRenamed("doc_id", "ID")
+    joined = evaluate.join_by_key(_articles(spark, d), _labels(spark, d), "doc_id")
+    return joined.select("text", *settings.SCORE_COLUMNS, F.col("doc_id").alias("ID"))
+
+
+def text_embedding(spark, d):
+    """The weighted word counts of each text as a vector."""
+    articles = _articles(spark, d)
+    vectors = ensemble.text_features(articles, "text", width=256).transform(articles)
+    return vectors.select("doc_id", ensemble.as_embedding("features").alias("embedding"))
 
 
 def ml_ensemble(spark, d):
@@ -479,7 +532,7 @@ def ml_score(spark, d):
     """Train on the labelled documents, then score all documents and filter them."""
     path = shared_folder(spark, "model")
     jobs.train_ensemble(_training_set(spark, d), path)
-    dataset = _read(spark, d, "documents").select(F.col("text").alias("Abstract"), F.col("doc_id").cast("string").alias("ID"))
+    dataset = _articles(spark, d).select(F.col("text").alias("Abstract"), F.col("doc_id").cast("string").alias("ID"))
     predictions, filtered = shared_folder(spark, "predictions"), shared_folder(spark, "filtered")
     jobs.score_articles(spark, dataset, path, predictions, filtered)
     return tables.read_version(spark, predictions, schemas.PREDICTIONS)
@@ -523,11 +576,12 @@ ALL = [
     score_filter, score_all, ensemble_eval, ensemble_mse, ensemble_long, batch_predict,
     query_key, query_long_name, date_reformat, normalise_lines,
     extract_body, extract_paragraphs, missing_element, landing_upsert, abstract_dataset,
-    body_table, csv_round_trip, dedup_first, append_new, upsert_latest,
-    boolean_search_top50, search_many, phrase_search, run_gate, query_plan,
+    abstract_table, decode_rejects, body_table, csv_round_trip, query_list, union_batches, dedup_first, append_new, upsert_latest,
+    boolean_search_top50, search_many, phrase_search, newest_articles, date_range,
+    run_gate, query_plan,
     incremental_select, run_state_advance, select_articles, noise_scores, split_test,
     split_train, rest_after_split, training_order, bootstrap_weights, compare_table,
     mse_by_target, batch_loss, missing_counts, train_join, articles_per_query,
-    vocab_topk, encode_tokens, encode_padded, ml_ensemble, ml_score,
+    vocab_topk, encode_tokens, encode_padded, text_embedding, ml_ensemble, ml_score,
     stream_ingest, stream_dedup,
 ]

@@ -21,7 +21,7 @@ def duck(data):
 
 def test_names():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"ml_ensemble", "ml_score"}
+    assert set(QUERIES) - set(SQL) == {"ml_ensemble", "ml_score", "text_embedding"}
 
 
 def _rows(columns, rows):

@@ -12,7 +12,7 @@ from litscreen.plans import queries as contract
 from litscreen.sources import tables
 
 PYTHON = ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroups")
-WRITING = {"landing_upsert", "abstract_dataset", "body_table", "csv_round_trip", "select_articles",
+WRITING = {"landing_upsert", "abstract_dataset", "abstract_table", "body_table", "query_list", "csv_round_trip", "select_articles",
            "ml_ensemble", "ml_score", "stream_ingest", "stream_dedup", "batch_predict"}
 
 
