@@ -36,15 +36,23 @@ def union_first(old: DataFrame, new: DataFrame, key: str, order: list[Column]) -
     return first_per_key(both, [key], [F.col("_batch"), *order]).drop("_batch")
 
 
-def unseen(old: DataFrame, new: DataFrame, key: str, order: list[Column]) -> DataFrame:
-    """The rows of ``new`` that :func:`union_first` would add to a unique ``old``.
+def absent(old: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
+    """The rows of a table with unique keys whose key another table does not hold.
 
-    Reads only the key column of the old table and moves no old row, so appending the result
-    is the cheap way to keep a large table unique.
+    Of the old table only the key column is read, and only keys that are in both are kept,
+    so a small ``fresh`` leaves a large ``old`` where it is.
     """
-    fresh = first_per_key(new, [key], order).alias("fresh")
-    seen = old.select(F.col(key).alias("_seen"))
-    return fresh.join(seen, F.col(f"fresh.{key}").eqNullSafe(F.col("_seen")), "left_anti")
+    def same(left: str, right: str) -> Column:
+        return F.col(left).eqNullSafe(F.col(right))
+
+    known = old.select(F.col(key).alias("_old"))
+    both = known.join(fresh.select(F.col(key).alias("_new")), same("_old", "_new"), "left_semi")
+    return fresh.join(both, same(key, "_old"), "left_anti")
+
+
+def unseen(old: DataFrame, new: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """The rows of ``new`` that :func:`union_first` would add to a unique ``old``."""
+    return absent(old, first_per_key(new, [key], order), key)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

@@ -33,15 +33,15 @@ def _lookup_table(vocab: DataFrame, slots: int) -> Column:
     Its size is bounded by the size of the vocabulary. Spark computes it once for a query.
     """
     slot = F.pmod(F.xxhash64("term"), F.lit(slots)).cast("int")
+    entries = vocab.select(slot.alias("slot"), F.struct("term", "token_id").alias("entry"))
+    # One row without an entry for each slot, so that no slot is missing.
+    gaps = vocab.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
     filled = (
-        vocab.groupBy(slot.alias("slot"))
-        .agg(F.sort_array(F.collect_list(F.struct("term", "token_id"))).alias("entries"))
+        entries.unionByName(gaps, allowMissingColumns=True)
+        .groupBy("slot")
+        .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
     )
-    all_slots = vocab.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot"))
-    rows = all_slots.join(filled, "slot", "left").select(
-        F.struct("slot", F.coalesce("entries", F.array().cast("array<struct<term:string,token_id:int>>")).alias("entries")).alias("row")
-    )
-    table = rows.agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    table = filled.agg(F.sort_array(F.collect_list(F.struct("slot", "entries"))).alias("rows"))
     return table.select(
         F.transform("rows", lambda row: F.map_from_entries(row["entries"])).alias("table")
     ).scalar()

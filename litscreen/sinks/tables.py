@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from litscreen import schemas
-from litscreen.operators.dedup import latest_per_key, unseen
+from litscreen.operators.dedup import absent, first_per_key, latest_per_key
+from litscreen.session import materialise
 from litscreen.sources.tables import exists, read_appended, versions
 
 
@@ -41,9 +42,14 @@ def append_unseen(new: DataFrame, path: str, key: str, order: list[Column]) -> N
     """Append the first row of each key that the table does not hold yet.
 
     Running it again adds nothing, so a batch that failed half way may simply be repeated.
+    The batch is as a rule much smaller than the table: it is written out, so that Spark
+    knows its size, and the keys of the table are filtered by it before they are moved.
     """
-    old = read_appended(new.sparkSession, path, new.schema)
-    unseen(old, new, key, order).hint("rebalance").write.mode("append").parquet(path)
+    fresh = first_per_key(new, [key], order)
+    if exists(new.sparkSession, path):
+        fresh = materialise(fresh, "batch")
+        fresh = absent(read_appended(new.sparkSession, path, new.schema), fresh, key)
+    fresh.hint("rebalance").write.mode("append").parquet(path)
 
 
 def write_version(df: DataFrame, path: str) -> str:
