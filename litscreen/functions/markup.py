@@ -7,54 +7,84 @@ never closed runs to the end, and tags inside comments, scripts and style sheets
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
+from functools import reduce
 from html.entities import name2codepoint
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from litscreen.functions import let
+
 # Loops are possessive: linear time and no deep recursion on long pages.
 _ATTRIBUTES = r"""(?:[^<>"'=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|[="'])*+"""
 _HIDDEN = (
-    r"<!--.*?(?:-->|\z)|<script(?=[\s/>]).*?(?:</script\s*>|\z)|<style(?=[\s/>]).*?(?:</style\s*>|\z)"
+    r"<(?:!--.*?(?:-->|\z)|(?i:script)(?=[\s/>]).*?(?:</(?i:script)\s*>|\z)"
+    r"|(?i:style)(?=[\s/>]).*?(?:</(?i:style)\s*>|\z))"
 )
-_TAG = rf"</?[a-zA-Z]{_ATTRIBUTES}>|<[!?][^<>]*+>"
-_CHARACTER = r"&(?:#[xX]0*([0-9a-fA-F]{1,6})|#0*([0-9]{1,7})|([a-zA-Z][-.a-zA-Z0-9]*));?"
+_TAG = rf"<(?:/?[a-zA-Z]{_ATTRIBUTES}>|[!?][^<>]*+>)"
+_REFERENCE = r"\A&(?:#[xX]0*([0-9a-fA-F]{1,6})|#0*([0-9]{1,7})|([a-zA-Z][-.a-zA-Z0-9]*));?"
+_OTHER_REFERENCE = r"&(?!(?:amp|lt|gt|quot|apos);)[#a-zA-Z]"
+
+# A character that is reserved for internal use and stands for no text.
+_MARK = "\ufdd0"
+_OPENS, _CLOSES = _MARK + "(", _MARK + ")"
 
 
 def _open_tag(name: str) -> str:
-    return rf"<{name}(?=[\s/>]){_ATTRIBUTES}>"
+    return rf"<(?i:{name})(?=[\s/>]){_ATTRIBUTES}>"
 
 
 def first_element(page: Column, name: str) -> Column:
     """The first element of that name with its markup; NULL if there is none."""
-    before = rf"(?:[^<]++|{_HIDDEN}|(?!<{name}[\s/>])<)*+"
-    inside = rf"(?:[^<]++|{_HIDDEN}|(?!</{name}\s*>)<)*+(?:</{name}\s*>|\z)"
-    pattern = rf"(?is)\A{before}({_open_tag(name)}(?:(?<=/>)|{inside}))"
+    before = rf"(?:[^<]++|{_HIDDEN}|(?!<(?i:{name})[\s/>])<)*+"
+    inside = rf"(?:[^<]++|{_HIDDEN}|(?!</(?i:{name})\s*>)<)*+(?:</(?i:{name})\s*>|\z)"
+    pattern = rf"(?s)\A{before}({_open_tag(name)}(?:(?<=/>)|{inside}))"
     return F.nullif(F.regexp_extract(page, pattern, 1), F.lit(""))
 
 
 def decode_characters(text: Column) -> Column:
     """Replace character references, named or numbered, each of them once."""
+    return let(text, _decode)
+
+
+def _decode(text: Column) -> Column:
+    few = text
+    for name, character in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        few = F.replace(few, F.lit(f"&{name};"), F.lit(character))
+    return (
+        F.when(~F.contains(text, F.lit("&")), text)
+        .when(text.rlike(_OTHER_REFERENCE), _decode_any(text))
+        .otherwise(few)
+    )
+
+
+def _decode_any(text: Column) -> Column:
     names = F.from_json(F.lit(json.dumps(_named_characters())), "map<string,string>")
 
-    def decoded(part: Column) -> Column:
-        code = F.coalesce(
-            F.nullif(F.regexp_extract(part, _CHARACTER, 1), F.lit("")),
-            F.conv(F.nullif(F.regexp_extract(part, _CHARACTER, 2), F.lit("")), 10, 16),
+    def take_apart(part: Column) -> Column:
+        def group(i: int) -> Column:
+            return F.nullif(F.regexp_extract(part, _REFERENCE, i), F.lit(""))
+
+        return F.struct(
+            part.alias("part"),
+            F.conv(F.coalesce(group(1), F.conv(group(2), 10, 16)), 16, 10).cast("int").alias("code"),
+            group(3).alias("name"),
         )
-        # Only what is a character; other numbers stay as they are written.
-        value = F.conv(code, 16, 10).cast("bigint")
-        legal = value.between(1, 0xD7FF) | value.between(0xE000, 0x10FFFF)
-        by_number = F.when(legal, F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32"))
-        by_name = F.try_element_at(names, F.regexp_extract(part, _CHARACTER, 3))
-        character = F.coalesce(by_number, by_name)
-        rest = F.regexp_replace(part, rf"\A{_CHARACTER}", "")
-        return F.when(
-            part.rlike(rf"\A{_CHARACTER}") & character.isNotNull(), F.concat(character, rest)
-        ).otherwise(part)
 
-    parts = F.transform(F.split(text, "(?=&)"), decoded)
-    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
+    def decoded(found: Column) -> Column:
+        # Only what is a character; other numbers and names stay as they are written.
+        legal = found.code.between(1, 0xD7FF) | found.code.between(0xE000, 0x10FFFF)
+        character = F.when(
+            found.code.isNotNull(),
+            F.when(legal, F.decode(F.unhex(F.lpad(F.hex(found.code), 8, "0")), "UTF-32")),
+        ).when(found["name"].isNotNull(), F.try_element_at(names, found["name"]))
+        rest = F.regexp_replace(found.part, _REFERENCE, "")
+        return F.coalesce(F.concat(character, rest), found.part)
+
+    parts = F.transform(F.split(text, "(?=&)"), take_apart)
+    return F.array_join(F.transform(parts, decoded), "")
 
 
 def _named_characters() -> dict[str, str]:
@@ -68,23 +98,34 @@ def paragraph_text(element: Column, decode: bool = True) -> Column:
     inside any ``p``, and counts once. Tags inside are removed, text outside is dropped.
     An element without any ``p`` gives an empty text.
     """
-    shown = F.regexp_replace(element, rf"(?is){_HIDDEN}", "")
-    closed = F.regexp_replace(shown, rf"(?i)<p(?=[\s/>]){_ATTRIBUTES}(?<=/)>", "<p></p>")
-    pieces = F.split(closed, r"(?i)(?=<p[\s/>]|</p\s*>)")
+    def only_if(text: Column, found: list[str], change: Callable[[Column], Column]) -> Column:
+        # A search for bytes is much cheaper than a pattern that finds nothing.
+        def changed(x: Column) -> Column:
+            return F.when(reduce(or_, [F.contains(x, F.lit(f)) for f in found]), change(x)).otherwise(x)
+
+        return let(text, changed)
+
+    empty = rf"<(?i:p)(?=[\s/>]){_ATTRIBUTES}(?<=/)>"
+    text = only_if(element, [_MARK], lambda x: F.replace(x, F.lit(_MARK), F.lit("")))
+    text = only_if(text, ["<!--", "<s", "<S"], lambda x: F.regexp_replace(x, rf"(?s){_HIDDEN}", ""))
+    text = only_if(text, ["/>"], lambda x: F.regexp_replace(x, empty, _OPENS + _CLOSES))
+    text = F.regexp_replace(text, _open_tag("p"), _OPENS)
+    text = F.regexp_replace(text, r"</(?i:p)\s*>", _CLOSES)
+    pieces = F.split(F.regexp_replace(text, _TAG, ""), _MARK)
 
     def step(state: Column, piece: Column) -> Column:
-        opens = piece.rlike(r"(?i)\A<p[\s/>]")
-        closes = piece.rlike(r"(?i)\A</p\s*>")
-        depth = F.when(opens, state.depth + 1).when(closes, F.greatest(state.depth - 1, F.lit(0))).otherwise(state.depth)
-        plain = F.regexp_replace(piece, rf"(?is){_TAG}", "")
+        opens = F.startswith(piece, F.lit("("))
+        depth = F.when(opens, state.depth + 1).otherwise(F.greatest(state.depth - 1, F.lit(0)))
         # The text after an opening tag always counts, even if empty; the text after a
         # closing tag only where an outer ``p`` is still open and there is any.
-        kept = opens | ((depth > 0) & (plain != ""))
+        kept = opens | ((state.depth > 1) & (F.length(piece) > 1))
         return F.struct(
             depth.alias("depth"),
-            F.when(kept, F.array_append(state.texts, plain)).otherwise(state.texts).alias("texts"),
+            F.when(kept, F.array_append(state.texts, F.substring(piece, 2, 2**31 - 1)))
+            .otherwise(state.texts).alias("texts"),
         )
 
     start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("texts"))
-    text = F.aggregate(pieces, start, step, lambda state: F.array_join(state.texts, " "))
-    return decode_characters(text) if decode else text
+    after_tags = let(pieces, lambda p: F.slice(p, F.lit(2), F.size(p)))
+    plain = F.aggregate(after_tags, start, step, lambda state: F.array_join(state.texts, " "))
+    return decode_characters(plain) if decode else plain

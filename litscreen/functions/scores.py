@@ -9,6 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from litscreen import settings
+from litscreen.functions import let
 
 
 def is_missing(column: Column, is_float: bool) -> Column:
@@ -18,8 +19,10 @@ def is_missing(column: Column, is_float: bool) -> Column:
 
 def clip(score: Column, low: float = 0.0, high: float = 1.0) -> Column:
     """Limit a score to a range. A missing score stays missing."""
-    limited = F.least(F.greatest(score, F.lit(low)), F.lit(high))
-    return F.when(score.isNotNull() & ~F.isnan(score), limited)
+    def limited(x: Column) -> Column:
+        return F.when(x.isNotNull() & ~F.isnan(x), F.least(F.greatest(x, F.lit(low)), F.lit(high)))
+
+    return let(score, limited)
 
 
 def sigmoid(value: Column) -> Column:

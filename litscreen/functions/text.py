@@ -39,13 +39,16 @@ def query_key(query: Column) -> Column:
 
 def long_folder_name(query: Column) -> Column:
     """A folder name of any length, without the parts in brackets and with single ``_``."""
-    outside = F.regexp_replace(query, r"\[.*?\]|\(.*?\)", "")
+    outside = F.regexp_replace(query, settings.BRACKETED_PARTS, "")
     legal = F.regexp_replace(F.replace(outside, F.lit(" "), F.lit("_")), settings.FORBIDDEN_NAME_CHARS, "")
     return F.regexp_replace(F.regexp_replace(legal, "_+", "_"), r"\A_|_\z", "")
 
 
 def reformat_date(
-    text: Column, source: str = "yyyy-MM-dd", target: str = "yyyy/MM/dd", strict: bool = True
+    text: Column,
+    source: str = settings.STORED_DATE,
+    target: str = settings.SEARCHED_DATE,
+    strict: bool = True,
 ) -> Column:
     """Write a date in another form. A wrong date stops the job, or gives NULL if not strict."""
     day = F.try_to_date(text, source)
@@ -58,10 +61,10 @@ def reformat_date(
 def search_text(query: Column, mode: Column, since: Column, until: Column) -> Column:
     """What is searched for: the bare query, or the query with its range of dates."""
     dated = F.format_string(
-        "%s AND (%s[PubDate] : %s[PubDate])",
+        settings.DATED_SEARCH,
         query,
-        F.date_format(since, "yyyy/MM/dd"),
-        F.date_format(until, "yyyy/MM/dd"),
+        F.date_format(since, settings.SEARCHED_DATE),
+        F.date_format(until, settings.SEARCHED_DATE),
     )
     return F.when(mode == "FULL", query).when(mode == "INCREMENTAL", dated)
 

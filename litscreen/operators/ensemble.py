@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from litscreen import schemas, settings
-from litscreen.functions import scores, text
+from litscreen.functions import let, scores, text
 from litscreen.operators.heads import ensemble_mean
 
 
@@ -25,13 +25,15 @@ def bootstrap_weight(id_col: str, member: int, seed: int = settings.SPLIT_SEED,
     The count follows the Poisson law of mean 1 and is read off the hash of the ID, so it
     does not depend on the partitions and no row is copied.
     """
-    draw = scores.uniform(F.col(id_col), f"member{member}:{seed}")
-    below, probability, weight = 0.0, 0.36787944117144233, None  # exp(-1)
-    for count in range(up_to):
-        below += probability
-        weight = F.when(draw < below, float(count)) if weight is None else weight.when(draw < below, float(count))
-        probability /= count + 1
-    return weight.otherwise(float(up_to))
+    def count(draw: Column) -> Column:
+        below, probability, weight = 0.0, 0.36787944117144233, F  # exp(-1)
+        for times in range(up_to):
+            below += probability
+            weight = weight.when(draw < below, float(times))
+            probability /= times + 1
+        return weight.otherwise(float(up_to))
+
+    return let(scores.uniform(F.col(id_col), f"member{member}:{seed}"), count)
 
 
 def with_bootstrap(df: DataFrame, id_col: str, members: int = settings.ENSEMBLE_SIZE, seed: int = settings.SPLIT_SEED) -> DataFrame:

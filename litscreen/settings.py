@@ -4,6 +4,12 @@
 FORBIDDEN_NAME_CHARS = '[<>:"/\\\\|?*]'
 NAME_LENGTH = 50
 HASH_DIGITS = 8
+BRACKETED_PARTS = r"\[.*?\]|\(.*?\)"
+
+# Dates as they are stored and as they are searched for, and a search limited to a range.
+STORED_DATE = "yyyy-MM-dd"
+SEARCHED_DATE = "yyyy/MM/dd"
+DATED_SEARCH = "%s AND (%s[PubDate] : %s[PubDate])"
 
 # Selection of articles.
 ARTICLES_PER_QUERY = 50

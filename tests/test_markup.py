@@ -48,6 +48,8 @@ PARAGRAPHS = {
     "<x><p>1 < 2 and 3 > 2</p></x>": "1 < 2 and 3 > 2",
     "<x><p>a<!-- <p>no</p> -->b<script>'<p>'</script></p></x>": "ab",
     "<x><p>&#xD800; &#0; &#99999999; &;</p></x>": "&#xD800; &#0; &#99999999; &;",
+    "<x><p>&amp;lt; &#38;amp; &amp;#38; &LT; &amp</p></x>": "&lt; &amp; &#38; &LT; &",
+    "<x><p>&amp;lt; &lt;p&gt; &quot;&apos;</p></x>": "&lt; <p> \"'",
     None: None,
 }
 
