@@ -64,13 +64,23 @@ def select_articles(
     return decision
 
 
+def extract_abstracts(articles: DataFrame, target: str, element: str = "abstract") -> None:
+    """Write text and markup of the abstract of each article, by query folder."""
+    sinks.write_by_folder(extract.abstracts(files.decode(articles), element), target)
+
+
+def append_abstracts(extracted: DataFrame, dataset: str) -> None:
+    """Clean extracted abstracts, from articles, a table or text files, and add the new IDs."""
+    order_in_batch = [F.col("query_folder"), F.col("fetched_at")]
+    sinks.append_unseen(extract.dataset_rows(extracted), dataset, "ID", order_in_batch)
+
+
 def build_abstract_dataset(
     articles: DataFrame, dataset: str, rejected: str | None = None, element: str = "abstract"
 ) -> None:
     """Extract and clean the abstracts of raw articles and add the new IDs to the data set."""
     decoded = files.decode(articles)
-    rows = extract.dataset_rows(extract.abstracts(decoded, element))
-    sinks.append_unseen(rows, dataset, "ID", [F.col("query_folder"), F.col("fetched_at")])
+    append_abstracts(extract.abstracts(decoded, element), dataset)
     if rejected:
         files.rejects(decoded).write.mode("overwrite").parquet(rejected)
 

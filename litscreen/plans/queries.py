@@ -203,8 +203,8 @@ def abstract_dataset(spark, d):
 def abstract_table(spark, d):
     """Text and markup of each element as a table by query folder."""
     target = shared_folder(spark, "abstract-table")
-    found = extract.abstracts(files.decode(_raw_articles(spark, d)), "article")
-    sinks.write_by_folder(dedup.latest_per_key(found, ["query_folder", "id"], [F.col("fetched_at").desc()]), target)
+    latest = dedup.latest_per_key(_raw_articles(spark, d), ["query_folder", "id"], [F.col("fetched_at").desc()])
+    jobs.extract_abstracts(latest, target, "article")
     return spark.read.parquet(target).select("query_folder", "id", "abstract_text", "abstract_html")
 
 

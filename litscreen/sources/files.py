@@ -68,6 +68,7 @@ def read_extracted(spark: SparkSession, root: str) -> DataFrame:
         F.regexp_extract(path, r"([^/]+)/txt_abstracts/[^/]+\z", 1).alias("query_folder"),
         F.regexp_extract(path, r"([^/_]*)_[^/]*\z", 1).alias("id"),
         F.col("value").alias("abstract_text"),
+        F.col("_metadata.file_modification_time").alias("fetched_at"),
     )
 
 

@@ -62,10 +62,22 @@ def test_extracted_text_files(spark, tmp_path):
         path = tmp_path / name
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_text(content)
-    got = files.read_extracted(spark, str(tmp_path)).collect()
-    assert {(r.query_folder, r.id, r.abstract_text) for r in got} == {
+    extracted = files.read_extracted(spark, str(tmp_path))
+    assert {(r.query_folder, r.id, r.abstract_text) for r in extracted.collect()} == {
         ("q 1+%", "12", " a\n\n b "), ("q 1+%", "a", "x"),
     }
+    jobs.append_abstracts(extracted, str(tmp_path / "dataset"))
+    rows = spark.read.parquet(str(tmp_path / "dataset")).collect()
+    assert {(r.ID, r.Abstract) for r in rows} == {("12", "a b"), ("a", "x")}
+
+
+def test_extracted_table_gives_the_same_data_set(spark, corpus, tmp_path):
+    table, one, two = (str(tmp_path / name) for name in ("table", "one", "two"))
+    articles = files.read_articles(spark, corpus)
+    jobs.extract_abstracts(articles, table)
+    jobs.append_abstracts(spark.read.parquet(table), one)
+    jobs.build_abstract_dataset(articles, two)
+    assert {tuple(r) for r in spark.read.parquet(one).collect()} == {tuple(r) for r in spark.read.parquet(two).collect()}
 
 
 def test_query_list(spark, tmp_path):
