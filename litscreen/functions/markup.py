@@ -95,7 +95,8 @@ def paragraph_text(element: Column, decode: bool = True) -> Column:
     """The text of all ``p`` at any depth, joined by one space.
 
     A new piece begins at each ``p`` tag, opening or closing. A piece counts if it lies
-    inside any ``p``, and counts once. Tags inside are removed, text outside is dropped.
+    inside any ``p``, and counts once. Tags inside are removed, text outside is dropped, the
+    text of CDATA sections is kept.
     An element without any ``p`` gives an empty text.
     """
     def only_if(text: Column, found: list[str], change: Callable[[Column], Column]) -> Column:
@@ -105,9 +106,11 @@ def paragraph_text(element: Column, decode: bool = True) -> Column:
 
         return let(text, changed)
 
+    literal = r"(?s)<!\[CDATA\[(.*?)(?:\]\]>|\z)"
     empty = rf"<(?i:p)(?=[\s/>]){_ATTRIBUTES}(?<=/)>"
     text = only_if(element, [_MARK], lambda x: F.replace(x, F.lit(_MARK), F.lit("")))
     text = only_if(text, ["<!--", "<s", "<S"], lambda x: F.regexp_replace(x, rf"(?s){_HIDDEN}", ""))
+    text = only_if(text, ["<![CDATA["], lambda x: F.regexp_replace(x, literal, "$1"))
     text = only_if(text, ["/>"], lambda x: F.regexp_replace(x, empty, _OPENS + _CLOSES))
     text = F.regexp_replace(text, _open_tag("p"), _OPENS)
     text = F.regexp_replace(text, r"</(?i:p)\s*>", _CLOSES)

@@ -46,6 +46,7 @@ PARAGRAPHS = {
     "<x><p>p &lt; 0.05 &amp;amp; &#945;&#x3B1; &eacute;&nbsp;&nope; &copy</p></x>":
         "p < 0.05 &amp; αα é &nope; ©",
     "<x><p>1 < 2 and 3 > 2</p></x>": "1 < 2 and 3 > 2",
+    "<x><p>a<![CDATA[b & c]]>d</p><![CDATA[out]]><p><![CDATA[\n]]>e</p></x>": "ab & cd \ne",
     "<x><p>a<!-- <p>no</p> -->b<script>'<p>'</script></p></x>": "ab",
     "<x><p>&#xD800; &#0; &#99999999; &;</p></x>": "&#xD800; &#0; &#99999999; &;",
     "<x><p>&amp;lt; &#38;amp; &amp;#38; &LT; &amp</p></x>": "&lt; &amp; &#38; &LT; &",
@@ -69,6 +70,7 @@ def test_characters_can_be_left(spark):
     "<p>" * 3_000 + "x" * 100_000,
     "<!-- " * 20_000,
     "<script " * 20_000,
+    "<p>" + "<![CDATA[ " * 20_000,
     "<body><p>" + "<a " * 30_000 + "<! " * 30_000 + "='" * 30_001,
 ])
 def test_long_pages_do_not_overflow(spark, page):
