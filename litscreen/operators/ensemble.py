@@ -23,20 +23,27 @@ def bootstrap_weight(id_col: str, member: int, seed: int = settings.SPLIT_SEED,
     """How often a row is in the sample of a member when rows are drawn with replacement.
 
     The count follows the Poisson law of mean 1 and is read off the hash of the ID, so it
-    does not depend on the partitions and no row is copied.
+    does not depend on the partitions and no row is copied. Counts end at ``up_to``, which
+    is reached about once in a million rows.
     """
     def count(draw: Column) -> Column:
-        below, probability, weight = 0.0, 0.36787944117144233, F  # exp(-1)
-        for times in range(up_to):
+        below = probability = 0.36787944117144233  # exp(-1)
+        weight = F.when(draw < below, 0.0)
+        for times in range(1, up_to):
+            probability /= times
             below += probability
             weight = weight.when(draw < below, float(times))
-            probability /= times + 1
         return weight.otherwise(float(up_to))
 
     return let(scores.uniform(F.col(id_col), f"member{member}:{seed}"), count)
 
 
-def with_bootstrap(df: DataFrame, id_col: str, members: int = settings.ENSEMBLE_SIZE, seed: int = settings.SPLIT_SEED) -> DataFrame:
+def with_bootstrap(
+    df: DataFrame,
+    id_col: str,
+    members: int = settings.ENSEMBLE_SIZE,
+    seed: int = settings.SPLIT_SEED,
+) -> DataFrame:
     """Add the weight of each row for each member as ``weight_<member>``."""
     return df.withColumns({f"weight_{m}": bootstrap_weight(id_col, m, seed) for m in range(members)})
 
