@@ -7,7 +7,8 @@ import __spark_entry__ as contract
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES = {query.__name__: query for query in contract.contract.ALL}
+SQL = contract.oracle.SQL
 
 
 @pytest.fixture(scope="module")
