@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from litscreen.llm import rules
+from litscreen.llm import counts, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,5 +17,9 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, rules.fit(docs, _table(spark, sf_dir, "labels")))
 
 
-ALL = [op1_quality_rules]
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+ALL = [op1_quality_rules, op3_token_counts]
 SQL: dict[str, str] = {}
