@@ -83,13 +83,13 @@ class Counter:
     def _units(self, text: str) -> list[str]:
         """Strings that are split by the pattern alone, whatever stands beside them."""
         if _odd_space.search(text):
-            return vocabulary.BYTE_PATTERN.findall(text)
+            return vocabulary.split(vocabulary.BYTE_PATTERN, text)
         head, *rest = text.split(" ")
         return [head, *[" " + r for r in rest]] if head else []
 
     def _learn(self, units: set[str]) -> None:
         units = list(units)
-        pieces = [[p.encode() for p in vocabulary.BYTE_PATTERN.findall(u)] for u in units]
+        pieces = [[p.encode() for p in vocabulary.split(vocabulary.BYTE_PATTERN, u)] for u in units]
         distinct = list({p for some in pieces for p in some})
         counts = dict(zip(distinct, self.merges.counts(distinct).tolist()))
         if len(self.known) + len(units) > KEPT_COUNTS:

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litscreen.llm import counts, rules
+from litscreen.llm import automaton, counts, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,5 +21,17 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-ALL = [op1_quality_rules, op3_token_counts]
+def digests(encoded: DataFrame) -> DataFrame:
+    """Hashes of the ids and of the decoded text."""
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select("doc_id", "n_tokens", F.sha2(ids, 256).alias("ids_sha256"),
+                          F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+
+
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return digests(automaton.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
+
+
+ALL = [op1_quality_rules, op3_token_counts, op10_bpe_automaton]
 SQL: dict[str, str] = {}

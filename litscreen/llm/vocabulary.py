@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from dataclasses import dataclass
 
 import regex
@@ -42,3 +43,21 @@ def load(path: str) -> Vocabulary:
 BYTE_PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 WORD_PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 WORD_END = "</w>"
+
+
+class _Assigned(dict):
+    """Maps code points that Unicode does not assign to one without a class, and others to themselves."""
+
+    def __missing__(self, code: int) -> int:
+        self[code] = found = 0xE000 if unicodedata.category(chr(code)) == "Cn" else code
+        return found
+
+
+_assigned = _Assigned()
+
+
+def split(pattern: regex.Pattern, text: str) -> list[str]:
+    """Matches of the pattern. ``regex`` knows later letters than the vocabularies do; those count as symbols."""
+    if text.isascii():
+        return pattern.findall(text)
+    return [text[m.start():m.end()] for m in pattern.finditer(text.translate(_assigned))]

@@ -1,3 +1,5 @@
+import unicodedata
+
 import public_tokenizers
 import pytest
 from odd import ODD
@@ -30,9 +32,9 @@ def test_odd_texts(spark, library):
 
 
 def test_every_character(library):
-    """Each code point between letters and beside spaces."""
-    texts = [f"a{chr(c)}b {chr(c)}c{chr(c)} {chr(c)}\n" for c in range(0x3400) if not 0xD800 <= c < 0xE000]
-    for some in (texts, [f"x{chr(c)} y" for c in range(0x3400, 0x30000, 61) if not 0xD800 <= c < 0xE000]):
+    """Each assigned code point between letters and beside spaces."""
+    texts = [f"a{chr(c)}b {chr(c)}c{chr(c)} {chr(c)}\n" for c in range(0x3400) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]
+    for some in (texts, [f"x{chr(c)} y" for c in range(0x3400, 0x30000, 61) if unicodedata.category(chr(c)) not in ("Cn", "Cs")]):
         assert counts.counter(PATH).count(some) == [truth(library, t) for t in some]
 
 
