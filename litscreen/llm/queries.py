@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litscreen.llm import automaton, counts, rules
+from litscreen.llm import automaton, counts, rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_table(spark, sf_dir, "documents")).drop("secrets")
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     """Hashes of the ids and of the decoded text."""
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
@@ -33,5 +37,5 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(automaton.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-ALL = [op1_quality_rules, op3_token_counts, op10_bpe_automaton]
+ALL = [op1_quality_rules, op3_token_counts, op9_secret_scans, op10_bpe_automaton]
 SQL: dict[str, str] = {}

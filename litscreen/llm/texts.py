@@ -120,7 +120,7 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES)
 
 def by_slices(df: DataFrame, work: Callable, schema: str) -> DataFrame:
     """``work(part of a batch, its texts)`` gives a dictionary of columns; ``df`` has a column ``text``."""
-    names = [part.split()[0] for part in schema.split(",")]
+    names = T.StructType.fromDDL(schema).names
 
     def run(batches):
         for batch in batches:
@@ -136,7 +136,7 @@ def with_struct(df: DataFrame, work: Callable, schema: str) -> tuple[DataFrame,
     name = "made"
     while name in df.columns:
         name += "_"
-    fields = [part.split()[0] for part in schema.split(",")]
+    fields = T.StructType.fromDDL(schema).names
 
     def run(batches):
         for batch in batches:
