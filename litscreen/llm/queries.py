@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litscreen.llm import automaton, counts, rules, secrets
+from litscreen.llm import automaton, counts, density, rules, secrets
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents")).drop("secrets")
 
@@ -37,5 +41,5 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(automaton.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-ALL = [op1_quality_rules, op3_token_counts, op9_secret_scans, op10_bpe_automaton]
+ALL = [op1_quality_rules, op3_token_counts, op5_html_density, op9_secret_scans, op10_bpe_automaton]
 SQL: dict[str, str] = {}
