@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litscreen.llm import automaton, counts, density, rules, secrets
+from litscreen.llm import automaton, counts, density, rules, secrets, vantage
+from litscreen.llm.texts import uint64_hex
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,11 @@ def op5_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.extract(_table(spark, sf_dir, "pages"))
 
 
+def op8_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vantage.near_duplicates(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", uint64_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_table(spark, sf_dir, "documents")).drop("secrets")
 
@@ -41,5 +47,5 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(automaton.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-ALL = [op1_quality_rules, op3_token_counts, op5_html_density, op9_secret_scans, op10_bpe_automaton]
+ALL = [op1_quality_rules, op3_token_counts, op5_html_density, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
 SQL: dict[str, str] = {}
