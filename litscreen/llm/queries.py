@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litscreen.llm import automaton, counts, density, rules, secrets, vantage
+from litscreen.llm import automaton, counts, density, mixing, rules, secrets, vantage
 from litscreen.llm.texts import uint64_hex
 
 
@@ -26,6 +26,15 @@ def op5_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.extract(_table(spark, sf_dir, "pages"))
 
 
+#: Target weights of the mixture; sources that are not named share the rest.
+WEIGHTS = {"src0": 0.1, "src1": 0.12, "src2": 0.08, "src3": 0.06, "src4": 0.04, "src5": 0.02}
+
+
+def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.replicate(_table(spark, sf_dir, "documents"), WEIGHTS)
+    return mixed.select("doc_id", "source", "lang", "n_chars", "text", F.col("copy").cast("long").alias("copy"))
+
+
 def op8_simhash_vantage(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vantage.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", uint64_hex(F.col("fp")).alias("fingerprint"), "component_id")
@@ -47,5 +56,5 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(automaton.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-ALL = [op1_quality_rules, op3_token_counts, op5_html_density, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
-SQL: dict[str, str] = {}
+ALL = [op1_quality_rules, op3_token_counts, op5_html_density, op7_poisson_mixing, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
+SQL = {"op7_poisson_mixing": mixing.sql(WEIGHTS, ["doc_id", "source", "lang", "n_chars", "text"])}
