@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litscreen.llm import automaton, counts, density, mixing, rules, secrets, vantage
+from litscreen.llm import automaton, counts, density, mixing, recompress, rules, secrets, vantage
 from litscreen.llm.texts import uint64_hex
 
 
@@ -22,6 +22,11 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_substring_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = recompress.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.extract(_table(spark, sf_dir, "pages"))
 
@@ -56,5 +61,5 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(automaton.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-ALL = [op1_quality_rules, op3_token_counts, op5_html_density, op7_poisson_mixing, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
+ALL = [op1_quality_rules, op3_token_counts, op4_substring_recompression, op5_html_density, op7_poisson_mixing, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
 SQL = {"op7_poisson_mixing": mixing.sql(WEIGHTS, ["doc_id", "source", "lang", "n_chars", "text"])}
