@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litscreen.llm import automaton, counts, density, mixing, recompress, rules, secrets, vantage
+from litscreen.llm import automaton, counts, density, mixing, pivots, recompress, rules, secrets, vantage
 from litscreen.llm.texts import uint64_hex
 
 
@@ -31,6 +31,11 @@ def op5_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.extract(_table(spark, sf_dir, "pages"))
 
 
+def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = pivots.scaled(_table(spark, sf_dir, "embeddings"))
+    return pivots.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 #: Target weights of the mixture; sources that are not named share the rest.
 WEIGHTS = {"src0": 0.1, "src1": 0.12, "src2": 0.08, "src3": 0.06, "src4": 0.04, "src5": 0.02}
 
@@ -61,5 +66,15 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(automaton.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-ALL = [op1_quality_rules, op3_token_counts, op4_substring_recompression, op5_html_density, op7_poisson_mixing, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
-SQL = {"op7_poisson_mixing": mixing.sql(WEIGHTS, ["doc_id", "source", "lang", "n_chars", "text"])}
+ALL = [op1_quality_rules, op3_token_counts, op4_substring_recompression, op5_html_density, op6_exact_topk, op7_poisson_mixing, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
+SQL = {
+    "op6_exact_topk": """
+WITH good AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+              WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+           FROM good q JOIN good c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5""",
+    "op7_poisson_mixing": mixing.sql(WEIGHTS, ["doc_id", "source", "lang", "n_chars", "text"]),
+}
