@@ -16,9 +16,9 @@ found by trying the tokens that end there against the tables. Decoding joins the
 from __future__ import annotations
 
 import unicodedata
+from array import array
 from bisect import bisect_right
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,6 @@ class Automaton:
     def __init__(self, vocab: vocabulary.Vocabulary):
         ids, n = vocab.ids, max(vocab.ids.values()) + 1
         merges = [(ids[a], ids[b], ids[a + b]) for a, b in vocab.merges]
-        self.ids = ids
-        self.longest = max(len(s.removesuffix(vocabulary.WORD_END)) for s in ids)
         self.number, after = self._numbers(n, merges)
         self.target, self.dead = [START] * n, set()
         above, taken = [START], [(0, 0)]  # of each state: the one it is a copy of, and the interval it lacks besides
@@ -56,6 +54,13 @@ class Automaton:
             taken.append((self.number[right], after[rank]))
             self.target[left], self.target[made] = len(above) - 1, follows
         self.bounds = {state: self._union(state, above, taken) for state in set(self.target)}
+        # Tokens by string: those that end a word, and the others with all their beginnings (-1 if only a beginning).
+        end = vocabulary.WORD_END
+        alive = {s: i for s, i in ids.items() if i not in self.dead}
+        self.last = {s.removesuffix(end): i for s, i in alive.items() if s.endswith(end)}
+        self.inner = {s[:k]: -1 for s in alive if not s.endswith(end) for k in range(1, len(s))}
+        self.inner |= {s: i for s, i in alive.items() if not s.endswith(end)}
+        self.longest = max(map(len, self.last))
         self.arcs: dict[int, bool] = {}
         self.size = n
 
@@ -109,23 +114,29 @@ class Automaton:
 
     def path(self, word: str) -> list[int]:
         """Arc labels of the path of a word of base symbols; the last one carries the end of the word."""
-        states, labels, begins = [START], [-1], [0]
-        end = len(word)
-        for to in range(1, end + 1):
-            for at in range(max(0, to - self.longest), to):
-                part = word[at:to]
-                token = self.ids.get(part if to < end else part + vocabulary.WORD_END)
-                if token is not None and token not in self.dead and self.has_arc(states[at], token):
-                    labels.append(token)
-                    begins.append(at)
-                    states.append(self.target[token])
-                    break
-            else:
-                raise ValueError(f"no arc leads to place {to} of {word!r}")
+        n, size, arcs = len(word), self.size, self.arcs
+        states, labels, begins = [-1] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
+        states[0] = START
+        for at in range(n):
+            state = states[at]
+            for to in range(at + 1, n):
+                token = self.inner.get(word[at:to])
+                if token is None:
+                    break  # no token begins like this
+                if token >= 0 and states[to] < 0:
+                    known = arcs.get(state * size + token)
+                    if known or known is None and self.has_arc(state, token):
+                        states[to], labels[to], begins[to] = self.target[token], token, at
+            if n - at <= self.longest and labels[n] < 0:
+                token = self.last.get(word[at:])
+                if token is not None and self.has_arc(state, token):
+                    labels[n], begins[n] = token, at
+        if n and labels[n] < 0:
+            raise ValueError(f"no path reads {word!r}")
         found = []
-        while end:
-            found.append(labels[end])
-            end = begins[end]
+        while n:
+            found.append(labels[n])
+            n = begins[n]
         return found[::-1]
 
 
@@ -137,38 +148,52 @@ class Codec:
     """Encodes whole texts and decodes ids; keeps the ids of words met before, up to a limit."""
 
     def __init__(self, vocab: vocabulary.Vocabulary):
-        self.vocab, self.automaton, self.known = vocab, Automaton(vocab), {}
+        self.vocab, self.automaton, self.known, self.pieces = vocab, Automaton(vocab), {}, {}
         self.symbols = vocabulary.byte_symbols()
         labels = {i: s for s, i in [*vocab.ids.items(), *vocab.special.items()]}
-        self.labels = [labels.get(i, "") for i in range(max(labels) + 1)]
+        self.labels = np.array([labels.get(i, "") for i in range(max(labels) + 1)], object)
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         """Ids of a word without white space: normal form, lower case letter by letter, split, bytes as symbols."""
-        word = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
-        pieces = vocabulary.split(vocabulary.WORD_PATTERN, word)
-        return tuple(chain.from_iterable(self.automaton.path("".join(self.symbols[b] for b in p.encode())) for p in pieces))
-
-    def _ordinary(self, text: str):
-        for word in _separators.split(text) if _python_only_space.search(text) else text.split():
-            found = self.known.get(word)
-            if found is None:
-                if len(self.known) >= KEPT_WORDS:
-                    self.known.clear()
-                found = self.known[word] = self._word(word)
-            yield found
-
-    def encode(self, text: str) -> list[int]:
-        found: list[int] = []
-        for i, part in enumerate(self.vocab.split_special(text)):
-            if i % 2:
-                found.append(self.vocab.special[part])
-            else:
-                found.extend(chain.from_iterable(self._ordinary(part)))
+        if word.isascii():
+            pieces = vocabulary.WORD_PATTERN.findall(word.lower())
+        else:
+            word = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+            pieces = ["".join([self.symbols[b] for b in p.encode()]) if not p.isascii() else p
+                      for p in vocabulary.split(vocabulary.WORD_PATTERN, word)]
+        return b"".join([self.pieces.get(p) or self._piece(p) for p in pieces])
+
+    def _piece(self, piece: str) -> bytes:
+        if piece.isascii() and not piece.isprintable():
+            piece = "".join([self.symbols[b] for b in piece.encode()])
+        if len(self.pieces) >= KEPT_WORDS:
+            self.pieces.clear()
+        found = self.pieces[piece] = array("i", self.automaton.path(piece)).tobytes()
         return found
 
-    def decode(self, ids: list[int]) -> str:
+    def _ordinary(self, text: str) -> bytes:
+        words = _separators.split(text) if _python_only_space.search(text) else text.split()
+        known = self.known
+        try:
+            return b"".join(map(known.__getitem__, words))
+        except KeyError:
+            pass
+        if len(known) >= KEPT_WORDS:
+            known.clear()
+        new = {w: self._word(w) for w in set(words).difference(known)}
+        known.update(new)
+        return b"".join(map(known.__getitem__, words))
+
+    def encode(self, text: str) -> np.ndarray:
+        parts = [
+            array("i", [self.vocab.special[part]]).tobytes() if i % 2 else self._ordinary(part)
+            for i, part in enumerate(self.vocab.split_special(text))
+        ]
+        return np.frombuffer(b"".join(parts), np.int32)
+
+    def decode(self, ids: np.ndarray) -> str:
         """Labels joined by one space, special tokens included."""
-        return " ".join(map(self.labels.__getitem__, ids))
+        return " ".join(self.labels[ids].tolist())
 
 
 @lru_cache(2)
@@ -180,8 +205,7 @@ def _columns(path: str, texts: Texts, decode: bool) -> dict:
     own = codec(path)
     ids = [own.encode(t.decode()) for t in texts.bytes()]
     offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-    flat = np.fromiter(chain.from_iterable(ids), np.int32, offsets[-1])
-    found = {"n_tokens": np.diff(offsets).astype(np.int64), "ids": pa.ListArray.from_arrays(offsets, flat)}
+    found = {"n_tokens": np.diff(offsets).astype(np.int64), "ids": pa.ListArray.from_arrays(offsets, np.concatenate(ids))}
     return found | ({"decoded": pa.array(map(own.decode, ids), pa.string())} if decode else {})
 
 
