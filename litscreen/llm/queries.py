@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litscreen.llm import automaton, counts, density, mixing, pivots, recompress, rules, secrets, vantage
+from litscreen.llm import automaton, counts, density, mixing, pivots, recompress, rules, secrets, vantage, warc
 from litscreen.llm.texts import uint64_hex
+from litscreen.session import materialise, shared_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +19,13 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, rules.fit(docs, _table(spark, sf_dir, "labels")))
 
 
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "warc")
+    index = materialise(warc.write(warc.planned(_table(spark, sf_dir, "pages")), folder), "warc-index")
+    records = warc.read(index, folder, payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -66,8 +74,15 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(automaton.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-ALL = [op1_quality_rules, op3_token_counts, op4_substring_recompression, op5_html_density, op6_exact_topk, op7_poisson_mixing, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
+ALL = [op1_quality_rules, op2_warc_index, op3_token_counts, op4_substring_recompression, op5_html_density, op6_exact_topk, op7_poisson_mixing, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
 SQL = {
+    "op2_warc_index": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+             max(page_id) OVER (PARTITION BY html) AS keeper FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to, true AS intact FROM d""",
     "op6_exact_topk": """
 WITH good AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
               WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
