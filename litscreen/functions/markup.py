@@ -37,11 +37,52 @@ def _open_tag(name: str) -> str:
 
 
 def first_element(page: Column, name: str) -> Column:
-    """The first element of that name with its markup; NULL if there is none."""
+    """The first element of that name with its markup; NULL if there is none.
+
+    Elements of the same name inside it belong to it.
+    """
     before = rf"(?:[^<]++|{_HIDDEN}|(?!<(?i:{name})[\s/>])<)*+"
     inside = rf"(?:[^<]++|{_HIDDEN}|(?!</(?i:{name})\s*>)<)*+(?:</(?i:{name})\s*>|\z)"
     pattern = rf"(?s)\A{before}({_open_tag(name)}(?:(?<=/>)|{inside}))"
-    return F.nullif(F.regexp_extract(page, pattern, 1), F.lit(""))
+    whole_tag = rf"(?i:<{name})(?=[\s/>])"
+
+    def checked(found: Column) -> Column:
+        # The pattern ends at the first closing tag, which is right unless another one opens before it.
+        return F.when(F.regexp_count(found, F.lit(whole_tag)) > 1, _by_depth(page, name)).otherwise(F.nullif(found, F.lit("")))
+
+    return let(F.regexp_extract(page, pattern, 1), checked)
+
+
+def _by_depth(page: Column, name: str) -> Column:
+    """The same, by counting tags of that name that open and close. Linear in the page."""
+    opens, closes = _open_tag(name), rf"</(?i:{name})\s*>"
+    pieces = F.regexp_extract_all(page, F.lit(rf"(?s){_HIDDEN}|{opens}|{closes}|(?:[^<]++|(?!{_HIDDEN}|{opens}|{closes})<)++"), F.lit(0))
+
+    def step(state: Column, piece: Column) -> Column:
+        opening = piece.rlike(rf"(?s)\A{opens}\z")
+        empty = F.endswith(piece, F.lit("/>"))
+        change = F.when(opening & ~empty, 1).when((state.first > 0) & piece.rlike(rf"(?s)\A{closes}\z"), -1).otherwise(0)
+        first = F.when((state.first == 0) & opening, state.at).otherwise(state.first)
+        depth = state.depth + change
+        ended = (state.last == 0) & (first > 0) & (depth == 0)
+        return F.struct(
+            (state.at + 1).alias("at"), depth.alias("depth"), first.alias("first"),
+            F.when(ended, state.at).otherwise(state.last).alias("last"),
+        )
+
+    start = F.struct(F.lit(1).alias("at"), F.lit(0).alias("depth"), F.lit(0).alias("first"), F.lit(0).alias("last"))
+
+    def cut(all_pieces: Column) -> Column:
+        def between(state: Column) -> Column:
+            last = F.when(state.last > 0, state.last).otherwise(F.size(all_pieces))
+            return F.when(state.first > 0, F.array_join(F.slice(all_pieces, state.first, last - state.first + 1), ""))
+
+        return let(F.aggregate(all_pieces, start, step), between)
+
+    return let(pieces, cut)
+
+
+_BLOCK = 512  # pieces of text that are gathered at once
 
 
 def decode_characters(text: Column) -> Column:
@@ -128,7 +169,25 @@ def paragraph_text(element: Column, decode: bool = True) -> Column:
             .otherwise(state.texts).alias("texts"),
         )
 
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("texts"))
-    after_tags = let(pieces, lambda p: F.slice(p, F.lit(2), F.size(p)))
-    plain = F.aggregate(after_tags, start, step, lambda state: F.array_join(state.texts, " "))
+    def texts(depth: Column) -> Column:
+        return F.struct(depth.alias("depth"), F.array().cast("array<string>").alias("texts"))
+
+    # A growing array is copied at each step. Pieces are gathered by blocks, so that no copied
+    # array is longer than a block or the number of blocks.
+    def of_block(state: Column, block: Column) -> Column:
+        def joined(found: Column) -> Column:
+            return F.struct(
+                found.depth.alias("depth"),
+                F.when(F.size(found.texts) > 0, F.array_append(state.texts, F.array_join(found.texts, " ")))
+                .otherwise(state.texts).alias("texts"),
+            )
+
+        return let(F.aggregate(block, texts(state.depth), step), joined)
+
+    def blocks(p: Column) -> Column:
+        begins = F.sequence(F.lit(2), F.size(p), F.lit(_BLOCK))
+        return F.when(F.size(p) > 1, F.transform(begins, lambda b: F.slice(p, b, F.lit(_BLOCK)))).when(
+            p.isNotNull(), F.array().cast("array<array<string>>"))
+
+    plain = F.aggregate(let(pieces, blocks), texts(F.lit(0)), of_block, lambda state: F.array_join(state.texts, " "))
     return decode_characters(plain) if decode else plain

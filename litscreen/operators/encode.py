@@ -75,10 +75,17 @@ def encode(
     return cut.select(id_col, ids.alias("input_ids"))
 
 
+def longest_row(documents: DataFrame, text_col: str, max_tokens: int = settings.MAX_TOKENS) -> Column:
+    """The length of the longest row that :func:`encode` makes of these texts, from counts of tokens alone."""
+    tokens = F.least(F.size(text.tokens(F.col(text_col))), F.lit(max_tokens - 2))
+    return documents.agg((F.max(tokens) + 2).alias("longest")).scalar()
+
+
 def pad(encoded: DataFrame, longest: Column | int | None = None) -> DataFrame:
     """Pad with zeros and mark the real tokens by a mask.
 
-    The default pads to the longest row of the data set, which is a value of its own query.
+    The default pads to the longest row of the data set, which encodes it a second time;
+    :func:`longest_row` finds the same number cheaper.
     """
     if longest is None:
         longest = encoded.agg(F.max(F.size("input_ids")).alias("longest")).scalar()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -19,21 +20,33 @@ from litscreen.functions import let, scores, text
 from litscreen.operators.heads import ensemble_mean
 
 
-def bootstrap_weight(id_col: str, member: int, seed: int = settings.SPLIT_SEED, up_to: int = 8) -> Column:
+NORMAL_WIDTH = 4096  # the widest features that the normal equations take
+SCORED_AT_ONCE = 4096  # rows of one call of a member in Python; results do not depend on it
+DRAW_STEP = 2.0**-32  # resolution of a draw
+
+
+def poisson_steps(mean: float = 1.0) -> list[float]:
+    """Probabilities of at most 0, 1, 2 .. draws, as far as a draw can tell them from one."""
+    steps, probability = [], math.exp(-mean)
+    below = probability
+    while below < 1 - DRAW_STEP:
+        steps.append(below)
+        probability *= mean / len(steps)
+        below += probability
+    return steps
+
+
+def bootstrap_weight(id_col: str, member: int, seed: int = settings.SPLIT_SEED) -> Column:
     """How often a row is in the sample of a member when rows are drawn with replacement.
 
     The count follows the Poisson law of mean 1 and is read off the hash of the ID, so it
-    does not depend on the partitions and no row is copied. Counts end at ``up_to``, which
-    is reached about once in a million rows.
+    does not depend on the partitions and no row is copied.
     """
     def count(draw: Column) -> Column:
-        below = probability = 0.36787944117144233  # exp(-1)
-        weight = F.when(draw < below, 0.0)
-        for times in range(1, up_to):
-            probability /= times
-            below += probability
+        weight, steps = F, poisson_steps()
+        for times, below in enumerate(steps):
             weight = weight.when(draw < below, float(times))
-        return weight.otherwise(float(up_to))
+        return weight.otherwise(float(len(steps)))
 
     return let(scores.uniform(F.col(id_col), f"member{member}:{seed}"), count)
 
@@ -78,8 +91,8 @@ def train(
     """Fit all members and return them with their text features as one pipeline.
 
     The features are made once and kept for all fits; kept partitions that are lost are made
-    again from the texts. Each fit is one pass over them (normal equations), so ``width`` is
-    limited to 4096.
+    again from the texts. Up to a ``width`` of 4096 each fit is one pass over them (normal
+    equations), beyond it an iterative one.
     """
     features = text_features(training, text_col, width)
     weighted = with_bootstrap(features.transform(training), id_col, members, seed)
@@ -90,7 +103,7 @@ def train(
         member, target = head
         return LinearRegression(
             featuresCol="features", labelCol=target, weightCol=f"weight_{member}",
-            predictionCol=_output(member, target), regParam=0.01, solver="normal",
+            predictionCol=_output(member, target), regParam=0.01, solver="normal" if width <= NORMAL_WIDTH else "l-bfgs",
         ).fit(rows)
 
     heads = [(member, target) for member in range(members) for target in targets]
@@ -163,7 +176,7 @@ def averaged(
 
 
 def predict_batches(
-    vector: str, make_members: Callable[[], list[Callable]], width: int, batch_size: int = settings.SCORING_BATCH
+    vector: str, make_members: Callable[[], list[Callable]], width: int, batch_size: int = SCORED_AT_ONCE
 ) -> Column:
     """Score with members written in Python: all outputs of all members as one array.
 

@@ -24,8 +24,8 @@ def with_element(pages: DataFrame, name: str, column: str = "element", page: str
 
 
 def bodies(decoded: DataFrame) -> DataFrame:
-    """Query folder, id and body of each article that has one."""
-    return with_element(decoded, "body", "body_html").select("query_folder", "id", "body_html")
+    """Query folder, id, body and time of fetch of each article that has one."""
+    return with_element(decoded, "body", "body_html").select("query_folder", "id", "body_html", "fetched_at")
 
 
 def abstracts(decoded: DataFrame, name: str = "abstract") -> DataFrame:

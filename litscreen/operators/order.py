@@ -17,7 +17,8 @@ _PREFIX_DIGITS = 4  # 16 ** 4 parts
 
 
 def order_hash(id_col: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    """The hash of an ID; a missing ID has one as well."""
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")))
 
 
 def _parts(hashed: DataFrame) -> DataFrame:
@@ -34,15 +35,17 @@ def _hashed(df: DataFrame, id_col: str, seed: int) -> DataFrame:
 
 def _boundary(df: DataFrame, id_col: str, seed: int, share: float) -> DataFrame:
     """One row: the last hash and ID of the test part, of ``ceil(share * n)`` IDs."""
-    hashed = _hashed(df.select(id_col).distinct(), id_col, seed)
-    parts = _parts(hashed)
+    ids = df.select(id_col)
+    parts = _parts(_hashed(ids.distinct(), id_col, seed))
     size = F.ceil(F.sum("_rows").over(Window.partitionBy()) * F.lit(share))
     edge = parts.withColumn("_place", (size - F.col("_before")).cast("long")).filter(
         F.col("_place").between(1, F.col("_rows"))
     )
     place = Window.partitionBy("_part").orderBy("_hash", id_col)
+    # One row; only the IDs of its part are made distinct again.
+    near = _hashed(ids, id_col, seed).join(F.broadcast(edge.select("_part", "_place")), "_part")
     return (
-        hashed.join(F.broadcast(edge.select("_part", "_place")), "_part")  # one row
+        near.distinct()
         .withColumn("_number", F.row_number().over(place))
         .filter(F.col("_number") == F.col("_place"))
         .select(F.struct("_hash", id_col).alias("last"))
@@ -82,8 +85,3 @@ def batches(
     """Deal the shuffled rows to batches of ``size``; the last one may be short."""
     numbered = number_rows(df, id_col, seed, "_row")
     return numbered.withColumn("batch", F.floor(F.col("_row") / size)).drop("_row")
-
-
-def shuffled(df: DataFrame, id_col: str, seed: int = settings.SPLIT_SEED) -> DataFrame:
-    """Rows in a random order that can be repeated, for trainers that read them in order."""
-    return df.orderBy(order_hash(id_col, seed), id_col)

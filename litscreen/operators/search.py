@@ -96,7 +96,7 @@ def matches(
         hits = of_field if hits is None else hits.unionByName(of_field)
     return (
         hits.groupBy(*keys, "query_id", "clauses")
-        .agg(_held_clauses(small and most <= _BITS).alias("_held"))
+        .agg(_held_clauses(small and (most or 0) <= _BITS).alias("_held"))
         .filter(F.col("_held") == F.col("clauses"))
         .select(*keys, "query_id")
     )
@@ -120,16 +120,23 @@ def search_planned(
 ) -> DataFrame:
     """Run the planned queries: match, keep what lies in their dates, take the newest.
 
-    If every query is incremental the oldest date of them is pushed down to the scan.
+    Incremental queries only scan from the oldest to the newest of their dates; queries that
+    are new scan everything, apart from them.
     """
     active = plan.filter(F.col("mode") != "SKIP").select("query_id", "mode", "since", "until")
     oldest, newest_day, full = active.agg(
         F.min("since"), F.max("until"), F.count_if(F.col("mode") == "FULL")
     ).first()
-    if not full and oldest is not None:
-        articles = articles.filter(F.col(day).between(F.lit(oldest), F.lit(newest_day)))
-    terms = query_terms.join(active.select("query_id"), "query_id", "left_semi")
-    pairs = matches(articles, terms, id_col, fields, carry=(day,))
+
+    def searched(rows: DataFrame, wanted: Column) -> DataFrame:
+        terms = query_terms.join(active.filter(wanted).select("query_id"), "query_id", "left_semi")
+        return matches(rows, terms, id_col, fields, carry=(day,))
+
+    pairs = searched(articles, F.col("mode") == "FULL") if full or oldest is None else None
+    if oldest is not None:
+        recent = articles.filter(F.col(day).between(F.lit(oldest), F.lit(newest_day)))
+        new = searched(recent, F.col("mode") == "INCREMENTAL")
+        pairs = new if pairs is None else pairs.unionByName(new)
     ranged = attach(pairs, active, "query_id", id_col).filter(
         (F.col("mode") == "FULL") | F.col(day).between(F.col("since"), F.col("until"))
     )

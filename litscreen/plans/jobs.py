@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from litscreen import session, settings
+from litscreen import schemas, session, settings
 from litscreen.operators import ensemble, evaluate, extract, heads, incremental, order, search
 from litscreen.sinks import tables as sinks
 from litscreen.sources import files, tables
@@ -40,33 +40,46 @@ def select_articles(
     if decision not in ("FULL", "RUN"):
         return decision
     plan = incremental.plan_queries(queries, state, current, first_run)
-    chosen = session.materialise(
-        search.search_planned(
-            corpus, query_terms, plan, "id", "pub_date", fields or {"Abstract": "abstract"}
-        ),
-        "chosen",
+    found = search.search_planned(
+        corpus, query_terms, plan, "id", "pub_date", fields or {"Abstract": "abstract"}
     )
-    # A fixed number of narrow rows per query: Spark broadcasts them if they really are few,
-    # and the contents, the large side, then stay where they are.
-    named = chosen.join(plan.select("query_id", F.col("folder").alias("query_folder")), "query_id")
-    first, last = chosen.agg(F.min("pub_date"), F.max("pub_date")).first()
-    contents = corpus.filter(F.col("pub_date").between(F.lit(first), F.lit(last)))
-    landed = contents.select("id", "content").join(named.select("id", "query_folder"), "id")
-    fetched_at = datetime.datetime.combine(current, datetime.time())
-    stamped = landed.select(
-        "query_folder",
-        F.col("id").cast("string").alias("id"),
-        F.col("content").cast("binary").alias("content"),
-        F.lit(fetched_at).cast("timestamp").alias("fetched_at"),
-    )
-    sinks.upsert_articles(session.materialise(stamped, "fetched"), landing)
+    with session.Staging() as staging:
+        chosen = staging.materialise(found, "chosen")
+        # A fixed number of narrow rows per query: Spark broadcasts them if they really are few,
+        # and the contents, the large side, then stay where they are.
+        named = chosen.join(plan.select("query_id", F.col("folder").alias("query_folder")), "query_id")
+        first, last, undated = chosen.agg(
+            F.min("pub_date"), F.max("pub_date"), F.count_if(F.col("pub_date").isNull())
+        ).first()
+        dated = F.col("pub_date").between(F.lit(first), F.lit(last))
+        contents = corpus.filter(dated | F.col("pub_date").isNull() if undated else dated)
+        landed = contents.select("id", "content").join(named.select("id", "query_folder"), "id")
+        fetched_at = datetime.datetime.combine(current, datetime.time())
+        stamped = landed.select(
+            "query_folder",
+            F.col("id").cast("string").alias("id"),
+            F.col("content").cast("binary").alias("content"),
+            F.lit(fetched_at).cast("timestamp").alias("fetched_at"),
+        )
+        sinks.upsert_articles(stamped, landing)
     sinks.commit_run_state(incremental.advance(state, plan, current), state_path)
     return decision
 
 
-def extract_abstracts(articles: DataFrame, target: str, element: str = "abstract") -> None:
-    """Write text and markup of the abstract of each article, by query folder."""
-    sinks.write_by_folder(extract.abstracts(files.decode(articles), element), target)
+def _report_missing(decoded: DataFrame, element: str, missing: str | None) -> None:
+    """Write which readable articles lack the element."""
+    if missing:
+        lacking = extract.without_element(decoded, element).select("query_folder", "id")
+        lacking.write.mode("overwrite").parquet(missing)
+
+
+def extract_abstracts(
+    articles: DataFrame, target: str, element: str = "abstract", missing: str | None = None
+) -> None:
+    """Add text and markup of the abstract of each article to a table by query folder."""
+    decoded = files.decode(articles)
+    sinks.upsert_by_folder(extract.abstracts(decoded, element), target, schemas.ABSTRACTS)
+    _report_missing(decoded, element, missing)
 
 
 def append_abstracts(extracted: DataFrame, dataset: str) -> None:
@@ -76,18 +89,35 @@ def append_abstracts(extracted: DataFrame, dataset: str) -> None:
 
 
 def build_abstract_dataset(
-    articles: DataFrame, dataset: str, rejected: str | None = None, element: str = "abstract"
+    articles: DataFrame,
+    dataset: str,
+    rejected: str | None = None,
+    element: str = "abstract",
+    missing: str | None = None,
 ) -> None:
     """Extract and clean the abstracts of raw articles and add the new IDs to the data set."""
     decoded = files.decode(articles)
     append_abstracts(extract.abstracts(decoded, element), dataset)
     if rejected:
         files.rejects(decoded).write.mode("overwrite").parquet(rejected)
+    _report_missing(decoded, element, missing)
+
+
+def extract_bodies(
+    articles: DataFrame, target: str, strict: bool = False, missing: str | None = None
+) -> None:
+    """Add the body of each article to a table by query folder."""
+    decoded = files.decode(articles, strict)
+    sinks.upsert_by_folder(extract.bodies(decoded), target, schemas.BODIES)
+    _report_missing(decoded, "body", missing)
 
 
-def extract_bodies(articles: DataFrame, target: str, strict: bool = False) -> None:
-    """Write the body of each article, by query folder."""
-    sinks.write_by_folder(extract.bodies(files.decode(articles, strict)), target)
+def training_losses(model: PipelineModel, fitting: DataFrame, seed: int = settings.SPLIT_SEED) -> DataFrame:
+    """The loss of each shuffled batch of the training part; ``evaluate.epoch_loss`` sums it up."""
+    names = [f"_fitted_{target}" for target in settings.SCORE_COLUMNS]
+    fitted = ensemble.averaged(ensemble.outputs(model, fitting), names, "sigmoid")
+    dealt = order.batches(fitted, settings.ID_COLUMN, seed=seed)
+    return evaluate.batch_losses(dealt, "batch", list(zip(names, settings.SCORE_COLUMNS)))
 
 
 def train_ensemble(
@@ -95,11 +125,13 @@ def train_ensemble(
     model_path: str,
     seed: int = settings.SPLIT_SEED,
     original_truth: bool = False,
+    losses: str | None = None,
     **options,
 ) -> tuple[PipelineModel, DataFrame, DataFrame]:
     """Train on noised scores, save the ensemble, and return it with comparison and MSE.
 
-    As a rule the noised scores are the truth of the comparison as well.
+    As a rule the noised scores are the truth of the comparison as well. ``losses`` is where
+    the batch losses of the fitted ensemble go, if anywhere.
     """
     evaluate.require_complete(training)
     noised = evaluate.add_noise(training, settings.ID_COLUMN, seed=seed)
@@ -109,6 +141,8 @@ def train_ensemble(
     )
     model = ensemble.train(fitting, seed=seed, **options)
     ensemble.save(model, model_path)
+    if losses:
+        training_losses(model, fitting, seed).write.mode("overwrite").parquet(losses)
     scored = ensemble.averaged(
         ensemble.outputs(model, test_part), settings.EVALUATED_COLUMNS, "sigmoid"
     )

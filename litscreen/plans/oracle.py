@@ -164,11 +164,11 @@ _DIFF_S = '("predicted_SoE_score" - "randomized_SoE_score")'
 
 def _weight(member: int) -> str:
     draw, below, probability, cases = _uniform("doc_id", f"member{member}:42"), 0.0, 0.36787944117144233, []
-    for count in range(8):
+    while below < 1 - 2.0**-32:
         below += probability
-        cases.append(f"WHEN {draw} < {below!r}::DOUBLE THEN {count}")
-        probability /= count + 1
-    return f"(CASE {' '.join(cases)} ELSE 8 END)::DOUBLE AS weight_{member}"
+        cases.append(f"WHEN {draw} < {below!r}::DOUBLE THEN {len(cases)}")
+        probability /= len(cases)
+    return f"(CASE {' '.join(cases)} ELSE {len(cases)} END)::DOUBLE AS weight_{member}"
 
 
 # ---------------------------------------------------------------- tokens

@@ -500,7 +500,7 @@ def encode_tokens(spark, d):
 
 
 def encode_padded(spark, d):
-    padded = encode.pad(_encoded(spark, d))
+    padded = encode.pad(_encoded(spark, d), encode.longest_row(_articles(spark, d), "text"))
     return padded.select(
         "doc_id", F.array_join("input_ids", " ").alias("input_ids"),
         F.array_join("attention_mask", "").alias("attention_mask"),

@@ -39,22 +39,49 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+MOST_SPREAD = 64  # splits from which on a table counts as large
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use all cores where a scan has fewer splits than there are cores.
 
     Costly row work on a file with one row group would run in one task. A large table has
-    far more splits than cores and passes through without a shuffle. For scans only.
+    more splits than that and passes through without a shuffle, whatever the cluster has. For
+    scans only.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    cores = min(MOST_SPREAD, df.sparkSession.sparkContext.defaultParallelism)
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def _write_and_read(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write a result to the shared folder and read it back.
 
     Cuts the lineage where a result is used more than once, and lets Spark know its true
     size, so that it is broadcast only if it is small.
     """
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _write_and_read(df, shared_folder(df.sparkSession, purpose))
+
+
+class Staging:
+    """Materialised tables of one job, removed when it is over: ``with Staging() as staging``."""
+
+    def __init__(self):
+        self._written: list[tuple[SparkSession, str]] = []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def materialise(self, df: DataFrame, purpose: str) -> DataFrame:
+        path = shared_folder(df.sparkSession, purpose)
+        self._written.append((df.sparkSession, path))
+        return _write_and_read(df, path)
+
+    def __exit__(self, *error) -> None:
+        for spark, path in self._written:
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

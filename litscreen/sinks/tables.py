@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from litscreen import schemas
 from litscreen.operators.dedup import absent, first_per_key, latest_per_key
-from litscreen.session import materialise
+from litscreen.session import Staging
 from litscreen.sources.tables import exists, read_appended, versions
 
 
@@ -22,20 +26,51 @@ def write_by_folder(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def upsert_articles(new: DataFrame, path: str) -> None:
-    """Land articles: one row per query folder and id, the last fetch wins.
+MOST_NAMED_FOLDERS = 10_000  # beyond it folders are met by a join, which prunes no partitions
+
+
+def _touched(landed: DataFrame, new: DataFrame) -> DataFrame:
+    """The rows of the folders that got something new; other partitions are not read."""
+    folders = new.select("query_folder").distinct()
+    names = [row.query_folder for row in folders.limit(MOST_NAMED_FOLDERS + 1).collect()]
+    if len(names) > MOST_NAMED_FOLDERS:
+        same = F.col("query_folder").eqNullSafe(F.col("_folder"))
+        return landed.join(folders.withColumnRenamed("query_folder", "_folder"), same, "left_semi")
+    wanted = F.col("query_folder").isin([n for n in names if n is not None])
+    return landed.filter(wanted | F.col("query_folder").isNull() if None in names else wanted)
+
+
+def upsert_by_folder(new: DataFrame, path: str, schema: T.StructType) -> None:
+    """One row per query folder and id, the last fetch wins; of fetches at the same time the later batch.
 
-    Only the folders that got something new are read and written again; they are staged in
-    full before they take the place of the old ones.
+    Only the folders that got something new are read and written again. Which rows win is
+    decided on keys and times alone; the contents that stay are not moved for it. An empty
+    folder name and a missing one are the same folder, read back as NULL.
     """
-    spark = new.sparkSession
-    merged = new
-    if exists(spark, path):
-        touched = new.select("query_folder").distinct()
-        landed = spark.read.schema(schemas.ARTICLES_RAW).parquet(path)
-        merged = landed.join(touched, "query_folder", "left_semi").unionByName(new)
-    order = [F.col("fetched_at").desc(), F.md5("content")]
-    write_by_folder(latest_per_key(merged, ["query_folder", "id"], order), path)
+    keys = ["query_folder", "id"]
+    named = new.withColumn("query_folder", F.nullif("query_folder", F.lit(""))).select(*schema.names)
+    others = [F.col(c) for c in schema.names if c not in (*keys, "fetched_at")]
+    newest = [F.col("fetched_at").desc(), F.xxhash64(*others)]
+    with Staging() as staging:
+        batch = staging.materialise(latest_per_key(named, keys, newest), "upsert")
+        merged = batch
+        if exists(new.sparkSession, path):
+            landed = _touched(new.sparkSession.read.schema(schema).parquet(path), batch)
+            times = batch.select(*[F.col(c).alias(f"_{c}") for c in (*keys, "fetched_at")])
+            same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
+            newer = F.col("_fetched_at").isNull() & F.col("fetched_at").isNull()
+            newer |= F.coalesce(F.col("_fetched_at") >= F.col("fetched_at"), F.col("_fetched_at").isNotNull())
+            kept = landed.join(times, same & newer, "left_anti")
+            older = landed.select(*[F.col(c).alias(f"_{c}") for c in (*keys, "fetched_at")])
+            later = F.col("fetched_at").isNull() & F.col("_fetched_at").isNotNull()
+            later |= F.coalesce(F.col("_fetched_at") > F.col("fetched_at"), F.lit(False))
+            merged = kept.unionByName(batch.join(older, same & later, "left_anti"))
+        write_by_folder(merged, path)
+
+
+def upsert_articles(new: DataFrame, path: str) -> None:
+    """Land articles."""
+    upsert_by_folder(new, path, schemas.ARTICLES_RAW)
 
 
 def append_unseen(new: DataFrame, path: str, key: str, order: list[Column]) -> None:
@@ -46,10 +81,11 @@ def append_unseen(new: DataFrame, path: str, key: str, order: list[Column]) -> N
     knows its size, and the keys of the table are filtered by it before they are moved.
     """
     fresh = first_per_key(new, [key], order)
-    if exists(new.sparkSession, path):
-        fresh = materialise(fresh, "batch")
-        fresh = absent(read_appended(new.sparkSession, path, new.schema), fresh, key)
-    fresh.hint("rebalance").write.mode("append").parquet(path)
+    with Staging() as staging:
+        if exists(new.sparkSession, path):
+            fresh = staging.materialise(fresh, "batch")
+            fresh = absent(read_appended(new.sparkSession, path, new.schema), fresh, key)
+        fresh.hint("rebalance").write.mode("append").parquet(path)
 
 
 def write_version(df: DataFrame, path: str) -> str:
@@ -66,5 +102,9 @@ def commit_run_state(state: DataFrame, path: str) -> str:
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with header and doubled quotes, for programs outside Spark."""
-    df.write.mode(mode).options(header=True, escape='"').csv(path)
+    """CSV with header and doubled quotes, for programs outside Spark. Blanks at the ends of texts stay.
+
+    CSV does not tell an empty text from a missing one; read back, both are NULL.
+    """
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode(mode).options(header=True, escape='"', **blanks).csv(path)

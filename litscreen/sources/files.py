@@ -76,7 +76,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A CSV file with header, quotes doubled, line breaks inside quotes allowed."""
     return (
         spark.read.schema(schema)
-        .options(header=True, multiLine=True, escape='"', mode="FAILFAST", enforceSchema=False)
+        .options(header=True, multiLine=True, escape='"', mode="FAILFAST", enforceSchema=False,
+                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         .csv(path)
     )
 

@@ -50,3 +50,16 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed articles. Folder names stay texts, also where they look like numbers."""
+    return read_appended(spark, path, schemas.ARTICLES_RAW)
+
+
+def read_bodies(spark: SparkSession, path: str) -> DataFrame:
+    return read_appended(spark, path, schemas.BODIES)
+
+
+def read_abstracts_table(spark: SparkSession, path: str) -> DataFrame:
+    return read_appended(spark, path, schemas.ABSTRACTS)

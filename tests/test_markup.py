@@ -77,3 +77,28 @@ def test_long_pages_do_not_overflow(spark, page):
     df = spark.createDataFrame([(page,)], "v string")
     element = markup.first_element(F.col("v"), "body")
     df.select(element, markup.paragraph_text(F.col("v"))).collect()
+
+
+NESTED = {
+    "<body>a<body>b</body>c<p>d</p></body>e": "<body>a<body>b</body>c<p>d</p></body>",
+    "x<BODY>a<body k='</body>'>b</Body >c": "<BODY>a<body k='</body>'>b</Body >c",
+    "<body><!-- <body> -->a</body>b": "<body><!-- <body> -->a</body>",
+    "<body>a<body/>b</body>c<body>d</body>": "<body>a<body/>b</body>",
+    "<body>1<body>2<body>3</body></body><script></body></script>4</body>5": "<body>1<body>2<body>3</body></body><script></body></script>4</body>",
+    "<bodyx><body>a<bodyx></body>b": "<body>a<bodyx></body>",
+}
+
+
+def test_element_holds_elements_of_its_name(spark):
+    assert _apply(spark, lambda c: markup.first_element(c, "body"), list(NESTED)) == list(NESTED.values())
+
+
+def test_many_paragraphs_and_levels_take_linear_time(spark):
+    import time
+
+    start = time.time()
+    page = "<abstract>" + "<p>a</p>" * 100_000 + "</abstract>"
+    assert _apply(spark, markup.paragraph_text, [page]) == [" ".join(["a"] * 100_000)]
+    page = "<body>" * 30_000 + "x" + "</body>" * 30_000 + "y"
+    assert _apply(spark, lambda c: markup.first_element(c, "body"), [page]) == [page[:-1]]
+    assert time.time() - start < 90

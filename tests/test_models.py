@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from litscreen import schemas, settings
 from litscreen.functions import scores
-from litscreen.operators import encode, ensemble, heads
+from litscreen.operators import encode, ensemble, evaluate, heads
 from litscreen.plans import jobs
 from litscreen.sources import tables
 
@@ -114,6 +114,19 @@ def test_training_job(spark, trained):
         jobs.train_ensemble(training.withColumn("ID", F.lit(None).cast("string")), path)
 
 
+def test_training_losses(spark, trained, tmp_path):
+    training, path, _ = trained
+    losses = str(tmp_path / "losses")
+    jobs.train_ensemble(training, path, width=64, losses=losses)
+    rows = spark.read.parquet(losses)
+    assert rows.count() == 12 and 0 < evaluate.epoch_loss(rows).first().loss < 0.2
+
+
+def test_steps_of_the_bootstrap_end_below_the_resolution():
+    steps = ensemble.poisson_steps()
+    assert 1 - steps[-1] > 2**-32 and 1 - steps[-1] < 2**-28 and steps == sorted(steps)
+
+
 def test_scoring_job(spark, trained, tmp_path):
     _, path, _ = trained
     rows = [("gene variant study", "1"), ("weather report today", "2"), ("gene variant study gene", "3")]

@@ -36,7 +36,6 @@ def test_numbers_and_batches(spark):
     assert numbered == {i: n for n, i in enumerate(_sorted(ids))}
     sizes = [r.n for r in evaluate.counts_by(order.batches(df, "ID", 6), "batch").orderBy("batch").collect()]
     assert sizes == [6] * 33 + [2]
-    assert [r.ID for r in order.shuffled(df, "ID").collect()] == _sorted(ids)
 
 
 def test_epoch_loss_weighs_batches_equally(spark):
@@ -65,3 +64,11 @@ def test_noise_stays_in_its_bounds(spark):
     ratios = [r.randomized_AwT_score / r.AwT_score - 1 for r in rows if 0 < r.AwT_score < 0.9]
     assert abs(sum(ratios) / len(ratios)) < 0.003 and max(ratios) > 0.045 and min(ratios) < -0.045
     assert len({r.randomized_SoE_score for r in rows}) > 900
+
+
+def test_missing_ids_are_numbered_and_split_too(spark):
+    df = spark.createDataFrame([("a",), (None,), ("b",), (None,)], "ID string")
+    assert sorted(r.row for r in order.number_rows(df, "ID", 42).collect()) == [0, 1, 2, 3]
+    for seed in range(6):
+        train, test = order.split(df, "ID", 0.4, seed)
+        assert train.count() + test.count() == 4 and test.select("ID").distinct().count() == 2

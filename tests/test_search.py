@@ -98,3 +98,29 @@ def test_planned_search_takes_the_newest_in_range(spark):
     assert len([1 for q, _, _ in run(state, None) if q == "new"]) == 100
     everything_seen = queries.select("query_id", F.lit(last).alias("last_fetch"))
     assert {d for _, _, d in run(everything_seen, None)} == {day + datetime.timedelta(i) for i in range(9, 15)}
+
+
+def test_no_usable_term_finds_nothing(spark):
+    articles = spark.createDataFrame([(1, "some text")], "id long, text string")
+    terms = "query_id string, clause int, term string, field string"
+    for rows in ([], [("q", 0, "...", "Abstract"), ("q", 1, None, "Abstract")]):
+        found = search.matches(articles, spark.createDataFrame(rows, terms), "id", {"Abstract": "text"})
+        assert found.count() == 0
+
+
+def test_a_new_query_does_not_widen_the_scan_of_the_others(spark, tmp_path):
+    import datetime
+
+    day = datetime.date(2024, 1, 1)
+    rows = [(i, f"alpha beta{i % 2}", day + datetime.timedelta(days=i)) for i in range(40)] + [(99, "beta1", None)]
+    spark.createDataFrame(rows, "id long, text string, pub_date date").write.parquet(str(tmp_path / "corpus"))
+    corpus = spark.read.parquet(str(tmp_path / "corpus"))
+    terms = spark.createDataFrame([("old", 0, "alpha", "Abstract"), ("new", 0, "beta1", "Abstract")],
+                                  "query_id string, clause int, term string, field string")
+    plan = spark.createDataFrame([("old", "INCREMENTAL", datetime.date(2024, 2, 1), datetime.date(2024, 2, 5)), ("new", "FULL", None, None)],
+                                 "query_id string, mode string, since date, until date")
+    found = search.search_planned(corpus, terms, plan, "id", "pub_date", {"Abstract": "text"}, count=None)
+    got = {(r.query_id, r.id) for r in found.collect()}
+    assert got == {("old", i) for i in range(31, 36)} | {("new", i) for i in range(1, 40, 2)} | {("new", 99)}
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(pub_date,2024-02-01)" in text and "LessThanOrEqual(pub_date,2024-02-05)" in text

@@ -126,3 +126,47 @@ def test_csv(spark, tmp_path):
     assert [tuple(r) for r in got] == [('a "b", c', 0.9, 0.2, "PMC9569987"), ("x", 1.0, None, "11143662")]
     with pytest.raises(Exception):
         files.read_abstracts_csv(spark, str(tmp_path / "nowhere")).collect()
+
+
+def test_blanks_survive_csv(spark, tmp_path):
+    rows = [("  lead and trail  ", "1"), ("\ttab\n", "2"), (" ", "3"), (None, "4"), ("", "5")]
+    sinks.export_csv(spark.createDataFrame(rows, schemas.ABSTRACT_DATASET), str(tmp_path / "csv"))
+    got = {r.ID: r.Abstract for r in files.read_abstracts_csv(spark, str(tmp_path / "csv")).collect()}
+    assert got == {"1": "  lead and trail  ", "2": "\ttab\n", "3": " ", "4": None, "5": None}
+
+
+def test_second_batch_keeps_the_first(spark, corpus, tmp_path):
+    """Artefacts of one folder from two batches; numbers as folder names stay texts."""
+    articles = files.read_articles(spark, corpus).withColumn("query_folder", F.when(F.col("query_folder") == "qA", "007").otherwise(F.col("query_folder")))
+    bodies, abstracts, missing = (str(tmp_path / n) for n in ("bodies", "abstracts", "missing"))
+    for part in ("id = '101'", "id <> '101'", "id = '107'"):
+        jobs.extract_bodies(articles.filter(part), bodies)
+        jobs.extract_abstracts(articles.filter(part), abstracts, missing=missing)
+    assert {(r.query_folder, r.id) for r in tables.read_bodies(spark, bodies).collect()} == {("007", "101"), ("qB", "101"), (FOLDER, "107")}
+    got = {(r.query_folder, r.id) for r in tables.read_abstracts_table(spark, abstracts).collect()}
+    assert got == {("007", "101"), ("qB", "101"), ("qB", "103"), (FOLDER, "107")}
+    jobs.extract_bodies(articles, bodies, missing=missing)
+    assert ("007", "102") in {(r.query_folder, r.id) for r in spark.read.parquet(missing).collect()}
+
+
+def test_upsert_without_folder_and_without_moving_contents(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    day = datetime.datetime(2024, 1, 1)
+    batch = lambda *rows: spark.createDataFrame([(f, i, c.encode(), d) for f, i, c, d in rows], schemas.ARTICLES_RAW)
+    sinks.upsert_articles(batch((None, "1", "a", day), ("", "2", "b", day), ("x", "1", "c", None)), path)
+    sinks.upsert_articles(batch((None, "3", "d", day), (None, "1", "later", day), ("x", "1", "e", None), ("x", None, "f", day)), path)
+    sinks.upsert_articles(batch(("x", None, "g", None)), path)
+    got = {(r.query_folder, r.id, r.content.decode()) for r in tables.read_landed(spark, path).collect()}
+    assert got == {(None, "1", "later"), (None, "2", "b"), (None, "3", "d"), ("x", "1", "e"), ("x", None, "f")}
+    touched = sinks._touched(tables.read_landed(spark, path), batch(("x", "9", "h", day)))
+    assert "PartitionFilters: [isnotnull(query_folder" in touched._jdf.queryExecution().executedPlan().toString()
+
+
+def test_selection_lands_articles_without_a_date(spark, tmp_path):
+    corpus = spark.createDataFrame([("1", "alpha", "one", datetime.date(2024, 1, 2)), ("2", "alpha", "two", None)],
+                                   "id string, abstract string, content string, pub_date date")
+    queries = spark.createDataFrame([("q", "alpha", "q")], schemas.QUERIES)
+    terms = spark.createDataFrame([("q", 0, "alpha", "Abstract")], schemas.QUERY_TERMS)
+    landing, state = str(tmp_path / "landing"), str(tmp_path / "state")
+    jobs.select_articles(spark, corpus, queries, terms, landing, state, datetime.date(2024, 1, 5), first_run=True)
+    assert {r.id for r in tables.read_landed(spark, landing).collect()} == {"1", "2"}
