@@ -8,7 +8,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+from pyspark.ml.feature import (
+    IDF, CountVectorizerModel, HashingTF, RegexTokenizer, SQLTransformer, VectorAssembler,
+)
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +22,8 @@ from litscreen.functions import let, scores, text
 from litscreen.operators.heads import ensemble_mean
 
 
+# The tokens of a text as an expression, for a stage that is saved with its model.
+_TOKENS = "regexp_extract_all(lower(coalesce({column}, '')), r'" + text.TOKEN + "', 0)"
 NORMAL_WIDTH = 4096  # the widest features that the normal equations take
 SCORED_AT_ONCE = 4096  # rows of one call of a member in Python; results do not depend on it
 DRAW_STEP = 2.0**-32  # resolution of a draw
@@ -74,8 +78,26 @@ def text_features(texts: DataFrame, text_col: str, width: int) -> PipelineModel:
     ]).fit(texts)
 
 
-def as_embedding(vector: str) -> Column:
-    return vector_to_array(F.col(vector), "float32")
+def vocabulary_features(texts: DataFrame, vocab: DataFrame, text_col: str) -> PipelineModel:
+    """Counts of the terms of a vocabulary, in the order of its ids, weighted by how few texts hold them.
+
+    The vocabulary comes to the driver: it is bounded by the size it was made with.
+    """
+    terms = [row.term for row in vocab.orderBy("token_id").select("term").collect()]
+    counts = CountVectorizerModel.from_vocabulary(terms, inputCol="_tokens", outputCol="_counts")
+    tokens = SQLTransformer(statement="SELECT *, " + _TOKENS.replace("{column}", text_col) + " AS _tokens FROM __THIS__")
+    return Pipeline(stages=[tokens, counts, IDF(inputCol="_counts", outputCol="features")]).fit(texts)
+
+
+def line(rows: DataFrame, x: str, y: str) -> tuple[float, float]:
+    """Slope and intercept of ``y`` on one feature, without regularisation."""
+    assembled = VectorAssembler(inputCols=[x], outputCol="_x").transform(rows)
+    fitted = LinearRegression(featuresCol="_x", labelCol=y, solver="normal").fit(assembled)
+    return float(fitted.coefficients[0]), float(fitted.intercept)
+
+
+def as_embedding(vector: str, kind: str = "float32") -> Column:
+    return vector_to_array(F.col(vector), kind)
 
 
 def train(

@@ -107,7 +107,7 @@ _SENTENCE_FOUND = _found(f"""
     SELECT query_id, clause, unnest(string_split(trim({_words('sentence')}), ' ')) AS term FROM (
       SELECT item_id::VARCHAR AS query_id, unnest(parts) AS sentence, generate_subscripts(parts, 1) AS clause
       FROM (SELECT item_id, string_split(text, '.') AS parts FROM benchmark)))
-  WHERE length(term) >= 5""")
+  WHERE term <> ''""")
 _PHRASE_FOUND = _found("SELECT item_id::VARCHAR AS query_id, 0 AS clause, text AS term FROM benchmark")
 _TOP_50 = """
 top AS (
@@ -120,7 +120,7 @@ top AS (
 _STATE = """
 state AS (
   SELECT user_id, max(ts)::DATE AS last_fetch FROM events
-  WHERE ts < DATE '2024-01-20' AND event_type = 'error' GROUP BY user_id)
+  WHERE ts < DATE '2024-01-20' AND user_id % 7 <> 3 GROUP BY user_id)
 """
 _PLAN = f"""
 WITH {_STATE},
@@ -218,13 +218,13 @@ SQL = {
         FROM benchmark""",
     "date_reformat": "SELECT event_id, strftime(ts, '%Y/%m/%d') AS day FROM events",
     "normalise_lines": f"""
-        SELECT * FROM (SELECT doc_id, {_one_line('text')} AS "Abstract" FROM documents) WHERE "Abstract" <> ''""",
+        SELECT * FROM (SELECT doc_id, {_one_line('text')} AS "Abstract" FROM documents WHERE doc_id % 9 <> 0) WHERE "Abstract" <> ''""",
     "extract_body": f"""
         SELECT * FROM (SELECT page_id, {_element('html', 'body')} AS body_html FROM pages) WHERE body_html <> ''""",
     "extract_paragraphs": f"""
         SELECT page_id, {_paragraphs('element')} AS abstract_text
-        FROM (SELECT page_id, {_element('html', 'article')} AS element FROM pages) WHERE element <> ''""",
-    "missing_element": "SELECT page_id FROM pages WHERE NOT regexp_matches(html, '(?i)<abstract[\\s/>]')",
+        FROM (SELECT page_id, {_element('html', 'article')} AS element FROM pages WHERE page_id % 3 <> 0) WHERE element <> ''""",
+    "missing_element": "SELECT page_id FROM pages WHERE page_id % 3 = 0 OR NOT regexp_matches(html, '(?i)<article[\\s/>]')",
     "landing_upsert": f"""
         SELECT {_FOLDER} AS query_folder, {_PAGE_ID} AS id, page_id + 1800 AS fetched_at, md5(html) AS content_md5 FROM pages
         QUALIFY row_number() OVER (PARTITION BY {_FOLDER}, {_PAGE_ID} ORDER BY page_id DESC) = 1""",
@@ -272,10 +272,11 @@ SQL = {
     "newest_articles": """
         SELECT doc_id, source, strftime(ts, '%Y-%m-%d') AS pub_date FROM documents JOIN events ON event_id = doc_id
         ORDER BY ts::DATE DESC, doc_id LIMIT 50""",
-    "date_range": "SELECT event_id, user_id FROM events WHERE ts::DATE BETWEEN DATE '2024-01-20' AND DATE '2024-01-29'",
+    "date_range": "SELECT event_id, user_id FROM events WHERE ts::DATE BETWEEN DATE '2024-01-20' AND DATE '2024-01-30'",
     "run_gate": """
-        SELECT user_id, CASE WHEN days = 0 THEN 'SKIP_SAME_DAY' WHEN days >= 7 THEN 'RUN' ELSE 'SKIP_TOO_SOON' END AS gate
-        FROM (SELECT user_id, abs(date_diff('day', max(ts)::DATE, DATE '2024-02-05')) AS days FROM events GROUP BY user_id)""",
+        SELECT DISTINCT user_id, CASE WHEN user_id % 11 = 0 THEN 'FULL' WHEN user_id % 5 = 0 THEN 'ERROR_NO_STATE'
+          WHEN user_id % 12 = 0 THEN 'SKIP_SAME_DAY' WHEN user_id % 12 >= 7 THEN 'RUN' ELSE 'SKIP_TOO_SOON' END AS gate
+        FROM events""",
     "query_plan": f"""{_PLAN}
         SELECT query_id, mode, CASE mode WHEN 'FULL' THEN text WHEN 'INCREMENTAL'
           THEN text || ' AND (' || strftime(last_fetch, '%Y/%m/%d') || '[PubDate] : 2024/01/30[PubDate])' END AS search_text
@@ -323,11 +324,31 @@ SQL = {
         SELECT doc_id, array_to_string(ids, ' ') || repeat(' 0', n - len(ids)) AS input_ids,
                repeat('1', len(ids)) || repeat('0', n - len(ids)) AS attention_mask
         FROM encoded, longest""",
+    "landed_files": f"""
+        SELECT query_folder, id, md5(content) AS content_md5, md5(content) AS text_md5 FROM (
+          SELECT {_FOLDER} AS query_folder, {_PAGE_ID} AS id, replace(html, chr(10), ' ') || chr(10) AS content FROM pages
+          QUALIFY row_number() OVER (PARTITION BY {_FOLDER}, {_PAGE_ID} ORDER BY page_id DESC) = 1)""",
     "stream_ingest": f"""
         SELECT "ID", "Abstract" FROM (
-          SELECT {_PAGE_ID} AS "ID", page_id, {_one_line(_paragraphs(_element('html', 'article')))} AS "Abstract"
-          FROM pages WHERE {_element('html', 'article')} <> '')
+          SELECT {_PAGE_ID} AS "ID", {_FOLDER} AS folder, {_one_line(_paragraphs(_element("replace(html, chr(10), ' ')", 'article')))} AS "Abstract" FROM (
+            SELECT * FROM pages QUALIFY row_number() OVER (PARTITION BY {_FOLDER}, {_PAGE_ID} ORDER BY page_id DESC) = 1))
         WHERE "Abstract" <> ''
-        QUALIFY row_number() OVER (PARTITION BY "ID" ORDER BY page_id) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY "ID" ORDER BY folder) = 1""",
+    "text_embedding": f"""WITH {_VOCAB},
+        found AS (SELECT doc_id, term, count(*) AS times FROM (SELECT doc_id, unnest(tokens) AS term FROM spoken) GROUP BY ALL),
+        held AS (SELECT term, count(*) AS df FROM found GROUP BY term)
+        SELECT doc_id, (token_id - 4)::INT AS place,
+               round(times * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)::DOUBLE), 6) AS weight
+        FROM found JOIN vocab USING (term) JOIN held USING (term)
+        WHERE ln(((SELECT count(*) FROM documents) + 1) / (df + 1)::DOUBLE) > 0""",
+    "linear_fit": """
+        SELECT round(1e6 * regr_slope(quality, n_chars), 6) AS slope_per_million, round(regr_intercept(quality, n_chars), 6) AS intercept
+        FROM documents JOIN labels USING (doc_id)""",
+    "ml_ensemble": f"""WITH {_NOISED}, {_SHUFFLED}
+        SELECT doc_id AS "ID", round("randomized_AwT_score", 9) AS "randomized_AwT_score",
+               round("randomized_SoE_score", 9) AS "randomized_SoE_score", true AS in_range, true AS averaged
+        FROM shuffled JOIN noised USING (doc_id), size WHERE row < n""",
+    "ml_score": """
+        SELECT doc_id::VARCHAR AS "ID", md5(text) AS abstract_md5, true AS in_range, true AS filtered FROM documents""",
     "stream_dedup": """SELECT DISTINCT user_id || ':' || event_type AS "ID" FROM events""",
 }

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,7 +144,9 @@ def date_reformat(spark, d):
 
 
 def normalise_lines(spark, d):
-    line = text.one_line(F.col("text"))
+    """Each ninth text is turned into blanks and has to go."""
+    blanks = F.when(F.col("doc_id") % 9 == 0, F.regexp_replace("text", r"\S", " ")).otherwise(F.col("text"))
+    line = text.one_line(blanks)
     return extract.keep_present(_articles(spark, d), line, "Abstract", empty=False).drop("text")
 
 
@@ -156,14 +160,20 @@ def extract_body(spark, d):
     return extract.with_element(_pages(spark, d), "body", "body_html").drop("page")
 
 
+def _pages_some_without(spark, d):
+    """Each third page holds its text in another element."""
+    other = F.regexp_replace("page", "<(/?)article>", "<$1section>")
+    return _pages(spark, d).withColumn("page", F.when(F.col("page_id") % 3 == 0, other).otherwise(F.col("page")))
+
+
 def extract_paragraphs(spark, d):
-    found = extract.with_element(_pages(spark, d), "article")
+    found = extract.with_element(_pages_some_without(spark, d), "article")
     plain = text.without_quotes(markup.paragraph_text(F.col("element")))
     return found.select("page_id", plain.alias("abstract_text"))
 
 
 def missing_element(spark, d):
-    return extract.without_element(_pages(spark, d), "abstract").drop("page")
+    return extract.without_element(_pages_some_without(spark, d), "article").drop("page")
 
 
 _ADDRESS = r"//[^/]+/([a-z]+)/([0-9]+)"
@@ -200,12 +210,39 @@ def abstract_dataset(spark, d):
     return spark.read.parquet(target).select("ID", "Abstract")
 
 
+def _two_batches(spark, d):
+    """The same articles as they come in two batches, with both in the same folders."""
+    articles = _raw_articles(spark, d)
+    later = F.unix_seconds("fetched_at") % 2 == 0
+    return articles.filter(~later), articles.filter(later)
+
+
 def abstract_table(spark, d):
     """Text and markup of each element as a table by query folder."""
     target = shared_folder(spark, "abstract-table")
+    for batch in _two_batches(spark, d):
+        jobs.extract_abstracts(batch, target, "article")
+    return tables.read_abstracts_table(spark, target).drop("fetched_at")
+
+
+_STORED = {"glob": "*/*/*.txt", "folder": r"query_folder=([^/]+)/[^/]+/[^/]+\z", "name": r"id=([^/]+)/[^/]+\z"}
+
+
+def _landed_files(spark, d):
+    """One text file for each address, in folders that name it; Spark ends it with a line feed."""
+    target = shared_folder(spark, "files")
     latest = dedup.latest_per_key(_raw_articles(spark, d), ["query_folder", "id"], [F.col("fetched_at").desc()])
-    jobs.extract_abstracts(latest, target, "article")
-    return spark.read.parquet(target).select("query_folder", "id", "abstract_text", "abstract_html")
+    one_line = F.regexp_replace(F.col("content").cast("string"), r"\n", " ").alias("value")
+    latest.select("query_folder", "id", one_line).repartition("query_folder", "id").write.partitionBy("query_folder", "id").text(target)
+    return target
+
+
+def landed_files(spark, d):
+    """Articles that lie as files, read as bytes and as texts."""
+    target = _landed_files(spark, d)
+    articles = files.read_articles(spark, target, **_STORED).select("query_folder", "id", F.md5("content").alias("content_md5"))
+    texts = files.read_extracted(spark, target, **_STORED).select("query_folder", "id", F.md5("abstract_text").alias("text_md5"))
+    return articles.join(texts, ["query_folder", "id"])
 
 
 def decode_rejects(spark, d):
@@ -217,12 +254,9 @@ def decode_rejects(spark, d):
 def body_table(spark, d):
     """The bodies as a table by query folder."""
     target = shared_folder(spark, "bodies")
-    jobs.extract_bodies(dedup.latest_per_key(
-        _raw_articles(spark, d), ["query_folder", "id"], [F.col("fetched_at").desc()]
-    ), target)
-    return spark.read.parquet(target).select(
-        F.col("query_folder").cast("string").alias("query_folder"), "id", "body_html"
-    )
+    for batch in _two_batches(spark, d):
+        jobs.extract_bodies(batch, target)
+    return tables.read_bodies(spark, target).drop("fetched_at")
 
 
 def csv_round_trip(spark, d):
@@ -305,13 +339,13 @@ def boolean_search_top50(spark, d):
 
 
 def _sentence_terms(spark, d):
-    """Each passage as a query: its sentences are the clauses, their longer words the terms."""
+    """Each passage as a query: its sentences are the clauses, their words the terms."""
     sentences = _read(spark, d, "benchmark").select(
         F.col("item_id").cast("string").alias("query_id"),
         F.posexplode(F.split("text", r"\.")).alias("clause", "sentence"),
     )
     word = F.explode(F.split(F.trim(text.words(F.col("sentence"))), " ")).alias("term")
-    return sentences.select("query_id", "clause", word, F.lit("Abstract").alias("field")).filter(F.length("term") >= 5)
+    return sentences.select("query_id", "clause", word, F.lit("Abstract").alias("field"))
 
 
 def search_many(spark, d):
@@ -335,29 +369,32 @@ def newest_articles(spark, d):
 
 
 def date_range(spark, d):
-    """Whole days from the first to the last one; the bounds are pushed down to the scan."""
-    since, until = (F.lit(day).cast("timestamp_ntz") for day in (STATE_UNTIL, CURRENT))
-    inside = (F.col("ts") >= since) & (F.col("ts") < until)
-    return _read(spark, d, "events").filter(inside).select("event_id", "user_id")
+    """Whole days from the first to the last one, both inside; bounds of time are pushed down to the scan."""
+    since, after = (F.lit(day).cast("timestamp_ntz") for day in (STATE_UNTIL, CURRENT + datetime.timedelta(days=1)))
+    near = _read(spark, d, "events").filter((F.col("ts") >= since) & (F.col("ts") < after))
+    inside = incremental.in_range(F.to_date("ts"), F.lit(STATE_UNTIL), F.lit(CURRENT))
+    return near.filter(inside).select("event_id", "user_id")
 
 
 def run_gate(spark, d):
-    last = _read(spark, d, "events").groupBy("user_id").agg(F.to_date(F.max("ts")).alias("last"))
-    gate = incremental.run_gate(F.col("last"), F.lit(datetime.date(2024, 2, 5)))
+    """Each user comes back some days after the last event, some for the first time, some without state."""
+    last = _read(spark, d, "events").groupBy("user_id").agg(F.to_date(F.max("ts")).alias("day"))
+    user = F.col("user_id")
+    known = F.when(user % 5 != 0, F.col("day"))
+    today = F.date_add("day", (user % 12).cast("int"))
+    gate = F.when(user % 11 == 0, incremental.run_gate(known, today, first_run=True)).otherwise(incremental.run_gate(known, today))
     return last.select("user_id", gate.alias("gate"))
 
 
-def _error_state(spark, d, key):
-    """The last day with an error of each user before the state was taken."""
-    seen = _read(spark, d, "events").filter(
-        (F.col("ts") < F.lit(STATE_UNTIL)) & (F.col("event_type") == "error")
-    )
+def _state_before(spark, d, key):
+    """The last day of each user before the state was taken; each seventh user has none."""
+    seen = _read(spark, d, "events").filter((F.col("ts") < F.lit(STATE_UNTIL)) & (F.col("user_id") % 7 != 3))
     return seen.groupBy(F.col("user_id").alias(key)).agg(F.to_date(F.max("ts")).alias("last_fetch"))
 
 
 def query_plan(spark, d):
     """Each passage as a standing query; its state is that of the user of the same number."""
-    state = _error_state(spark, d, "query_id")
+    state = _state_before(spark, d, "query_id")
     queries = _read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
     planned = incremental.plan_queries(queries, state, CURRENT)
     return planned.select("query_id", "mode", "search_text")
@@ -367,14 +404,14 @@ def incremental_select(spark, d):
     events = _read(spark, d, "events").select("event_id", "user_id", F.to_date("ts").alias("day"))
     # The state is a stored table: written by the last run, read by this one.
     path = shared_folder(spark, "state")
-    sinks.commit_run_state(_error_state(spark, d, "query_id").withColumn("query_id", F.col("query_id").cast("string")), path)
+    sinks.commit_run_state(_state_before(spark, d, "query_id").withColumn("query_id", F.col("query_id").cast("string")), path)
     state = tables.read_run_state(spark, path).select(F.col("query_id").cast("long").alias("user_id"), "last_fetch")
     chosen = incremental.select_new(events, state, CURRENT, "user_id", "day", "event_id")
     return chosen.select("event_id", "user_id", F.date_format("day", "yyyy-MM-dd").alias("day"), "mode")
 
 
 def run_state_advance(spark, d):
-    state = _error_state(spark, d, "query_id")
+    state = _state_before(spark, d, "query_id")
     queries = _read(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
     planned = incremental.plan_queries(queries, state, CURRENT)
     after = incremental.advance(state, planned, CURRENT)
@@ -515,44 +552,64 @@ def _training_set(spark, d):
 
 
 def text_embedding(spark, d):
-    """The weighted word counts of each text as a vector."""
+    """The weighted counts of each text over the vocabulary, as rows of what is not zero."""
     articles = _articles(spark, d)
-    vectors = ensemble.text_features(articles, "text", width=256).transform(articles)
-    return vectors.select("doc_id", ensemble.as_embedding("features").alias("embedding"))
+    vocab = encode.vocabulary(articles, "text", VOCABULARY)
+    vectors = ensemble.vocabulary_features(articles, vocab, "text").transform(articles)
+    entries = vectors.select("doc_id", F.posexplode(ensemble.as_embedding("features", "float64")).alias("place", "weight"))
+    return entries.filter("weight > 0").select("doc_id", "place", F.round("weight", 6).alias("weight"))
+
+
+def linear_fit(spark, d):
+    """A fit of one feature without regularisation: the labels on the length of the texts."""
+    rows = _read(spark, d, "documents").join(_read(spark, d, "labels"), "doc_id")
+    slope, intercept = ensemble.line(rows.select(F.col("n_chars").alias("x"), F.col("quality").alias("y")), "x", "y")
+    return spark.range(1).select(F.round(F.lit(slope * 1e6), 6).alias("slope_per_million"), F.round(F.lit(intercept), 6).alias("intercept"))
 
 
 def ml_ensemble(spark, d):
-    """Train on the labelled documents, save, and compare on the test part."""
+    """Train on the labelled documents, save, and compare on the test part.
+
+    The learned scores have no counterpart in SQL: what is returned of them is whether they
+    are in range and the mean of the sigmoids of the members.
+    """
     path = shared_folder(spark, "model")
     _, compared, _ = jobs.train_ensemble(_training_set(spark, d), path)
-    return compared.select("ID", *settings.RANDOMIZED_COLUMNS, *settings.EVALUATED_COLUMNS)
+    sigmoids = [F.aggregate(f"{t}_members", F.lit(0.0), lambda s, y: s + scores.sigmoid(y)) for t in settings.SCORE_COLUMNS]
+    averaged = reduce(and_, [F.abs(s / settings.ENSEMBLE_SIZE - F.col(c)) < 1e-9 for s, c in zip(sigmoids, settings.EVALUATED_COLUMNS)])
+    inside = reduce(and_, [F.col(c).between(0.0, 1.0) for c in settings.EVALUATED_COLUMNS])
+    return compared.select(
+        "ID", *[F.round(c, 9).alias(c) for c in settings.RANDOMIZED_COLUMNS], inside.alias("in_range"), averaged.alias("averaged"))
 
 
 def ml_score(spark, d):
-    """Train on the labelled documents, then score all documents and filter them."""
+    """Train on the labelled documents, then score all documents and filter them.
+
+    Of the learned scores only what SQL can state is returned: that they are in range, and
+    that the filtered table holds just those that reach the thresholds.
+    """
     path = shared_folder(spark, "model")
     jobs.train_ensemble(_training_set(spark, d), path)
     dataset = _articles(spark, d).select(F.col("text").alias("Abstract"), F.col("doc_id").cast("string").alias("ID"))
     predictions, filtered = shared_folder(spark, "predictions"), shared_folder(spark, "filtered")
     jobs.score_articles(spark, dataset, path, predictions, filtered)
-    return tables.read_version(spark, predictions, schemas.PREDICTIONS)
+    kept = tables.read_version(spark, filtered, schemas.FILTERED).select("ID", F.lit(True).alias("kept"))
+    scored = tables.read_version(spark, predictions, schemas.PREDICTIONS).join(kept, "ID", "left")
+    reached = scores.meets(dict(zip(settings.PREDICTED_COLUMNS, settings.KEEP_THRESHOLDS)))
+    inside = reduce(and_, [F.col(c).between(0.0, 1.0) for c in settings.PREDICTED_COLUMNS])
+    return scored.select(
+        "ID", F.md5("Abstract").alias("abstract_md5"), inside.alias("in_range"),
+        (F.coalesce("kept", F.lit(False)) == reached).alias("filtered"))
 
 
 # ---------------------------------------------------------------- streams
 
 def stream_ingest(spark, d):
-    """The pages as a stream: extract, clean and append, one row per address."""
-    source = spark.readStream.schema(_read(spark, d, "pages").schema).option("pathGlobFilter", "pages.parquet").parquet(d)
+    """The pages land as files and are taken in as a stream of articles: extract, clean, append."""
     target, checkpoint = shared_folder(spark, "stream"), shared_folder(spark, "stream-state")
-
-    def rows(batch):
-        found = extract.with_element(batch.withColumnRenamed("html", "page"), "article")
-        plain = text.without_quotes(markup.paragraph_text(F.col("element")))
-        return extract.keep_present(found, text.one_line(plain), "Abstract", empty=False).select(
-            F.regexp_extract("url", _ADDRESS, 2).alias("ID"), "Abstract", "page_id"
-        )
-
-    ingest.append_stream(source, rows, target, checkpoint, "ID", [F.col("page_id")]).awaitTermination()
+    ingest.abstract_stream(
+        spark, _landed_files(spark, d), target, checkpoint, element="article", **_STORED
+    ).awaitTermination()
     return spark.read.parquet(target).select("ID", "Abstract")
 
 
@@ -576,12 +633,12 @@ ALL = [
     score_filter, score_all, ensemble_eval, ensemble_mse, ensemble_long, batch_predict,
     query_key, query_long_name, date_reformat, normalise_lines,
     extract_body, extract_paragraphs, missing_element, landing_upsert, abstract_dataset,
-    abstract_table, decode_rejects, body_table, csv_round_trip, query_list, union_batches, dedup_first, append_new, upsert_latest,
+    abstract_table, landed_files, decode_rejects, body_table, csv_round_trip, query_list, union_batches, dedup_first, append_new, upsert_latest,
     boolean_search_top50, search_many, phrase_search, newest_articles, date_range,
     run_gate, query_plan,
     incremental_select, run_state_advance, select_articles, noise_scores, split_test,
     split_train, rest_after_split, training_order, bootstrap_weights, compare_table,
     mse_by_target, batch_loss, missing_counts, train_join, articles_per_query,
-    vocab_topk, encode_tokens, encode_padded, text_embedding, ml_ensemble, ml_score,
+    vocab_topk, encode_tokens, encode_padded, text_embedding, linear_fit, ml_ensemble, ml_score,
     stream_ingest, stream_dedup,
 ]

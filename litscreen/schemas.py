@@ -69,6 +69,12 @@ PREDICTIONS = T.StructType([
     T.StructField("Predicted_SoE_score", T.DoubleType()),
 ])
 
+FILTERED = T.StructType([
+    T.StructField("ID", T.StringType()),
+    T.StructField("Predicted_AwT_score", T.DoubleType()),
+    T.StructField("Predicted_SoE_score", T.DoubleType()),
+])
+
 HEADS = T.StructType([
     T.StructField("member", T.IntegerType()),
     T.StructField("target", T.StringType()),

@@ -21,28 +21,27 @@ def read_queries(spark: SparkSession, path: str) -> DataFrame:
     return lines.select(key.alias("query_id"), "query_text", key.alias("folder")).distinct()
 
 
-def _place(path: Column) -> dict[str, Column]:
-    """Query folder and id from ``<root>/<query folder>/<id>.xml``."""
-    return {
-        "query_folder": F.regexp_extract(path, r"([^/]+)/[^/]+\z", 1),
-        "id": F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?\z", 1),
-    }
+#: Where a path names query folder and id: ``<root>/<query folder>/<id>.xml``.
+FOLDER_IN_PATH = r"([^/]+)/[^/]+\z"
+ID_IN_PATH = r"([^/]+?)(?:\.[^./]*)?\z"
 
 
-def as_articles(files: DataFrame) -> DataFrame:
+def as_articles(files: DataFrame, folder: str = FOLDER_IN_PATH, name: str = ID_IN_PATH) -> DataFrame:
     """Rows of the binaryFile source, batch or stream, as raw articles."""
-    place = _place(F.col("path"))
     return files.select(
-        place["query_folder"].alias("query_folder"),
-        place["id"].alias("id"),
+        F.regexp_extract("path", folder, 1).alias("query_folder"),
+        F.regexp_extract("path", name, 1).alias("id"),
         "content",
         F.col("modificationTime").alias("fetched_at"),
     )
 
 
-def read_articles(spark: SparkSession, root: str) -> DataFrame:
-    """All articles landed below ``root``: files ``*.xml`` exactly one folder deep."""
-    return as_articles(spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{ARTICLES}"))
+def read_articles(
+    spark: SparkSession, root: str, glob: str = ARTICLES, folder: str = FOLDER_IN_PATH, name: str = ID_IN_PATH
+) -> DataFrame:
+    """All articles landed below ``root``: as a rule files ``*.xml`` exactly one folder deep."""
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", False)
+    return as_articles(reader.load(f"{root.rstrip('/')}/{glob}").select(*schemas.BINARY_FILE.names), folder, name)
 
 
 def decode(articles: DataFrame, strict: bool = False) -> DataFrame:
@@ -60,13 +59,19 @@ def rejects(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("page").isNull()).drop("page")
 
 
-def read_extracted(spark: SparkSession, root: str) -> DataFrame:
-    """Abstract texts that lie as files; the id is the file name up to its first ``_``."""
-    files = spark.read.text(f"{root.rstrip('/')}/{ABSTRACTS}", wholetext=True)
+def read_extracted(
+    spark: SparkSession,
+    root: str,
+    glob: str = ABSTRACTS,
+    folder: str = r"([^/]+)/txt_abstracts/[^/]+\z",
+    name: str = r"([^/_]*)_[^/]*\z",
+) -> DataFrame:
+    """Abstract texts that lie as files; the id is as a rule the file name up to its first ``_``."""
+    files = spark.read.text(f"{root.rstrip('/')}/{glob}", wholetext=True)
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     return files.select(
-        F.regexp_extract(path, r"([^/]+)/txt_abstracts/[^/]+\z", 1).alias("query_folder"),
-        F.regexp_extract(path, r"([^/_]*)_[^/]*\z", 1).alias("id"),
+        F.regexp_extract(path, folder, 1).alias("query_folder"),
+        F.regexp_extract(path, name, 1).alias("id"),
         F.col("value").alias("abstract_text"),
         F.col("_metadata.file_modification_time").alias("fetched_at"),
     )

@@ -18,12 +18,19 @@ from litscreen.sinks.tables import append_unseen
 from litscreen.sources import files
 
 
-def article_stream(spark: SparkSession, root: str, files_per_batch: int | None = None) -> DataFrame:
+def article_stream(
+    spark: SparkSession,
+    root: str,
+    files_per_batch: int | None = None,
+    glob: str = files.ARTICLES,
+    folder: str = files.FOLDER_IN_PATH,
+    name: str = files.ID_IN_PATH,
+) -> DataFrame:
     """Articles as they land: the same files and columns as the batch reader gives."""
     reader = spark.readStream.format("binaryFile").schema(schemas.BINARY_FILE)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return files.as_articles(reader.load(f"{root.rstrip('/')}/{files.ARTICLES}"))
+    return files.as_articles(reader.load(f"{root.rstrip('/')}/{glob}"), folder, name)
 
 
 def drop_seen(
@@ -59,13 +66,19 @@ def append_stream(
 
 
 def abstract_stream(
-    spark: SparkSession, root: str, path: str, checkpoint: str, files_per_batch: int | None = None
+    spark: SparkSession,
+    root: str,
+    path: str,
+    checkpoint: str,
+    files_per_batch: int | None = None,
+    element: str = "abstract",
+    **places: str,
 ) -> StreamingQuery:
     """Keep the abstract data set up to date with a landing folder."""
     def rows(batch: DataFrame) -> DataFrame:
-        return extract.dataset_rows(extract.abstracts(files.decode(batch)))
+        return extract.dataset_rows(extract.abstracts(files.decode(batch), element))
 
     order = [F.col("query_folder"), F.col("fetched_at")]
     return append_stream(
-        article_stream(spark, root, files_per_batch), rows, path, checkpoint, "ID", order
+        article_stream(spark, root, files_per_batch, **places), rows, path, checkpoint, "ID", order
     )

@@ -22,7 +22,7 @@ def duck(data):
 
 def test_names():
     assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"ml_ensemble", "ml_score", "text_embedding"}
+    assert set(QUERIES) == set(SQL)
 
 
 def _rows(columns, rows):
@@ -42,9 +42,3 @@ def test_equals_sql(spark, duck, data, name):
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["ID", "Predicted_AwT_score", "Predicted_SoE_score"] and df.count() > 0
-
-
-def test_text_ensemble_scores_everything(spark, data):
-    rows = QUERIES["ml_score"](spark, data).collect()
-    assert len(rows) == 200
-    assert all(0 <= r.Predicted_AwT_score <= 1 and 0 <= r.Predicted_SoE_score <= 1 for r in rows)
