@@ -120,13 +120,13 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES)
 
 def by_slices(df: DataFrame, work: Callable, schema: str) -> DataFrame:
     """``work(part of a batch, its texts)`` gives a dictionary of columns; ``df`` has a column ``text``."""
-    names = T.StructType.fromDDL(schema).names
+    names, kinds = arrow_fields(schema)
 
     def run(batches):
         for batch in batches:
             for part, texts in slices(batch):
                 found = work(part, texts)
-                yield pa.RecordBatch.from_arrays([as_array(found[n]) for n in names], names=names)
+                yield pa.RecordBatch.from_arrays([as_array(found[n], k) for n, k in zip(names, kinds)], names=names)
 
     return df.mapInArrow(run, schema)
 
@@ -136,20 +136,41 @@ def with_struct(df: DataFrame, work: Callable, schema: str) -> tuple[DataFrame,
     name = "made"
     while name in df.columns:
         name += "_"
-    fields = T.StructType.fromDDL(schema).names
+    fields, kinds = arrow_fields(schema)
 
     def run(batches):
         for batch in batches:
             for part, texts in slices(batch):
                 found = work(part, texts)
-                made = pa.StructArray.from_arrays([as_array(found[n]) for n in fields], names=fields)
+                made = pa.StructArray.from_arrays([as_array(found[n], k) for n, k in zip(fields, kinds)], names=fields)
                 yield pa.RecordBatch.from_arrays([*part.columns, made], names=[*part.schema.names, name])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.StructType.fromDDL(schema))])), name
 
 
-def as_array(values) -> pa.Array:
-    return values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values if isinstance(values, pa.Array) else pa.array(values)
+_SCALARS = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string(), "boolean": pa.bool_(), "double": pa.float64(), "binary": pa.binary()}
+
+
+def _arrow_type(kind: T.DataType) -> pa.DataType:
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(_arrow_type(kind.elementType))
+    if isinstance(kind, T.StructType):
+        return pa.struct([(f.name, _arrow_type(f.dataType)) for f in kind.fields])
+    return _SCALARS[kind.simpleString()]
+
+
+def arrow_fields(schema: str) -> tuple[list[str], list[pa.DataType]]:
+    """Names and Arrow types of a schema; values are made with them, so that a part without any value fits too."""
+    fields = T.StructType.fromDDL(schema).fields
+    return [f.name for f in fields], [_arrow_type(f.dataType) for f in fields]
+
+
+def as_array(values, kind: pa.DataType | None = None) -> pa.Array:
+    """Any column of values as one Arrow array."""
+    values = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
+    if not isinstance(values, pa.Array):
+        return pa.array(values, kind)
+    return values if kind is None or values.type == kind else values.cast(kind)
 
 
 def text_rows(docs: DataFrame, *columns: str) -> DataFrame:

@@ -85,6 +85,11 @@ def test_redact(spark):
         assert secrets.spans(r.text or "") == []
 
 
+def test_redact_where_nothing_is_secret(spark):
+    docs = spark.createDataFrame([(1, "plain", 5), (2, None, None)], "doc_id long, text string, n_chars long")
+    assert sorted(map(tuple, secrets.redact(docs).collect())) == [(1, "plain", 5), (2, None, None)]
+
+
 def test_query_on_whole_table(spark, data):
     from litscreen.llm.queries import op9_secret_scans
 
