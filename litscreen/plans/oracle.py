@@ -73,6 +73,14 @@ def _paragraphs(element: str) -> str:
 _PAGE_ID = r"regexp_extract(url, '//[^/]+/([a-z]+)/([0-9]+)', 2)"
 _FOLDER = r"regexp_extract(url, '//[^/]+/([a-z]+)/([0-9]+)', 1)"
 
+_LANDED = f"""
+landed AS (
+  SELECT query_folder, (number % 40)::VARCHAR AS file, string_agg(line, chr(10) ORDER BY number) || chr(10) AS content FROM (
+    SELECT {_FOLDER} AS query_folder, {_PAGE_ID}::BIGINT AS number, replace(html, chr(10), ' ') AS line FROM pages
+    QUALIFY row_number() OVER (PARTITION BY {_FOLDER}, {_PAGE_ID} ORDER BY page_id DESC) = 1)
+  GROUP BY ALL)
+"""
+
 # ---------------------------------------------------------------- search
 
 
@@ -324,16 +332,13 @@ SQL = {
         SELECT doc_id, array_to_string(ids, ' ') || repeat(' 0', n - len(ids)) AS input_ids,
                repeat('1', len(ids)) || repeat('0', n - len(ids)) AS attention_mask
         FROM encoded, longest""",
-    "landed_files": f"""
-        SELECT query_folder, id, md5(content) AS content_md5, md5(content) AS text_md5 FROM (
-          SELECT {_FOLDER} AS query_folder, {_PAGE_ID} AS id, replace(html, chr(10), ' ') || chr(10) AS content FROM pages
-          QUALIFY row_number() OVER (PARTITION BY {_FOLDER}, {_PAGE_ID} ORDER BY page_id DESC) = 1)""",
-    "stream_ingest": f"""
+    "landed_files": f"""WITH {_LANDED}
+        SELECT query_folder, file AS id, md5(content) AS content_md5, md5(content) AS text_md5 FROM landed""",
+    "stream_ingest": f"""WITH {_LANDED}
         SELECT "ID", "Abstract" FROM (
-          SELECT {_PAGE_ID} AS "ID", {_FOLDER} AS folder, {_one_line(_paragraphs(_element("replace(html, chr(10), ' ')", 'article')))} AS "Abstract" FROM (
-            SELECT * FROM pages QUALIFY row_number() OVER (PARTITION BY {_FOLDER}, {_PAGE_ID} ORDER BY page_id DESC) = 1))
+          SELECT file AS "ID", query_folder, {_one_line(_paragraphs(_element('content', 'article')))} AS "Abstract" FROM landed)
         WHERE "Abstract" <> ''
-        QUALIFY row_number() OVER (PARTITION BY "ID" ORDER BY folder) = 1""",
+        QUALIFY row_number() OVER (PARTITION BY "ID" ORDER BY query_folder) = 1""",
     "text_embedding": f"""WITH {_VOCAB},
         found AS (SELECT doc_id, term, count(*) AS times FROM (SELECT doc_id, unnest(tokens) AS term FROM spoken) GROUP BY ALL),
         held AS (SELECT term, count(*) AS df FROM found GROUP BY term)

@@ -229,11 +229,15 @@ _STORED = {"glob": "*/*/*.txt", "folder": r"query_folder=([^/]+)/[^/]+/[^/]+\z",
 
 
 def _landed_files(spark, d):
-    """One text file for each address, in folders that name it; Spark ends it with a line feed."""
+    """Pages in text files, in folders that name them: 40 files to a folder, one page to a line."""
     target = shared_folder(spark, "files")
     latest = dedup.latest_per_key(_raw_articles(spark, d), ["query_folder", "id"], [F.col("fetched_at").desc()])
-    one_line = F.regexp_replace(F.col("content").cast("string"), r"\n", " ").alias("value")
-    latest.select("query_folder", "id", one_line).repartition("query_folder", "id").write.partitionBy("query_folder", "id").text(target)
+    lines = latest.select(
+        "query_folder", F.col("id").cast("long").alias("number"),
+        F.regexp_replace(F.col("content").cast("string"), r"\n", " ").alias("value"),
+    ).withColumn("id", F.col("number") % 40)
+    dealt = lines.repartition("query_folder", "id").sortWithinPartitions("query_folder", "id", "number")
+    dealt.drop("number").write.partitionBy("query_folder", "id").text(target)
     return target
 
 
@@ -605,7 +609,10 @@ def ml_score(spark, d):
 # ---------------------------------------------------------------- streams
 
 def stream_ingest(spark, d):
-    """The pages land as files and are taken in as a stream of articles: extract, clean, append."""
+    """The pages land as files and are taken in as a stream of articles: extract, clean, append.
+
+    A file counts as one article, whose text is its first element of that name.
+    """
     target, checkpoint = shared_folder(spark, "stream"), shared_folder(spark, "stream-state")
     ingest.abstract_stream(
         spark, _landed_files(spark, d), target, checkpoint, element="article", **_STORED
