@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, functions as F
 
 REVISIT_BYTES = 1000  # smaller payloads are never replaced by a reference
 FILE_BYTES = 256 << 20  # an archive file that has reached this is followed by a new one
-READ_BYTES, GAP_BYTES = 8 << 20, 64 << 10  # one read has at most so much, and may read over such a gap
+TASK_BYTES = 16 << 20  # of archives that one task is meant to read
+READ_BYTES, GAP_BYTES = 4 << 20, 64 << 10  # one read has at most so much, and may read over such a gap
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -180,6 +181,9 @@ def read(index: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
         if file is not None:
             file.close()
 
+    # Rows of an index are narrow: tasks are counted by the bytes that they stand for.
+    size = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-size // TASK_BYTES))
     stretch = F.floor(F.col("offset") / READ_BYTES)
-    dealt = index.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
+    dealt = index.select("file", "offset", "length").repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset")
     return dealt.mapInArrow(run, RECORDS)
