@@ -182,10 +182,11 @@ def _visits(queries: DataFrame, index: Index, later: bool) -> DataFrame:
                 row, cell = np.repeat(row, parts), np.repeat(cell, parts)
                 number = np.arange(len(row)) - np.repeat(np.cumsum(parts) - parts, parts)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row)), pa.array(index.cells[cell].astype(np.int64)),
-                     pa.array(number.astype(np.int32))], names=["query_id", "q", "cell", "part"])
+                    [part.column(c).take(pa.array(row)) for c in range(3)]
+                    + [pa.array(index.cells[cell].astype(np.int64)), pa.array(number.astype(np.int32))],
+                    names=["query_id", "q", "bound", "cell", "part"])
 
-    return queries.mapInArrow(run, "query_id long, q array<long>, cell long, part int")
+    return queries.mapInArrow(run, "query_id long, q array<long>, bound long, cell long, part int")
 
 
 def _search(width: int, k: int):
@@ -195,6 +196,7 @@ def _search(width: int, k: int):
         ids, v = ids[order], _matrix(vectors["v"].combine_chunks(), width)[order]
         found = [[], [], []]
         names = visits["query_id"].to_numpy()
+        bound = visits["bound"].to_numpy()  # the score to reach; missing where there is none yet
         exact = width * np.abs(v).max(initial=0) ** 2 * PART * 8 < 2**52
         for at in range(0, len(names) if len(ids) else 0, BLOCK):
             own = names[at:at + BLOCK]
@@ -209,7 +211,8 @@ def _search(width: int, k: int):
                 best = np.argsort(-scores, axis=1, kind="stable")[:, :n]
             rows = np.repeat(np.arange(len(own)), n)
             best = best.ravel()
-            keep = own[rows] != ids[best]
+            with np.errstate(invalid="ignore"):
+                keep = (own[rows] != ids[best]) & ~(scores[rows, best] < bound[at:at + BLOCK][rows])
             found[0].append(own[rows][keep])
             found[1].append(ids[best][keep])
             found[2].append(scores[rows, best][keep].astype(np.int64))
@@ -236,7 +239,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     queries = materialise(vectors.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("v").alias("q")), "queries")
     search = lambda visits: keyed.groupBy("cell", "part").cogroup(visits.groupBy("cell", "part")).applyInArrow(
         _search(index.width, k), "query_id long, vec_id long, score long")
-    begun = materialise(_best(search(_visits(queries, index, False)), k), "begun")
+    unbounded = queries.withColumn("bound", F.lit(None).cast("long"))
+    begun = materialise(_best(search(_visits(unbounded, index, False)), k), "begun")
     bound = begun.where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
     bounded = queries.join(bound, "query_id", "left").select("query_id", "q", "bound")
     found = begun.drop("rank").unionByName(search(_visits(bounded, index, True)))

@@ -49,7 +49,7 @@ def test_prunes(spark, small):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     vectors = pivots.scaled(df)
     index, _ = pivots.build(vectors)
-    queries = vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.lit(40_000_000).alias("bound"))
+    queries = vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"), F.lit(40_000_000).cast("long").alias("bound"))
     assert pivots._visits(queries, index, True).count() < 0.2 * 40 * len(index.cells)
 
 
