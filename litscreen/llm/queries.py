@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from litscreen.llm import automaton, counts, density, mixing, pivots, recompress, rules, secrets, vantage, warc
 from litscreen.llm.texts import uint64_hex
-from litscreen.session import materialise, shared_folder
+from litscreen.session import materialise, shared_folder, spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table as it is stored; one of a few splits is dealt out to the cores first."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
