@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from litscreen.operators.joins import SALTS
+from litscreen.operators.joins import salts_for
 
 
 def first_per_key(
-    df: DataFrame, keys: list[str], order: list[Column], count: int = 1, salts: int = SALTS
+    df: DataFrame, keys: list[str], order: list[Column], count: int = 1, salts: int | None = None
 ) -> DataFrame:
     """The first ``count`` rows of each key. Missing keys form one group.
 
@@ -24,8 +24,8 @@ def first_per_key(
 
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if count > threshold:
-        others = [name for name in df.columns if name not in keys]
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts)))
+        others = [name for name in df.columns if name not in keys] or keys
+        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*others), F.lit(salts or salts_for(df))))
         df = ranked(salted, [*keys, "_salt"]).drop("_salt")
     return ranked(df, keys)
 

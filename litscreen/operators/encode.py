@@ -9,6 +9,7 @@ from litscreen import settings
 from litscreen.functions import text
 
 _FIRST_WORD_ID = settings.END_ID + 1
+MOST_TERMS = 1_000_000  # of a vocabulary that is sent along with the rows
 
 
 def vocabulary(documents: DataFrame, text_col: str, size: int) -> DataFrame:
@@ -30,8 +31,11 @@ def vocabulary(documents: DataFrame, text_col: str, size: int) -> DataFrame:
 def _lookup_table(vocab: DataFrame, slots: int) -> Column:
     """The vocabulary in one value: an array of small maps, found by the hash of the term.
 
-    Its size is bounded by the size of the vocabulary. Spark computes it once for a query.
+    It holds the terms of the first ``MOST_TERMS`` ids; more are an error of :func:`encode`, as
+    the value goes to every executor. Spark computes it once for a query.
     """
+    over = F.raise_error(F.lit(f"a vocabulary for encoding has at most {MOST_TERMS} terms")).cast("int")
+    vocab = vocab.withColumn("token_id", F.when(F.col("token_id") < _FIRST_WORD_ID + MOST_TERMS, F.col("token_id")).otherwise(over))
     slot = F.pmod(F.xxhash64("term"), F.lit(slots)).cast("int")
     entries = vocab.select(slot.alias("slot"), F.struct("term", "token_id").alias("entry"))
     # One row without an entry for each slot, so that no slot is missing.

@@ -9,8 +9,14 @@ from litscreen import settings
 from litscreen.functions import scores
 
 
+def _wanted(heads: DataFrame, targets: tuple[str, ...], members: int | None = None) -> DataFrame:
+    """The heads of the named targets and the first members: bounded by the arguments."""
+    named = heads.filter(F.col("target").isin(list(targets)))
+    return named if members is None else named.filter(F.col("member").between(0, members - 1))
+
+
 def _as_map(heads: DataFrame) -> Column:
-    """All heads in one value, ``target:member`` to bias and weights. A few rows by nature."""
+    """All heads in one value, ``target:member`` to bias and weights."""
     name = F.concat_ws(":", "target", "member")
     entry = F.struct(name, F.struct("bias", "weights"))
     return heads.agg(F.map_from_entries(F.collect_list(entry)).alias("heads")).scalar()
@@ -30,7 +36,7 @@ def member_outputs(
 ) -> DataFrame:
     """Add one array column per target, ``<target>_members``, with the raw output of each member."""
     # Lambdas may use columns but not subqueries, hence the step between.
-    return rows.withColumn("_heads", _as_map(heads)).withColumns({
+    return rows.withColumn("_heads", _as_map(_wanted(heads, targets, members))).withColumns({
         f"{target}_members": F.array(*[_output(vector, target, m) for m in range(members)])
         for target in targets
     }).drop("_heads")
@@ -93,7 +99,7 @@ def score(
     for target, name in zip(targets, names):
         value = scores.clip(_output(vector, target, 0))
         added[name] = F.round(value, digits) if digits is not None else value
-    return rows.withColumn("_heads", _as_map(mean_head(heads))).withColumns(added).drop("_heads")
+    return rows.withColumn("_heads", _as_map(mean_head(_wanted(heads, targets)))).withColumns(added).drop("_heads")
 
 
 def keep_relevant(

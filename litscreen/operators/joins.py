@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+LEAST_SALTS, MOST_SALTS = 16, 256
+
+
+def salts_for(df: DataFrame) -> int:
+    """To how many tasks a hot key is dealt: as many as a shuffle has, within limits, as lookups are copied for each."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(max(LEAST_SALTS, partitions), MOST_SALTS)
 
 
 def measure(
@@ -40,12 +46,13 @@ def salted_join(
     key: str,
     spread_by: str,
     how: str = "inner",
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """A join where the rows of each key are dealt to ``salts`` tasks by the hash of another column.
 
     The lookup is written out once per salt; the result is that of the plain join.
     """
+    salts = salts or salts_for(rows)
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return dealt.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
