@@ -36,8 +36,8 @@ INLINE_SCOPE = {"table", "td", "th", "caption", "button", "object", "article", "
 
 #: Words of class, id and role that name what is not the article.
 NOT_ARTICLE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebars?|side|footers?|"
-    r"headers?|masthead|comments?|commentlist|disqus|replies|reply|respond|cookies?|consent|gdpr|notices?|alerts?|newsletter|"
+    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adslot|banner|sponsor\w*|promo\w*|nav\w*|menu\w*|breadcrumbs?|sidebars?|side|topbar|footers?|"
+    r"headers?|masthead|comments?|commentlist|usercomments|disqus|replies|reply|respond|cookies?|consent|gdpr|notices?|disclaimers?|announcements?|alerts?|newsletter|"
     r"subscri\w+|popup|modal|overlay|share|sharing|social|related|recommend\w*|widgets?|toolbar|pagination|pager|copyright|"
     r"contentinfo|complementary|navigation|search|login|signup|hidden)(?=$|[\s_-])", re.I)
 

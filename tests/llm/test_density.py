@@ -56,3 +56,15 @@ def test_nulls(spark):
     pages = spark.createDataFrame([(1, None, None, 1), (None, "u", "<p>a</p>", 1), (1, "u", "", 1)], "page_id long, url string, html string, text int")
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in density.extract(pages).collect()) == [(0, "a", 1), (1, "", 0), (1, "", 0)]
     assert density.extract(pages.limit(0)).count() == 0
+
+
+def test_what_is_around_the_article_is_left_out():
+    outside = ["<nav>N</nav>", "<header>H</header>", "<footer>F</footer>", "<aside>A</aside>", "<form>F<input></form>", "<script>S</script>",
+               "<style>S</style>", "<noscript>N</noscript>", "<!-- C -->", "<div class='cookie-banner'>C</div>", "<div id=sidebar>S</div>",
+               "<section class='user-comments'><article class='comment'><p>C</p></article></section>", "<div class='ad'>A</div>",
+               "<ul class='breadcrumb'><li>B</li></ul>", "<div role='complementary'>C</div>", "<div class='site_notice'>N</div>"]
+    for place in ("before", "inside", "after"):
+        put = lambda here: "".join(outside) if place == here else ""
+        page = f"<body>{put('before')}<article><h1>T</h1><p>{LONG}</p>{put('inside') if place == 'inside' else ''}<p>end</p></article>{put('after')}</body>"
+        expected = f"T\n\n{LONG}\n\nend"
+        assert density.main_text(page.replace("<header>H</header>", "") if place == "inside" else page) == expected

@@ -1,12 +1,11 @@
 import numpy as np
-from test_mixing import mixing
+import public_tokenizers
 from test_vantage import brute_components, brute_fingerprint
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from litscreen.llm import rules, secrets
+from litscreen.llm import mixing, rules, secrets
 from litscreen.llm.queries import WEIGHTS
-from tokenizers import Tokenizer
-import public_tokenizers
 
 
 def test_stages_against_brute_force(spark, data):
