@@ -228,14 +228,23 @@ def abstract_table(spark, d):
 _STORED = {"glob": "*/*/*.txt", "folder": r"query_folder=([^/]+)/[^/]+/[^/]+\z", "name": r"id=([^/]+)/[^/]+\z"}
 
 
+def _latest_lines(spark, d):
+    """The newest page of each address as one line."""
+    latest = dedup.latest_per_key(_raw_articles(spark, d), ["query_folder", "id"], [F.col("fetched_at").desc()])
+    return latest.select("query_folder", "id", F.regexp_replace(F.col("content").cast("string"), r"\n", " ").alias("value"))
+
+
 def _landed_files(spark, d):
+    """One text file for each address, in folders that name it; Spark ends it with a line feed."""
+    target = shared_folder(spark, "files")
+    _latest_lines(spark, d).repartition("query_folder", "id").write.partitionBy("query_folder", "id").text(target)
+    return target
+
+
+def _packed_files(spark, d):
     """Pages in text files, in folders that name them: 40 files to a folder, one page to a line."""
     target = shared_folder(spark, "files")
-    latest = dedup.latest_per_key(_raw_articles(spark, d), ["query_folder", "id"], [F.col("fetched_at").desc()])
-    lines = latest.select(
-        "query_folder", F.col("id").cast("long").alias("number"),
-        F.regexp_replace(F.col("content").cast("string"), r"\n", " ").alias("value"),
-    ).withColumn("id", F.col("number") % 40)
+    lines = _latest_lines(spark, d).withColumn("number", F.col("id").cast("long")).withColumn("id", F.col("number") % 40)
     dealt = lines.repartition("query_folder", "id").sortWithinPartitions("query_folder", "id", "number")
     dealt.drop("number").write.partitionBy("query_folder", "id").text(target)
     return target
@@ -243,7 +252,7 @@ def _landed_files(spark, d):
 
 def landed_files(spark, d):
     """Articles that lie as files, read as bytes and as texts."""
-    target = _landed_files(spark, d)
+    target = _packed_files(spark, d)
     articles = files.read_articles(spark, target, **_STORED).select("query_folder", "id", F.md5("content").alias("content_md5"))
     texts = files.read_extracted(spark, target, **_STORED).select("query_folder", "id", F.md5("abstract_text").alias("text_md5"))
     return articles.join(texts, ["query_folder", "id"])
@@ -609,10 +618,7 @@ def ml_score(spark, d):
 # ---------------------------------------------------------------- streams
 
 def stream_ingest(spark, d):
-    """The pages land as files and are taken in as a stream of articles: extract, clean, append.
-
-    A file counts as one article, whose text is its first element of that name.
-    """
+    """The pages land as files and are taken in as a stream of articles: extract, clean, append."""
     target, checkpoint = shared_folder(spark, "stream"), shared_folder(spark, "stream-state")
     ingest.abstract_stream(
         spark, _landed_files(spark, d), target, checkpoint, element="article", **_STORED

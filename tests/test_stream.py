@@ -2,7 +2,8 @@ import shutil
 
 from pyspark.sql import functions as F
 
-from litscreen.plans import jobs
+from litscreen.operators import dedup
+from litscreen.plans import jobs, queries
 from litscreen.sources import files
 from litscreen.streaming import ingest
 
@@ -59,3 +60,12 @@ def test_state_drops_seen_keys(spark, tmp_path):
     land("2.json", ("a", 2), ("c", 2))
     assert run(ingest.drop_seen(stream, "ID"), "all") == ["a", "b", "c"]
     assert run(ingest.drop_seen(stream, "ID", "at", "1 day"), "bounded") == ["a", "b", "c"]
+
+
+def test_each_landed_page_is_an_article_of_its_own(spark, data, tmp_path):
+    """The newest page of each address, as the batch job takes it in."""
+    newest = dedup.latest_per_key(queries._raw_articles(spark, data), ["query_folder", "id"], [F.col("fetched_at").desc()])
+    jobs.build_abstract_dataset(newest, str(tmp_path / "batch"), element="article")
+    rows = queries.stream_ingest(spark, data).collect()
+    assert {(r.ID, r.Abstract) for r in rows} == _content(spark, str(tmp_path / "batch"))
+    assert len(rows) == newest.select("id").distinct().count()
