@@ -195,14 +195,19 @@ def links(distinct: DataFrame) -> DataFrame:
     return distinct.mapInArrow(deal, "shard long, fp long").groupBy("shard").applyInArrow(search, "a long, b long")
 
 
+def _rooted(found: DataFrame) -> DataFrame:
+    """``fp``, ``first`` (the smallest ID that has it) and ``root``, the smallest fingerprint reachable over links."""
+    distinct = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
+    roots = components(links(distinct.select("fp"))).toDF("fp", "root")
+    return distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def clusters(found: DataFrame) -> DataFrame:
     """``fp`` and ``component_id``, the smallest ID reachable over links, for a table of ``doc_id`` and ``fp``.
 
     Rows without an ID link like any others; a component of such rows alone has no ID.
     """
-    distinct = materialise(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "fingerprints")
-    roots = components(links(distinct.select("fp"))).toDF("fp", "root")
-    rooted = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(found)
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rooted.join(least, "root").select("fp", "component_id")
 
@@ -214,17 +219,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` with the document of the smallest ID of each component only, and that once.
+    """``docs`` with one row of each component, that with the smallest ID.
 
-    Of rows with the same ID the one with the smaller text stays. Rows without an ID count as the last ones.
+    Of rows with the same ID the one with the smaller text stays. Rows without an ID count as the last ones. What
+    components have in common, an ID or none, does not matter: each keeps a row of its own.
     """
-    key = F.coalesce("doc_id", F.lit(NO_ID))
-    found = materialise(fingerprints(docs).select(key.alias("doc_id"), "fp"), "simhash")
-    winners = clusters(found).select(F.col("component_id").alias("key")).distinct()
+    key = lambda name: F.coalesce(name, F.lit(NO_ID))
+    digest = lambda name: F.unhex(F.sha2(F.coalesce(name, F.lit("")), 256))
+    rows = text_rows(docs, key("doc_id").alias("doc_id"), digest("text").alias("digest"))
+    found = materialise(by_slices(
+        rows, lambda part, texts: {"doc_id": part["doc_id"], "fp": _fingerprints(texts), "digest": part["digest"]},
+        "doc_id long, fp long, digest binary"), "simhash")
+    # The ID and the text of a row tell its component, as equal texts have equal fingerprints.
+    rooted = materialise(_rooted(found), "rooted")
+    least = rooted.groupBy("root").agg(F.min("first").alias("key"))
+    heads = rooted.join(least, "root").where("first = key").select("fp", "root", F.col("key").alias("doc_id"))
+    winners = found.join(heads, ["fp", "doc_id"]).select(F.col("doc_id").alias("key"), "digest", "root").distinct()
     names = [f"own_{i}" for i in range(len(docs.columns))]  # the columns of docs may have any names
     marked = docs.toDF(*names)
     text = names[docs.columns.index("text")]
-    marked = marked.withColumn("key", F.coalesce(names[docs.columns.index("doc_id")], F.lit(NO_ID)))
-    ranked = marked.join(winners, "key", "left_semi").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("key").orderBy(text)))
+    marked = marked.withColumns({"key": key(names[docs.columns.index("doc_id")]), "digest": digest(text)})
+    ranked = marked.join(winners, ["key", "digest"]).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("root").orderBy(text)))
     return ranked.where("rank = 1").select(*names).toDF(*docs.columns)

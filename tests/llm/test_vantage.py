@@ -92,3 +92,14 @@ def test_one_of_each(spark, data):
     ids = [r.doc_id for r in rows.collect()]
     assert sorted(ids, key=lambda i: (i is None, i)) == [*sorted(set(brute_components(fps))), None]
     assert vantage.one_of_each(docs.limit(0)).count() == 0
+
+
+def test_each_component_keeps_a_row_whatever_the_ids(spark):
+    """Texts without an ID, and several texts under one ID, one of them a copy of a document with a smaller ID."""
+    one, two, three, four = ("a b c d e f g", "quite another text stands here", "and a third one of some words", "the last of all texts is this")
+    rows = [(None, one), (None, two), (None, one), (7, three), (7, four), (3, three), (9, four), (None, None), (2**63 - 1, "")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, n int").repartition(3)
+    assert len(set(brute_components([(n, brute_fingerprint(t)) for n, (_, t) in enumerate(rows)]))) == 5
+    found = sorted((r.text or "", r.doc_id) for r in vantage.one_of_each(docs).collect())
+    assert [t for t, _ in found] == sorted([one, two, three, four, ""])
+    assert dict(found[1:]) == {one: None, two: None, three: 3, four: 7}
