@@ -203,7 +203,10 @@ def _search(width: int, k: int):
             q = _matrix(as_array(visits["q"].slice(at, BLOCK)), width)
             exact_now = exact and width * np.abs(q).max(initial=0) ** 2 * PART * 8 < 2**52
             scores = q @ v.T if exact_now else (q.astype(np.int64) @ v.astype(np.int64).T).astype(np.int64)
-            n = min(k + 1, len(ids))  # one more, as the query itself may be among them
+            own_from, own_to = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+            for row in np.flatnonzero(own_to > own_from):  # all rows of the query itself come last
+                scores[row, own_from[row]:own_to[row]] = -np.inf if exact_now else -(2**63 - 1)
+            n = min(k, len(ids))
             if exact_now:
                 ranked = scores * (2 * len(ids)) - np.arange(len(ids))  # ties to the smaller ID
                 best = np.argpartition(-ranked, n - 1, axis=1)[:, :n]

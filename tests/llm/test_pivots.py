@@ -66,6 +66,18 @@ def test_odd_vectors(spark, small):
     assert [(r.rank, r.vec_id, r.score) for r in sorted(found, key=lambda r: r.rank)] == [(1, 1, 196608), (2, 1, 196608), (3, 2, 0)]
 
 
+@pytest.mark.parametrize("scale", [1, 5e3])
+def test_repeated_queries_take_no_places(spark, small, scale):
+    """A query that is repeated nine times, in the cell of all that is near it."""
+    x = np.random.default_rng(9).normal(size=(50, 4)) * scale
+    x[0] *= 9
+    x[1:7] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + 8 * [(0, x[0].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = pivots.top_k(pivots.scaled(df), F.col("vec_id") % 50 == 0).where("query_id = 0")
+    assert sorted(map(tuple, found.collect())) == brute(rows[:50])
+
+
 def test_query_equals_sql(spark, data):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{data}/embeddings.parquet'")
