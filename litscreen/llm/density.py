@@ -3,8 +3,8 @@
 A page is read once into a tree of elements. Each element has its characters, tags, characters inside links and links,
 all of its subtree. Its density is the number of characters for each tag, lowered by what links make of it; the sum
 over its children says how much dense text it holds together. The element with the largest sum is the core; the
-threshold is the lowest density on the path from the body to the core, and the main text is the largest subtree on
-that path whose elements all reach it. Elements that are never part of an article are left out beforehand.
+threshold is the lowest density on the path from the body to the core, and the main text is all that reaches it, with
+the headings and paragraphs between; named articles are taken whole. Elements that are never part of an article are left out beforehand.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ LEFT_OUT = RAW | {"head", "nav", "header", "footer", "aside", "form", "button",
 BLOCKS = {"html", "body", "address", "article", "blockquote", "center", "dd", "details", "div", "dl", "dt", "figcaption", "figure",
           "h1", "h2", "h3", "h4", "h5", "h6", "hgroup", "hr", "li", "main", "ol", "p", "pre", "section", "summary", "table",
           "tbody", "td", "tfoot", "th", "thead", "tr", "ul", "caption"} | LEFT_OUT - {"label", "button", "input", "select", "svg"}
+BOXES = {"div", "section", "center", "details"}
 #: Elements that a new element ends if it is open, up to the nearest of the elements behind them.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -209,11 +210,22 @@ def main_subtree(root: Node) -> Node:
         else:
             break
     # Beside the path, what is mostly links and sparser than the threshold is a menu without a name.
-    for node in path[1:path.index(best) + 1]:
+    at, on_path = path.index(best), set(map(id, path))
+    for node in path[1:at + 1]:
         for part in node.parts:
-            if isinstance(part, Node) and part not in path and 2 * part.link_chars > part.chars and part.density < threshold:
+            if isinstance(part, Node) and id(part) not in on_path and 2 * part.link_chars > part.chars and part.density < threshold:
                 part.dropped = True
-    return best
+    # Further out, boxes stay that reach the threshold, whole or in part, and all that is no box but links.
+    todo = path[at + 1:]
+    while todo:
+        node = todo.pop()
+        for part in node.parts:
+            if isinstance(part, Node) and not part.dropped and id(part) not in on_path and part.density < threshold:
+                if part.name in BOXES and any(isinstance(p, Node) for p in part.parts):
+                    todo.append(part)
+                elif part.name in BOXES or 2 * part.link_chars > part.chars:
+                    part.dropped = True
+    return body
 
 
 def blocks(node: Node) -> list[str]:

@@ -68,3 +68,13 @@ def test_what_is_around_the_article_is_left_out():
         page = f"<body>{put('before')}<article><h1>T</h1><p>{LONG}</p>{put('inside') if place == 'inside' else ''}<p>end</p></article>{put('after')}</body>"
         expected = f"T\n\n{LONG}\n\nend"
         assert density.main_text(page.replace("<header>H</header>", "") if place == "inside" else page) == expected
+
+
+def test_sections_beside_each_other_stay():
+    """An article without a name in several boxes below the body, or in a box each."""
+    parts = [f"{LONG} {i}" for i in range(15)]
+    sections = ["".join(f"<p>{p}</p>" for p in parts[i:i + 5]) for i in (0, 5, 10)]
+    menu = "<div><a href=1>One</a><a href=2>Two</a><a href=3>Three</a></div>"
+    for begin, end in (("<section>", "</section>"), ("<div><div>", "</div></div>")):
+        page = f"<body><nav>N</nav>{menu}<h1>Title</h1>" + "".join(begin + x + end for x in sections) + f"<p>end</p>{menu}</body>"
+        assert density.main_text(page) == "\n\n".join(["Title", *parts, "end"])
