@@ -42,6 +42,9 @@ NOT_ARTICLE = re.compile(
     r"subscri\w+|popup|modal|overlay|share|sharing|social|related|recommend\w*|widgets?|toolbar|pagination|pager|copyright|"
     r"contentinfo|complementary|navigation|search|login|signup|hidden)(?=$|[\s_-])", re.I)
 
+#: Class words that describe what a wrapper has or lacks; they do not name the wrapper itself.
+LAYOUT = re.compile(r"(?:\S*[_-])?(?:no|has|have|with|without)[_-]\S*|\S*[_-]free", re.I)
+
 _token = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _attribute = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _white = re.compile(r"\s+")
@@ -53,6 +56,9 @@ class Node:
     name: str
     parent: Node | None = None
     dropped: bool = False
+    left_out: bool = False  # by element or as hidden
+    named: bool = False  # by its name alone
+    is_article: bool = False  # an article or main element that no name calls something else
     parts: list[Node | str] = field(default_factory=list)
     chars: int = 0
     tags: int = 0
@@ -69,7 +75,7 @@ def _in_article(node: Node | None) -> bool:
 
 
 def _is_left_out(name: str, attributes: str, parent: Node) -> bool:
-    """By element, by the words that name it, or as hidden. An article may have a header of its own."""
+    """By element, or as hidden. An article may have a header of its own."""
     if name in LEFT_OUT and not (name == "header" and _in_article(parent)):
         return True
     if not attributes or name in ("html", "body", "article", "main"):
@@ -78,12 +84,55 @@ def _is_left_out(name: str, attributes: str, parent: Node) -> bool:
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and "display:none" in value.replace(" ", "").lower():
             return True
-        word = NOT_ARTICLE.search(value) if key in ("class", "id", "role") else None
+    return False
+
+
+def _is_named_out(attributes: str, parent: Node) -> bool:
+    """By the words of class, id and role, other than those that describe what a wrapper has or lacks."""
+    for m in _attribute.finditer(attributes):
+        value = m[2] or m[3] or m[4] or ""
+        if m[1].lower() not in ("class", "id", "role"):
+            continue
+        word = NOT_ARTICLE.search(" ".join(w for w in value.split() if not LAYOUT.fullmatch(w)))
         if word and not ("header" in word[0].lower() and _in_article(parent)):
             return True
     return False
 
 
+def _take_back(root: Node) -> None:
+    """Names that leave out the only articles of a page, or nearly all of its text, name wrappers, which stay."""
+    nodes = _in_order(root)
+    articles = [n for n in nodes if n.is_article]
+    if not any(n.named for n in nodes) or any(not n.dropped for n in articles):
+        return
+    hidden, chars, shown = set(), dict.fromkeys(map(id, nodes), 0), 0
+    for node in nodes:
+        if node.left_out or id(node.parent) in hidden:
+            hidden.add(id(node))
+    for node in reversed(nodes):
+        if id(node) in hidden:
+            continue
+        own = sum(len(_white.sub(" ", p).strip()) for p in node.parts if isinstance(p, str))
+        shown += 0 if node.dropped else own
+        chars[id(node)] += own
+        if node.parent is not None:
+            chars[id(node.parent)] += chars[id(node)]
+    held = [n for n in articles if id(n) not in hidden]
+    if held and sum(chars[id(n)] for n in held) > shown:
+        seen = set()
+        for node in held:
+            while node is not None and id(node) not in seen:
+                seen.add(id(node))
+                node.named = False
+                node = node.parent
+    elif not articles:
+        for node in nodes:
+            if node.named and id(node) not in hidden and chars[id(node)] > 0.9 * chars[id(root)]:
+                node.named = False
+    for node in nodes:
+        node.dropped = node.left_out or node.named or node.parent is not None and node.parent.dropped
+
+
 def parse(page: str) -> Node:
     """The tree of a page. Unclosed and stray tags do no harm; what never closes ends with its parent."""
     root = at = Node("#root")
@@ -105,13 +154,17 @@ def parse(page: str) -> Node:
             at = _close(at, name)
             continue
         at = _make_room(at, name)
-        node = Node(name, at, at.dropped or _is_left_out(name, m[4], at))
+        left_out, whole = _is_left_out(name, m[4], at), name in ("html", "body", "article", "main")
+        named = bool(m[4]) and _is_named_out(m[4], at)
+        node = Node(name, at, at.dropped or left_out or named and not whole, left_out, named and not whole,
+                    name in ("article", "main") and not named)
         at.parts.append(node)
         if name in RAW:
             end = _raw_end[name].search(page, place)
             place = end.end()
         elif name not in VOID and not (m[4].endswith("/") and name not in BLOCKS and name != "a"):
             at = node
+    _take_back(root)
     return root
 
 

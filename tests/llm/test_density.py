@@ -78,3 +78,12 @@ def test_sections_beside_each_other_stay():
     for begin, end in (("<section>", "</section>"), ("<div><div>", "</div></div>")):
         page = f"<body><nav>N</nav>{menu}<h1>Title</h1>" + "".join(begin + x + end for x in sections) + f"<p>end</p>{menu}</body>"
         assert density.main_text(page) == "\n\n".join(["Title", *parts, "end"])
+
+
+@pytest.mark.parametrize("name", ["class='site no-sidebar'", "class='right-sidebar'", "class=has-footer", "class='content-with-comments'",
+                                  "class=ad-free", "class=has-banner", "id=page-header-fixed"])
+def test_names_of_wrappers_do_not_drop_what_they_hold(name):
+    for inner in (f"<article><h1>T</h1><p>{LONG}</p></article>", f"<h1>T</h1><p>{LONG}</p>"):
+        page = f"<body><div {name}><div class='sidebar'>S</div>{inner}<div class=comments><article class=comment>C</article></div></div></body>"
+        assert density.main_text(page) == f"T\n\n{LONG}"
+    assert density.main_text(f"<body><div class='related'><article>Other</article></div><div><p>{LONG}</p></div></body>") == LONG
