@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from litscreen.llm import automaton, counts, density, mixing, pivots, recompress, rules, secrets, vantage, warc
+from litscreen.llm import (
+    automaton, counts, density, divergence, interaction, mixing, pivots, recompress, rules, secrets, toxicity, vantage, warc,
+)
 from litscreen.llm.texts import uint64_hex
 from litscreen.session import materialise, shared_folder, spread
 
@@ -75,7 +77,20 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(automaton.round_trip(docs, public_tokenizers.path("word_bpe_49k.json")))
 
 
-ALL = [op1_quality_rules, op2_warc_index, op3_token_counts, op4_substring_recompression, op5_html_density, op6_exact_topk, op7_poisson_mixing, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton]
+def op11_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(_table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+ALL = [op1_quality_rules, op2_warc_index, op3_token_counts, op4_substring_recompression, op5_html_density, op6_exact_topk, op7_poisson_mixing, op8_simhash_vantage, op9_secret_scans, op10_bpe_automaton, op11_ftrl_toxicity, op12_filter_interaction, op13_source_divergence]
 SQL = {
     "op2_warc_index": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -92,5 +107,7 @@ scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BI
            FROM good q JOIN good c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM scored QUALIFY rank <= 5""",
+    "op12_filter_interaction": interaction.SQL,
+    "op13_source_divergence": divergence.SQL,
     "op7_poisson_mixing": mixing.sql(WEIGHTS, ["doc_id", "source", "lang", "n_chars", "text"]),
 }
