@@ -1,0 +1,125 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pytest
+
+from litscreen.llm import divergence
+from odd import ODD
+
+TERM = re.compile("[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+DOCS = "doc_id long, text string, lang string, source string, n long, place int"
+
+
+def _lower(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+
+
+def brute(docs, least=30, top=50):
+    docs = [(_lower(d[1] or ""), d[2] or "", d[3] or "") for d in docs]
+    counts, df = defaultdict(Counter), Counter()
+    for text, lang, source in docs:
+        terms = TERM.findall(text)
+        counts[lang, source].update(terms)
+        df.update((lang, t) for t in set(terms))
+    rows = set()
+    for lang, source in counts:
+        kept = [t for (l, t), n in df.items() if l == lang and n >= least]
+        same = [s for l, s in counts if l == lang]
+        every = Counter()
+        for s in same:
+            every.update({t: counts[lang, s][t] for t in kept})
+
+        def price(c, t):
+            return 1 + 1_000_000_000 * (c[t] + 5) // (sum(c[k] for k in kept) + 5 * len(kept))
+
+        own = counts[lang, source]
+        pairs = [(s, sum(abs(price(own, t) - price(counts[lang, s], t)) for t in kept)) for s in same if s != source]
+        terms = [(t, price(own, t) - price(every, t)) for t in kept if own[t] and price(own, t) > price(every, t)]
+        order = lambda found: sorted(found, key=lambda r: (-r[1], r[0].encode()))
+        rows |= {(lang, source, "pair", s, v, i) for i, (s, v) in enumerate(order(pairs), 1)}
+        rows |= {(lang, source, "term", t, v, i) for i, (t, v) in enumerate(order(terms)[:top], 1)}
+    return rows
+
+
+def _docs(n=400, seed=2):
+    rng = random.Random(seed)
+    words = ["Alpha", "beta", "über", "été", "日本", "x1y", "don't", "gamma-delta", *("w" + chr(97 + i) + chr(97 + j) for i in range(9) for j in range(9))]
+    rows = [(i, " ".join(rng.choices(words, range(len(words), 0, -1), k=rng.randint(0, 60))), rng.choice(["en", "en", "de", None]),
+             rng.choice(["s1", "s1", "s2", "s3", None, ""]), 1, 1) for i in range(n)]
+    rows += [(None, t, "odd", f"o{i % 3}", None, None) for i, t in enumerate(ODD)]
+    rows += [(1, None, "en", "no terms", 1, 1), (1, "1 2 3", "rare", "a", 1, 1), (1, "once", "rare", "b", 1, 1), (2, "alone", "single", "a", 1, 1)]
+    return rows
+
+
+def _found(df):
+    rows = [tuple(r) for r in df.select("lang", "source", "part", "item", "value", "rank").collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_equals_brute_force(spark):
+    docs = _docs()
+    assert _found(divergence.audit(spark.createDataFrame(docs, DOCS).repartition(5))) == brute(docs)
+
+
+def test_many_blocks_and_tiles(spark, monkeypatch):
+    docs = _docs(300, 8)
+    rng = random.Random(4)
+    docs += [(i, "wab wcd beta", "en", f"t{rng.randint(0, 40)}", 1, 1) for i in range(200)]
+    monkeypatch.setattr(divergence, "PAIRS_AT_ONCE", 7)
+    df = spark.createDataFrame(docs, DOCS)
+    kept = divergence.kept_terms(df, 5).cache()
+    want = {r[:2] + r[3:5] for r in brute(docs, 5) if r[2] == "pair"}
+    groups = df.selectExpr("coalesce(lang, '') lang", "coalesce(source, '') source").distinct()
+    groups.createOrReplaceTempView("_groups")
+    kept.createOrReplaceTempView("_kept")
+    listed = spark.sql("""
+        SELECT g.lang, g.source, coalesce(v.v, 0L) AS v, coalesce(n.n, 0L) + 5 * coalesce(v.v, 0L) AS whole,
+               count(*) OVER (PARTITION BY g.lang) AS sources
+        FROM _groups g LEFT JOIN (SELECT lang, count(DISTINCT term) v FROM _kept GROUP BY lang) v ON g.lang = v.lang
+        LEFT JOIN (SELECT lang, source, sum(n) n FROM _kept GROUP BY lang, source) n ON g.lang = n.lang AND g.source = n.source""").cache()
+    rows = divergence.pair_distances(kept, listed, block_terms=16, tile_sources=5).collect()
+    assert {(r.lang, *p, r.value) for r in rows for p in ((r.one, r.other), (r.other, r.one))} == want
+    assert len(rows) * 2 == len(want)
+
+
+def test_equal_subtrees_are_one_node():
+    counts = np.tile([0, 0, 3, 0], (6, 64))
+    counts[5, 0] = 9
+    forest = divergence.Forest(counts)
+    assert forest.sizes[0] == 3 and len(set(forest.roots[:5].tolist())) == 1 and max(forest.sizes) <= 4
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 7, 64, 100])
+def test_distances_of_any_width(width):
+    rng = np.random.default_rng(width)
+    counts = rng.integers(0, 4, (9, width)) * rng.integers(0, 10**9, (9, width)) % 10**7
+    whole = counts.sum(axis=1) + 5 * width
+    one, other = np.triu_indices(9, 1)
+    found = divergence.Forest(counts).distances(one, other, whole)
+    p = [[1 + 10**9 * (int(c) + 5) // int(w) for c in row] for row, w in zip(counts, whole)]
+    assert found.tolist() == [sum(abs(x - y) for x, y in zip(p[i], p[j])) for i, j in zip(one, other)]
+
+
+def test_shares_are_exact():
+    whole = np.array([9 * 10**14 + 7, 10**12 + 1, 11, 10**9, 5], np.int64)
+    n = np.array([8 * 10**14 + 3, 10**11 + 9, 6, 999_999_994, 0], np.int64)
+    assert divergence._shares(n, whole).tolist() == [1 + 10**9 * (int(a) + 5) // int(b) for a, b in zip(n, whole)]
+
+
+def test_empty(spark):
+    assert divergence.audit(spark.createDataFrame([], DOCS)).collect() == []
+    assert _found(divergence.audit(spark.createDataFrame([(1, None, None, None, 1, 1)], DOCS))) == set()
+
+
+def test_query_equals_sql(spark, data):
+    from litscreen.llm.queries import SQL, op13_source_divergence
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{data}/documents.parquet'")
+    result = con.execute(SQL["op13_source_divergence"])
+    names = [c[0] for c in result.description]
+    assert sorted(map(tuple, op13_source_divergence(spark, data).select(*names).collect())) == sorted(result.fetchall())
