@@ -62,7 +62,7 @@ def select_articles(
             F.lit(fetched_at).cast("timestamp").alias("fetched_at"),
         )
         sinks.upsert_articles(stamped, landing)
-    sinks.commit_run_state(incremental.advance(state, plan, current), state_path)
+    sinks.update_run_state(spark, state_path, lambda now: incremental.advance(now, plan, current))
     return decision
 
 

@@ -225,37 +225,22 @@ def abstract_table(spark, d):
     return tables.read_abstracts_table(spark, target).drop("fetched_at")
 
 
-_STORED = {"glob": "*/*/*.txt", "folder": r"query_folder=([^/]+)/[^/]+/[^/]+\z", "name": r"id=([^/]+)/[^/]+\z"}
-
-
-def _latest_lines(spark, d):
-    """The newest page of each address as one line."""
+def _landed_records(spark, d):
+    """The newest page of each address as a record of one line, in files sized by bytes."""
+    target = shared_folder(spark, "records")
     latest = dedup.latest_per_key(_raw_articles(spark, d), ["query_folder", "id"], [F.col("fetched_at").desc()])
-    return latest.select("query_folder", "id", F.regexp_replace(F.col("content").cast("string"), r"\n", " ").alias("value"))
-
-
-def _landed_files(spark, d):
-    """One text file for each address, in folders that name it; Spark ends it with a line feed."""
-    target = shared_folder(spark, "files")
-    _latest_lines(spark, d).repartition("query_folder", "id").write.partitionBy("query_folder", "id").text(target)
-    return target
-
-
-def _packed_files(spark, d):
-    """Pages in text files, in folders that name them: 40 files to a folder, one page to a line."""
-    target = shared_folder(spark, "files")
-    lines = _latest_lines(spark, d).withColumn("number", F.col("id").cast("long")).withColumn("id", F.col("number") % 40)
-    dealt = lines.repartition("query_folder", "id").sortWithinPartitions("query_folder", "id", "number")
-    dealt.drop("number").write.partitionBy("query_folder", "id").text(target)
+    line = F.concat(F.regexp_replace(F.col("content").cast("string"), r"\n", " "), F.lit("\n"))
+    sinks.land_records(latest.withColumn("content", line.cast("binary")), target)
     return target
 
 
 def landed_files(spark, d):
-    """Articles that lie as files, read as bytes and as texts."""
-    target = _packed_files(spark, d)
-    articles = files.read_articles(spark, target, **_STORED).select("query_folder", "id", F.md5("content").alias("content_md5"))
-    texts = files.read_extracted(spark, target, **_STORED).select("query_folder", "id", F.md5("abstract_text").alias("text_md5"))
-    return articles.join(texts, ["query_folder", "id"])
+    """Articles that lie as records in files, read as bytes, landed as texts and read again."""
+    articles = files.read_records(spark, _landed_records(spark, d))
+    target = shared_folder(spark, "texts")
+    sinks.land_records(files.decode(articles).withColumnRenamed("page", "abstract_text"), target)
+    texts = files.read_records(spark, target, schemas.EXTRACTED).select("query_folder", "id", F.md5("abstract_text").alias("text_md5"))
+    return articles.select("query_folder", "id", F.md5("content").alias("content_md5")).join(texts, ["query_folder", "id"])
 
 
 def decode_rejects(spark, d):
@@ -618,11 +603,10 @@ def ml_score(spark, d):
 # ---------------------------------------------------------------- streams
 
 def stream_ingest(spark, d):
-    """The pages land as files and are taken in as a stream of articles: extract, clean, append."""
+    """The pages land as records in files and are taken in as a stream of articles: extract, clean, append."""
     target, checkpoint = shared_folder(spark, "stream"), shared_folder(spark, "stream-state")
-    ingest.abstract_stream(
-        spark, _landed_files(spark, d), target, checkpoint, element="article", **_STORED
-    ).awaitTermination()
+    arriving = ingest.record_stream(spark, _landed_records(spark, d), files_per_batch=64)
+    ingest.abstract_stream(arriving, target, checkpoint, element="article").awaitTermination()
     return spark.read.parquet(target).select("ID", "Abstract")
 
 

@@ -42,6 +42,13 @@ ABSTRACTS = T.StructType([
     T.StructField("fetched_at", T.TimestampType()),
 ])
 
+EXTRACTED = T.StructType([
+    T.StructField("query_folder", T.StringType()),
+    T.StructField("id", T.StringType()),
+    T.StructField("abstract_text", T.StringType()),
+    T.StructField("fetched_at", T.TimestampType()),
+])
+
 # What the binaryFile source gives; a stream has to be told.
 BINARY_FILE = T.StructType([
     T.StructField("path", T.StringType()),

@@ -76,10 +76,19 @@ class Staging:
     def __enter__(self) -> Staging:
         return self
 
+    def _folder(self, spark: SparkSession, purpose: str) -> str:
+        path = shared_folder(spark, purpose)
+        self._written.append((spark, path))
+        return path
+
     def materialise(self, df: DataFrame, purpose: str) -> DataFrame:
-        path = shared_folder(df.sparkSession, purpose)
-        self._written.append((df.sparkSession, path))
-        return _write_and_read(df, path)
+        return _write_and_read(df, self._folder(df.sparkSession, purpose))
+
+    def write(self, df: DataFrame, purpose: str, partitions: list[str]) -> str:
+        """Write a table in partitions; returns its folder."""
+        path = self._folder(df.sparkSession, purpose)
+        df.write.partitionBy(*partitions).parquet(path)
+        return path
 
     def __exit__(self, *error) -> None:
         for spark, path in self._written:

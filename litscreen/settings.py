@@ -38,3 +38,6 @@ MAX_TOKENS = 512
 
 # Ids of the special tokens.
 PAD_ID, UNKNOWN_ID, START_ID, END_ID = 0, 1, 2, 3
+
+# Layout of tables: hash buckets of a new table (or of each of its folders).
+TABLE_BUCKETS = 16

@@ -2,70 +2,126 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from litscreen import schemas
+from litscreen import schemas, settings
 from litscreen.operators.dedup import absent, first_per_key, latest_per_key
 from litscreen.session import Staging
-from litscreen.sources.tables import exists, read_appended, versions
+from litscreen.sources.tables import (
+    COMMITS, create_once, exists, file_system, names_in, partition_folders, read_small, read_version, versions,
+)
 
 
-def write_by_folder(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One directory per query folder. Folders of any size: Spark evens out the files."""
-    (
-        df.hint("rebalance", "query_folder")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("query_folder")
-        .parquet(path)
-    )
+def _buckets(spark: SparkSession, path: str, wanted: int) -> int:
+    """The number of hash buckets of a table. The first writer decides it, for good."""
+    marker = f"{path}/_buckets"
+    create_once(spark, marker, str(wanted))
+    return int(read_small(spark, marker))
 
 
-MOST_NAMED_FOLDERS = 10_000  # beyond it folders are met by a join, which prunes no partitions
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
 
 
-def _touched(landed: DataFrame, new: DataFrame) -> DataFrame:
-    """The rows of the folders that got something new; other partitions are not read."""
-    folders = new.select("query_folder").distinct()
-    names = [row.query_folder for row in folders.limit(MOST_NAMED_FOLDERS + 1).collect()]
-    if len(names) > MOST_NAMED_FOLDERS:
-        same = F.col("query_folder").eqNullSafe(F.col("_folder"))
-        return landed.join(folders.withColumnRenamed("query_folder", "_folder"), same, "left_semi")
-    wanted = F.col("query_folder").isin([n for n in names if n is not None])
-    return landed.filter(wanted | F.col("query_folder").isNull() if None in names else wanted)
+def _switch(spark: SparkSession, pending: str, path: str, levels: int) -> None:
+    """Put the partitions of a complete table in the place of those of the same name.
 
+    May be repeated from any point: a partition goes only when the one for its place is there.
+    """
+    files, _ = file_system(spark, path)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    for name in partition_folders(spark, pending, levels):
+        target = place(f"{path}/{name}")
+        files.mkdirs(target.getParent())
+        files.delete(target, True)
+        if not files.rename(place(f"{pending}/{name}"), target):
+            raise OSError(f"cannot put {pending}/{name} in its place")
+    files.delete(place(pending), True)
+
+
+PENDING = "_pending-"
+
+
+def _recover(spark: SparkSession, path: str, levels: int) -> None:
+    """Finish the switch of a writer that was lost after its rows were complete; drop what was not."""
+    for name in names_in(spark, path):
+        if name.startswith(PENDING):
+            pending = f"{path}/{name}"
+            if exists(spark, f"{pending}/_SUCCESS"):
+                _switch(spark, pending, path, levels)
+            else:
+                files, hadoop_path = file_system(spark, pending)
+                files.delete(hadoop_path, True)
+
+
+def _same_partitions(spark: SparkSession, path: str, other: str, levels: int, schema: T.StructType) -> DataFrame | None:
+    """The rows of a table in those partitions that another table has as well; no other folder is listed or read."""
+    shared = [f"{path}/{n}" for n in partition_folders(spark, other, levels) if exists(spark, f"{path}/{n}")]
+    return spark.read.schema(schema).option("basePath", path).parquet(*shared) if shared else None
+
+
+KEYS = ["query_folder", "id"]
+
+
+def _keys_and_times(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"_{c}") for c in (*KEYS, "fetched_at")])
+
+
+def _same_key() -> Column:
+    return reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in KEYS])
+
+
+def _replaced() -> Column:
+    """Whether a fetch takes the place of a landed one; a fetch without a time only that of one without."""
+    neither = F.col("_fetched_at").isNull() & F.col("fetched_at").isNull()
+    return neither | F.coalesce(F.col("_fetched_at") >= F.col("fetched_at"), F.col("_fetched_at").isNotNull())
+
+
+def staying(landed: DataFrame, times: DataFrame) -> DataFrame:
+    """The landed rows that no row of a batch replaces; ``times`` has the keys and times of the batch."""
+    return landed.join(times, _same_key() & _replaced(), "left_anti")
 
-def upsert_by_folder(new: DataFrame, path: str, schema: T.StructType) -> None:
+
+def late(landed: DataFrame, times: DataFrame) -> DataFrame:
+    """Keys of the batch whose landed rows are newer."""
+    return _keys_and_times(landed.select(*KEYS, "fetched_at").join(times, _same_key() & ~_replaced(), "left_semi"))
+
+
+def upsert_by_folder(new: DataFrame, path: str, schema: T.StructType, buckets: int = settings.TABLE_BUCKETS) -> None:
     """One row per query folder and id, the last fetch wins; of fetches at the same time the later batch.
 
-    Only the folders that got something new are read and written again. Which rows win is
-    decided on keys and times alone; the contents that stay are not moved for it. An empty
-    folder name and a missing one are the same folder, read back as NULL.
+    A folder is split by the hash of the id, and only the buckets that get something new are read and written again.
+    Which rows win is decided on keys and times. Those of the batch are written out, so that Spark broadcasts them if
+    they are few; contents that stay then go from their files to the new ones without a shuffle. The new buckets are
+    written beside the table and put in place one by one; a writer that is lost meanwhile is made up for by the next
+    one. A table has one writer at a time. An empty folder name and a missing one are the same folder, read as NULL.
     """
-    keys = ["query_folder", "id"]
+    spark, parts = new.sparkSession, ["query_folder", "bucket"]
+    bucket = _bucket("id", _buckets(spark, path, buckets))
+    _recover(spark, path, len(parts))
     named = new.withColumn("query_folder", F.nullif("query_folder", F.lit(""))).select(*schema.names)
-    others = [F.col(c) for c in schema.names if c not in (*keys, "fetched_at")]
+    others = [F.col(c) for c in schema.names if c not in (*KEYS, "fetched_at")]
     newest = [F.col("fetched_at").desc(), F.xxhash64(*others)]
+    stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
+    pending = f"{path}/{PENDING}{uuid.uuid4().hex}"
     with Staging() as staging:
-        batch = staging.materialise(latest_per_key(named, keys, newest), "upsert")
-        merged = batch
-        if exists(new.sparkSession, path):
-            landed = _touched(new.sparkSession.read.schema(schema).parquet(path), batch)
-            times = batch.select(*[F.col(c).alias(f"_{c}") for c in (*keys, "fetched_at")])
-            same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys])
-            newer = F.col("_fetched_at").isNull() & F.col("fetched_at").isNull()
-            newer |= F.coalesce(F.col("_fetched_at") >= F.col("fetched_at"), F.col("_fetched_at").isNotNull())
-            kept = landed.join(times, same & newer, "left_anti")
-            older = landed.select(*[F.col(c).alias(f"_{c}") for c in (*keys, "fetched_at")])
-            later = F.col("fetched_at").isNull() & F.col("_fetched_at").isNotNull()
-            later |= F.coalesce(F.col("_fetched_at") > F.col("fetched_at"), F.lit(False))
-            merged = kept.unionByName(batch.join(older, same & later, "left_anti"))
-        write_by_folder(merged, path)
+        batch_path = staging.write(latest_per_key(named, KEYS, newest).withColumn("bucket", bucket), "upsert", parts)
+        merged = batch = spark.read.schema(stored).parquet(batch_path)
+        landed = _same_partitions(spark, path, batch_path, len(parts), stored)
+        if landed is not None:
+            times = staging.materialise(_keys_and_times(batch), "times")
+            # Few rows as a rule: keys whose landed rows stay although the batch has them.
+            kept_out = staging.materialise(late(landed, times), "late")
+            merged = staying(landed, times).unionByName(batch.join(kept_out, _same_key(), "left_anti"))
+        merged.write.partitionBy(*parts).parquet(pending)
+    _switch(spark, pending, path, len(parts))
 
 
 def upsert_articles(new: DataFrame, path: str) -> None:
@@ -73,27 +129,53 @@ def upsert_articles(new: DataFrame, path: str) -> None:
     upsert_by_folder(new, path, schemas.ARTICLES_RAW)
 
 
-def append_unseen(new: DataFrame, path: str, key: str, order: list[Column]) -> None:
+def append_unseen(
+    new: DataFrame, path: str, key: str, order: list[Column], buckets: int = settings.TABLE_BUCKETS
+) -> None:
     """Append the first row of each key that the table does not hold yet.
 
-    Running it again adds nothing, so a batch that failed half way may simply be repeated.
-    The batch is as a rule much smaller than the table: it is written out, so that Spark
-    knows its size, and the keys of the table are filtered by it before they are moved.
+    The table is split by the hash of the key: of a small batch only its own buckets are looked at, and of those only
+    the keys. Running it again adds nothing, so a batch that failed half way may simply be repeated.
     """
-    fresh = first_per_key(new, [key], order)
+    spark = new.sparkSession
+    fresh = first_per_key(new, [key], order).withColumn("bucket", _bucket(key, _buckets(spark, path, buckets)))
     with Staging() as staging:
-        if exists(new.sparkSession, path):
-            fresh = staging.materialise(fresh, "batch")
-            fresh = absent(read_appended(new.sparkSession, path, new.schema), fresh, key)
-        fresh.hint("rebalance").write.mode("append").parquet(path)
+        batch_path = staging.write(fresh.hint("rebalance", "bucket"), "batch", ["bucket"])
+        batch = spark.read.schema(fresh.schema).parquet(batch_path)
+        known = _same_partitions(spark, path, batch_path, 1, fresh.schema)
+        added = batch if known is None else absent(known, batch, key)
+        added.write.mode("append").partitionBy("bucket").parquet(path)
+
+
+def land_records(rows: DataFrame, root: str) -> None:
+    """Rows as lines of JSON in folders that name the query, as many lines to a file as its size allows.
+
+    Spark evens out the files to ``spark.sql.adaptive.advisoryPartitionSizeInBytes``: their number grows with the
+    bytes, not with the rows, and a folder of any size is split. Binary content is written in base64.
+    """
+    rows.hint("rebalance", "query_folder").write.mode("append").partitionBy("query_folder").json(root)
+
+
+def _commit(spark: SparkSession, path: str, version: int, folder: str) -> bool:
+    return create_once(spark, f"{path}/{COMMITS}/{version}", folder)
+
+
+def _write_apart(df: DataFrame, path: str) -> str:
+    """Write rows that a commit may name later; returns the folder."""
+    folder = f"rows-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{folder}")
+    return folder
 
 
 def write_version(df: DataFrame, path: str) -> str:
-    """Write a table as a whole next to its older versions, which it may be made from."""
-    known = versions(df.sparkSession, path)
-    target = f"{path}/v={known[-1] + 1 if known else 1}"
-    df.write.mode("overwrite").parquet(target)
-    return target
+    """Write a table as a whole next to its older versions, which it may be made from.
+
+    Of two writers at once each gets a version of its own; the later commit is the newer one.
+    """
+    folder, version = _write_apart(df, path), 1
+    while not _commit(df.sparkSession, path, version, folder):
+        version = max(version, *versions(df.sparkSession, path)) + 1
+    return f"{path}/{folder}"
 
 
 def commit_run_state(state: DataFrame, path: str) -> str:
@@ -101,6 +183,20 @@ def commit_run_state(state: DataFrame, path: str) -> str:
     return write_version(state.coalesce(1), path)  # one narrow row per standing query
 
 
+def update_run_state(spark: SparkSession, path: str, change: Callable[[DataFrame], DataFrame]) -> str:
+    """Record what a run changes of the state that it finds.
+
+    The next version is created only if nobody else has; of two runs that started from the same state the later one
+    applies its change to what the other one left.
+    """
+    while True:
+        known = versions(spark, path)
+        base = known[-1] if known else 0
+        folder = _write_apart(change(read_version(spark, path, schemas.RUN_STATE, base)).coalesce(1), path)
+        if _commit(spark, path, base + 1, folder):
+            return f"{path}/{folder}"
+
+
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with header and doubled quotes, for programs outside Spark. Blanks at the ends of texts stay.
 

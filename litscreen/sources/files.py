@@ -77,6 +77,11 @@ def read_extracted(
     )
 
 
+def read_records(spark: SparkSession, root: str, schema: T.StructType = schemas.ARTICLES_RAW) -> DataFrame:
+    """Rows that lie as lines of JSON below ``query_folder=<name>``; lines are split as they are read."""
+    return spark.read.schema(schema).json(root).select(*schema.names)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A CSV file with header, quotes doubled, line breaks inside quotes allowed."""
     return (

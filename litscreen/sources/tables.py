@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -12,32 +13,75 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    files, hadoop_path = _file_system(spark, path)
+    files, hadoop_path = file_system(spark, path)
     return files.exists(hadoop_path)
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """The complete versions of a table, oldest first; a version that failed does not count."""
-    files, hadoop_path = _file_system(spark, path)
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it is missing."""
+    files, hadoop_path = file_system(spark, path)
     if not files.exists(hadoop_path):
         return []
-    names = [status.getPath().getName() for status in files.listStatus(hadoop_path)]
-    found = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
-    return sorted(v for v in found if exists(spark, f"{path}/v={v}/_SUCCESS"))
+    return sorted(status.getPath().getName() for status in files.listStatus(hadoop_path))
+
+
+def partition_folders(spark: SparkSession, path: str, levels: int) -> list[str]:
+    """Folders ``column=value`` so many levels below ``path``, relative to it."""
+    found = [""]
+    for _ in range(levels):
+        found = [f"{f}/{n}" for f in found for n in names_in(spark, path + f) if "=" in n and n[0] not in "._"]
+    return [f.lstrip("/") for f in found]
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file that must not be there yet. False if it is: then somebody else was first."""
+    files, hadoop_path = file_system(spark, path)
+    try:
+        stream = files.create(hadoop_path, False)
+    except Py4JJavaError:
+        if files.exists(hadoop_path):
+            return False
+        raise
+    stream.write(text.encode())
+    stream.close()
+    return True
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    files, hadoop_path = file_system(spark, path)
+    stream = files.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+COMMITS = "_commits"
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """The committed versions of a table, oldest first; what was written but not committed does not count."""
+    return sorted(int(n) for n in names_in(spark, f"{path}/{COMMITS}") if n.isdigit())
+
+
+def version_folder(spark: SparkSession, path: str, version: int) -> str:
+    """Where the rows of a version are: its commit names the folder."""
+    return f"{path}/{read_small(spark, f'{path}/{COMMITS}/{version}')}"
 
 
-def read_version(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The newest complete version of a table; an empty table if there is none."""
+def read_version(spark: SparkSession, path: str, schema: T.StructType, version: int | None = None) -> DataFrame:
+    """A version of a table, as a rule the newest one; an empty table if there is none."""
     known = versions(spark, path)
     if not known:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={known[-1]}")
+    return spark.read.schema(schema).parquet(version_folder(spark, path, version or known[-1]))
 
 
 def read_run_state(spark: SparkSession, path: str) -> DataFrame:
@@ -49,7 +93,7 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     """A table that is appended to; an empty table before the first write."""
     if not exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:

@@ -10,12 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from litscreen import schemas
 from litscreen.operators import extract
 from litscreen.sinks.tables import append_unseen
 from litscreen.sources import files
+from litscreen.sources.tables import create_once, exists, file_system
 
 
 def article_stream(
@@ -33,6 +35,16 @@ def article_stream(
     return files.as_articles(reader.load(f"{root.rstrip('/')}/{glob}"), folder, name)
 
 
+def record_stream(
+    spark: SparkSession, root: str, files_per_batch: int | None = None, schema: T.StructType = schemas.ARTICLES_RAW
+) -> DataFrame:
+    """Records as they land, many to a file: the rows that :func:`files.read_records` gives."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.json(root).select(*schema.names)
+
+
 def drop_seen(
     stream: DataFrame, key: str, event_time: str | None = None, delay: str | None = None
 ) -> DataFrame:
@@ -53,9 +65,21 @@ def append_stream(
     key: str,
     order: list[Column],
 ) -> StreamingQuery:
-    """Process what has arrived, keep the first row of each key and append it to a table."""
-    def add(batch: DataFrame, _: int) -> None:
+    """Process what has arrived, keep the first row of each key and append it to a table.
+
+    The number of the last batch that was appended is noted beside the checkpoint: a batch that Spark repeats, because
+    it was lost before it was marked as done, is skipped without looking at its rows.
+    """
+    done = f"{checkpoint}/appended"
+
+    def add(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        if exists(spark, f"{done}/{number}"):
+            return
         append_unseen(transform(batch), path, key, order)
+        create_once(spark, f"{done}/{number}", "")
+        files, before = file_system(spark, f"{done}/{number - 1}")
+        files.delete(before, False)
 
     return (
         stream.writeStream.foreachBatch(add)
@@ -65,20 +89,9 @@ def append_stream(
     )
 
 
-def abstract_stream(
-    spark: SparkSession,
-    root: str,
-    path: str,
-    checkpoint: str,
-    files_per_batch: int | None = None,
-    element: str = "abstract",
-    **places: str,
-) -> StreamingQuery:
-    """Keep the abstract data set up to date with a landing folder."""
+def abstract_stream(articles: DataFrame, path: str, checkpoint: str, element: str = "abstract") -> StreamingQuery:
+    """Keep the abstract data set up to date with a stream of raw articles."""
     def rows(batch: DataFrame) -> DataFrame:
         return extract.dataset_rows(extract.abstracts(files.decode(batch), element))
 
-    order = [F.col("query_folder"), F.col("fetched_at")]
-    return append_stream(
-        article_stream(spark, root, files_per_batch, **places), rows, path, checkpoint, "ID", order
-    )
+    return append_stream(articles, rows, path, checkpoint, "ID", [F.col("query_folder"), F.col("fetched_at")])

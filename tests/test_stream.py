@@ -19,13 +19,13 @@ def _content(spark, path):
 
 def test_stream_equals_batch_and_takes_up_what_is_new(spark, corpus, tmp_path):
     target, checkpoint, batch = (str(tmp_path / n) for n in ("stream", "checkpoint", "batch"))
-    _run(ingest.abstract_stream(spark, corpus, target, checkpoint))
+    _run(ingest.abstract_stream(ingest.article_stream(spark, corpus), target, checkpoint))
     jobs.build_abstract_dataset(files.read_articles(spark, corpus), batch)
     assert _content(spark, target) == _content(spark, batch)
     # The same ID in another folder adds nothing, a new one does.
     shutil.copy(f"{corpus}/qA/101.xml", f"{corpus}/qA/200.xml")
     shutil.copy(f"{corpus}/qA/101.xml", f"{corpus}/qA/107.xml")
-    _run(ingest.abstract_stream(spark, corpus, target, checkpoint, files_per_batch=1))
+    _run(ingest.abstract_stream(ingest.article_stream(spark, corpus, 1), target, checkpoint))
     assert {i for i, _ in _content(spark, target)} == {"101", "107", "200"}
     assert spark.read.parquet(target).count() == 3
 
@@ -33,10 +33,37 @@ def test_stream_equals_batch_and_takes_up_what_is_new(spark, corpus, tmp_path):
 def test_a_repeated_batch_adds_nothing(spark, corpus, tmp_path):
     target = str(tmp_path / "stream")
     for run in ("first", "lost checkpoint"):
-        _run(ingest.abstract_stream(spark, corpus, target, str(tmp_path / run), files_per_batch=2))
+        _run(ingest.abstract_stream(ingest.article_stream(spark, corpus, 2), target, str(tmp_path / run)))
     assert spark.read.parquet(target).count() == 2
 
 
+def test_records_stream_in_batches_of_files(spark, data, tmp_path):
+    root, target, checkpoint = queries._landed_records(spark, data), str(tmp_path / "stream"), str(tmp_path / "checkpoint")
+    _run(ingest.abstract_stream(ingest.record_stream(spark, root, 1), target, checkpoint, "article"))
+    jobs.build_abstract_dataset(files.read_records(spark, root), str(tmp_path / "batch"), element="article")
+    assert _content(spark, target) == _content(spark, str(tmp_path / "batch"))
+
+
+def test_a_batch_that_was_appended_is_skipped_at_once(spark, corpus, tmp_path, monkeypatch):
+    """Spark repeats a batch that was lost before it was marked as done."""
+    target, checkpoint = str(tmp_path / "stream"), tmp_path / "checkpoint"
+    stream = ingest.article_stream(spark, corpus)
+    _run(ingest.abstract_stream(stream, target, str(checkpoint)))
+    assert [p.name for p in (checkpoint / "appended").iterdir() if not p.name.startswith(".")] == ["0"]
+    for name in ("0", ".0.crc"):
+        (checkpoint / "commits" / name).unlink()
+
+    def never(*_):
+        raise AssertionError("the batch was looked at again")
+
+    monkeypatch.setattr(ingest, "append_unseen", never)
+    _run(ingest.abstract_stream(stream, target, str(checkpoint)))
+    monkeypatch.undo()
+    shutil.copy(f"{corpus}/qA/101.xml", f"{corpus}/qA/300.xml")
+    _run(ingest.abstract_stream(stream, target, str(checkpoint)))
+    assert {i for i, _ in _content(spark, target)} == {"101", "107", "300"}
+
+
 def test_state_drops_seen_keys(spark, tmp_path):
     source = tmp_path / "rows"
     source.mkdir()

@@ -1,5 +1,8 @@
 import datetime
 import os
+import re
+import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,7 +112,7 @@ def test_versions(spark, tmp_path):
     sinks.commit_run_state(spark.createDataFrame([("q", day)], schemas.RUN_STATE), path)
     later = tables.read_run_state(spark, path).withColumn("last_fetch", F.date_add("last_fetch", 7))
     sinks.commit_run_state(later, path)
-    os.makedirs(os.path.join(path, "v=3"))  # a version that failed
+    os.makedirs(os.path.join(path, "rows-x"))  # written, but not committed
     assert tables.versions(spark, path) == [1, 2]
     assert tables.read_run_state(spark, path).first().last_fetch == datetime.date(2024, 6, 4)
 
@@ -158,8 +161,123 @@ def test_upsert_without_folder_and_without_moving_contents(spark, tmp_path):
     sinks.upsert_articles(batch(("x", None, "g", None)), path)
     got = {(r.query_folder, r.id, r.content.decode()) for r in tables.read_landed(spark, path).collect()}
     assert got == {(None, "1", "later"), (None, "2", "b"), (None, "3", "d"), ("x", "1", "e"), ("x", None, "f")}
-    touched = sinks._touched(tables.read_landed(spark, path), batch(("x", "9", "h", day)))
-    assert "PartitionFilters: [isnotnull(query_folder" in touched._jdf.queryExecution().executedPlan().toString()
+
+
+def _batch(spark, *rows):
+    return spark.createDataFrame([(f, i, c.encode(), d) for f, i, c, d in rows], schemas.ARTICLES_RAW)
+
+
+def _parts(path):
+    return {str(p.relative_to(path)) for p in Path(path).rglob("*.parquet")}
+
+
+DAY = datetime.datetime(2024, 1, 1)
+
+
+def test_an_article_rewrites_one_bucket_of_its_folder(spark, tmp_path):
+    path = tmp_path / "landing"
+    sinks.upsert_articles(_batch(spark, *[(f, str(i), "x", DAY) for f in "ab" for i in range(200)]), str(path))
+    before = _parts(path)
+    sinks.upsert_articles(_batch(spark, ("a", "7", "new", DAY)), str(path))
+    folders = {os.path.dirname(name) for name in _parts(path) ^ before}
+    assert len(folders) == 1 and len({os.path.dirname(name) for name in before}) > 20
+    got = {(r.query_folder, r.id): r.content for r in tables.read_landed(spark, str(path)).collect()}
+    assert len(got) == 400 and got["a", "7"] == b"new" and got["b", "7"] == b"x"
+
+
+def test_contents_that_stay_do_not_move(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    sinks.upsert_articles(_batch(spark, *[("a", str(i), "x", DAY) for i in range(50)]), path)
+    sinks._keys_and_times(_batch(spark, ("a", "7", "new", DAY))).write.parquet(str(tmp_path / "times"))
+    times = spark.read.parquet(str(tmp_path / "times"))
+    plan = sinks.staying(tables.read_landed(spark, path), times)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and not re.search(r"(?<!Broadcast)Exchange", plan)
+
+
+@pytest.mark.parametrize("lost_after", [0, 1, 2])
+def test_a_lost_writer_is_made_up_for(spark, tmp_path, monkeypatch, lost_after):
+    """The driver is lost before, between or after the first partitions are put in place, old ones deleted."""
+    path = str(tmp_path / "landing")
+    sinks.upsert_articles(_batch(spark, *[("a", str(i), "old", DAY) for i in range(60)]), path)
+    listed = sinks.partition_folders
+
+    def lost(session, folder, levels):
+        names = listed(session, folder, levels)
+        if sinks.PENDING not in folder:
+            return names
+        shutil.rmtree(f"{path}/{names[lost_after]}")  # deleted, not yet replaced
+        return [*names[:lost_after], "query_folder=a/bucket=none"]
+
+    monkeypatch.setattr(sinks, "partition_folders", lost)
+    with pytest.raises(Exception):
+        sinks.upsert_articles(_batch(spark, *[("a", str(i), "new", DAY) for i in range(40)]), path)
+    monkeypatch.undo()
+    sinks.upsert_articles(_batch(spark, ("b", "1", "x", DAY)), path)
+    got = {(r.query_folder, r.id): r.content for r in tables.read_landed(spark, path).collect()}
+    assert got == {("b", "1"): b"x"} | {("a", str(i)): b"new" if i < 40 else b"old" for i in range(60)}
+    assert not [n for n in os.listdir(path) if n.startswith(sinks.PENDING)]
+
+
+def test_the_first_writer_decides_the_buckets(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    rows = _batch(spark, *[("a", str(i), "x", DAY) for i in range(30)])
+    for buckets in (3, 50):
+        sinks.upsert_by_folder(rows, path, schemas.ARTICLES_RAW, buckets)
+    assert tables.read_landed(spark, path).count() == 30
+    assert len({os.path.dirname(n) for n in _parts(path)}) == 3
+
+
+def test_a_small_batch_looks_at_its_own_buckets(spark, tmp_path):
+    path = str(tmp_path / "dataset")
+    rows = lambda ids: spark.createDataFrame([("text", i) for i in ids], schemas.ABSTRACT_DATASET)
+    everything = [str(i) for i in range(2000)]
+    sinks.append_unseen(rows(everything), path, "ID", [F.col("Abstract")], buckets=64)
+    small = str(tmp_path / "small")
+    sinks.append_unseen(rows(everything[:10] + ["new"]), small, "ID", [F.col("Abstract")], buckets=64)
+    known = sinks._same_partitions(spark, path, small, 1, spark.read.parquet(path).schema)
+    assert 0 < len(known.inputFiles()) <= 11 < len(_parts(path))
+    plan = known.select("ID")._jdf.queryExecution().executedPlan().toString()
+    assert "Abstract" not in plan.split("ReadSchema")[1]
+    before = _parts(path)
+    sinks.append_unseen(rows(everything[:10] + ["new"]), path, "ID", [F.col("Abstract")])
+    assert before < _parts(path) and spark.read.parquet(path).count() == 2001
+
+
+def test_two_runs_of_the_same_version(spark, tmp_path):
+    path = str(tmp_path / "state")
+    day = datetime.date(2024, 5, 28)
+    one = lambda query: spark.createDataFrame([(query, day)], schemas.RUN_STATE)
+    sinks.commit_run_state(one("q"), path)
+    tries = []
+
+    def slow(now):
+        """Another run commits while this one is at work."""
+        tries.append(now.count())
+        if len(tries) == 1:
+            sinks.update_run_state(spark, path, lambda found: found.union(one("faster")))
+        return now.union(one("slower"))
+
+    sinks.update_run_state(spark, path, slow)
+    assert tries == [1, 2] and tables.versions(spark, path) == [1, 2, 3]
+    assert {r.query_id for r in tables.read_run_state(spark, path).collect()} == {"q", "faster", "slower"}
+
+
+def test_records_lie_in_files_by_bytes(spark, tmp_path):
+    rows = _batch(spark, *[("a b" if i % 3 else "é", str(i), "line\n\x00é", DAY) for i in range(300)], (None, "x", "y", None))
+    root = str(tmp_path / "records")
+    sinks.land_records(rows, root)
+    got = files.read_records(spark, root)
+    assert got.columns == schemas.ARTICLES_RAW.names
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in rows.collect()}
+    few = len(list(Path(root).rglob("*.json")))
+    assert few <= 6
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "2k")
+    try:
+        sinks.land_records(rows.withColumn("content", F.sha2(F.col("id"), 512).cast("binary")), str(tmp_path / "large"))
+    finally:
+        spark.conf.unset(size)
+    assert len(list((tmp_path / "large").rglob("*.json"))) > few
 
 
 def test_selection_lands_articles_without_a_date(spark, tmp_path):
