@@ -4,27 +4,30 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel, inheritable_thread_target
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import (
     IDF, CountVectorizerModel, HashingTF, RegexTokenizer, SQLTransformer, VectorAssembler,
 )
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from litscreen import schemas, settings
 from litscreen.functions import let, scores, text
+from litscreen.operators import gram, order
 from litscreen.operators.heads import ensemble_mean
 
 
 # The tokens of a text as an expression, for a stage that is saved with its model.
 _TOKENS = "regexp_extract_all(lower(coalesce({column}, '')), r'" + text.TOKEN + "', 0)"
-NORMAL_WIDTH = 4096  # the widest features that the normal equations take
+REGULARISATION = 0.01
+_SAVED = "output string, bias double, weights array<double>"
 SCORED_AT_ONCE = 4096  # rows of one call of a member in Python; results do not depend on it
 DRAW_STEP = 2.0**-32  # resolution of a draw
 
@@ -100,6 +103,14 @@ def as_embedding(vector: str, kind: str = "float32") -> Column:
     return vector_to_array(F.col(vector), kind)
 
 
+def linear_stage(spark: SparkSession, weights: np.ndarray, bias: float, output: str) -> LinearRegressionModel:
+    """A linear model as a stage of a pipeline."""
+    kind = spark._jvm.org.apache.spark.ml.regression.LinearRegressionModel
+    vector = _py2java(spark.sparkContext, Vectors.dense(weights))
+    stage = LinearRegressionModel(kind(f"linear_{output}", vector, float(bias)))
+    return stage.setFeaturesCol("features").setPredictionCol(output)
+
+
 def train(
     training: DataFrame,
     id_col: str = settings.ID_COLUMN,
@@ -108,41 +119,101 @@ def train(
     members: int = settings.ENSEMBLE_SIZE,
     width: int = 1024,
     seed: int = settings.SPLIT_SEED,
-    parallel: int = 8,
 ) -> PipelineModel:
     """Fit all members and return them with their text features as one pipeline.
 
-    The features are made once and kept for all fits; kept partitions that are lost are made
-    again from the texts. Up to a ``width`` of 4096 each fit is one pass over them (normal
-    equations), beyond it an iterative one.
+    One pass over the texts counts the words, another one adds up what all members and targets need. The sums of a
+    member are a square matrix of ``width`` rows, on which its targets are solved.
     """
     features = text_features(training, text_col, width)
-    weighted = with_bootstrap(features.transform(training), id_col, members, seed)
-    rows = weighted.select("features", *targets, *[f"weight_{m}" for m in range(members)])
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-
-    def fit(head: tuple[int, str]):
-        member, target = head
-        return LinearRegression(
-            featuresCol="features", labelCol=target, weightCol=f"weight_{member}",
-            predictionCol=_output(member, target), regParam=0.01, solver="normal" if width <= NORMAL_WIDTH else "l-bfgs",
-        ).fit(rows)
-
-    heads = [(member, target) for member in range(members) for target in targets]
-    try:
-        with ThreadPoolExecutor(parallel) as pool:
-            fitted = list(pool.map(inheritable_thread_target(rows.sparkSession)(fit), heads))
-    finally:
-        rows.unpersist()
+    rows = features.transform(training)
+    weightings = [bootstrap_weight(id_col, m, seed) for m in range(members)]
+    sums = gram.weighted_sums(rows, "features", [F.col(t) for t in targets], weightings)
+    if not sums:
+        raise ValueError("no rows to learn from")
+    fitted = [
+        linear_stage(training.sparkSession, *sums[m].ridge(k, REGULARISATION), _output(m, target))
+        for m in range(members) for k, target in enumerate(targets)
+    ]
     return PipelineModel(features.stages + fitted)
 
 
+def train_epochs(
+    rows: DataFrame,
+    vector: str,
+    target: str,
+    id_col: str = settings.ID_COLUMN,
+    epochs: int = settings.EPOCHS,
+    steps: int = settings.STEPS_PER_EPOCH,
+    rate: float = settings.LEARNING_RATE,
+    seed: int = settings.SPLIT_SEED,
+) -> DataFrame:
+    """Train by mini-batches: one row for each epoch with its loss and the model after it.
+
+    Rows are shuffled by the hash of their ID and dealt to ``steps`` batches, the same ones in each epoch. The sums of
+    all batches come from one pass, whatever the number of epochs.
+    """
+    numbered = order.number_rows(rows, id_col, seed, "_row")
+    dealt = [F.when(F.pmod(F.col("_row"), F.lit(steps)) == k, 1.0).otherwise(0.0) for k in range(steps)]
+    batches = [s for s in gram.weighted_sums(numbered, vector, [F.col(target)], dealt) if s.weight]
+    found = gram.descend(batches, 0, epochs, rate) if batches else []
+    return rows.sparkSession.createDataFrame(
+        [(epoch, loss, target, bias, weights.tolist()) for epoch, (loss, weights, bias) in enumerate(found, 1)], schemas.EPOCHS)
+
+
+def mean_model(
+    model: PipelineModel,
+    spark: SparkSession,
+    targets: tuple[str, ...] = settings.SCORE_COLUMNS,
+    members: int = settings.ENSEMBLE_SIZE,
+) -> PipelineModel:
+    """The same features with one linear model for each target, whose output is the mean of the members' outputs.
+
+    The mean of linear models is a linear model: scoring costs one product for each target.
+    """
+    fitted = {s.getPredictionCol(): s for s in model.stages if _is_linear(s)}
+    of = lambda t: [fitted[_output(m, t)] for m in range(members)]
+    means = [linear_stage(spark, np.mean([s.coefficients.toArray() for s in of(t)], axis=0),
+                          float(np.mean([s.intercept for s in of(t)])), _mean_output(t)) for t in targets]
+    return PipelineModel([s for s in model.stages if not _is_linear(s)] + means)
+
+
+def _mean_output(target: str) -> str:
+    return f"{target}_mean"
+
+
+def scored(
+    model: PipelineModel,
+    rows: DataFrame,
+    names: tuple[str, ...] = settings.PREDICTED_COLUMNS,
+    targets: tuple[str, ...] = settings.SCORE_COLUMNS,
+    members: int = settings.ENSEMBLE_SIZE,
+    text_col: str = settings.TEXT_COLUMN,
+    source_col: str | None = None,
+) -> DataFrame:
+    """Add the ensemble scores for inference: means of the members, clipped."""
+    given = rows.withColumn(text_col, F.col(source_col)) if source_col else rows
+    made = mean_model(model, rows.sparkSession, targets, members).transform(given)
+    return made.select(*rows.columns, *[scores.clip(F.col(_mean_output(t))).alias(n) for t, n in zip(targets, names)])
+
+
+def _is_linear(stage) -> bool:
+    return isinstance(stage, LinearRegressionModel)
+
+
 def save(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Text features as a pipeline, and the linear models of all members as one table of a few rows."""
+    spark = SparkSession.active()
+    PipelineModel([s for s in model.stages if not _is_linear(s)]).write().overwrite().save(f"{path}/features")
+    rows = [(s.getPredictionCol(), float(s.intercept), s.coefficients.toArray().tolist()) for s in model.stages if _is_linear(s)]
+    spark.createDataFrame(rows, _SAVED).coalesce(1).write.mode("overwrite").parquet(f"{path}/heads")
 
 
 def load(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    spark = SparkSession.active()
+    features = PipelineModel.load(f"{path}/features")
+    rows = spark.read.schema(_SAVED).parquet(f"{path}/heads").collect()
+    return PipelineModel(features.stages + [linear_stage(spark, np.array(r.weights), r.bias, r.output) for r in rows])
 
 
 def heads_table(

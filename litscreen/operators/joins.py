@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,15 +49,16 @@ def salted_join(
     spread_by: str,
     how: str = "inner",
     salts: int | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """A join where the rows of each key are dealt to ``salts`` tasks by the hash of another column.
 
-    The lookup is written out once per salt; the result is that of the plain join.
+    The lookup is written out once per salt; the result is that of the plain join. ``also`` are more key columns.
     """
     salts = salts or salts_for(rows)
     dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
     copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies.hint("merge"), [key, "_salt"], how).drop("_salt")
+    return dealt.join(copies.hint("merge"), [key, *also, "_salt"], how).drop("_salt")
 
 
 def rest_of(rows: DataFrame, part: DataFrame, key: str) -> DataFrame:

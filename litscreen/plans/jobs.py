@@ -158,9 +158,7 @@ def score_articles(
     spark: SparkSession, dataset: DataFrame, model_path: str, predictions: str, filtered: str
 ) -> None:
     """Score the abstracts, write all predictions, and those above both thresholds."""
-    model = ensemble.load(model_path)
-    outputs = ensemble.outputs(model, dataset.select(*settings.ABSTRACT_COLUMNS), source_col="Abstract")
-    scored = ensemble.averaged(outputs, settings.PREDICTED_COLUMNS, "identity")
+    scored = ensemble.scored(ensemble.load(model_path), dataset.select(*settings.ABSTRACT_COLUMNS), source_col="Abstract")
     written = sinks.write_version(
         scored.select(*settings.ABSTRACT_COLUMNS, *settings.PREDICTED_COLUMNS), predictions
     )

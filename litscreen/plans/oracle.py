@@ -344,6 +344,20 @@ SQL = {
     "linear_fit": """
         SELECT round(1e6 * regr_slope(quality, n_chars), 6) AS slope_per_million, round(regr_intercept(quality, n_chars), 6) AS intercept
         FROM documents JOIN labels USING (doc_id)""",
+    "training_epochs": f"""WITH RECURSIVE {_SHUFFLED},
+        given AS (SELECT row % 8 AS k, n_chars / 10000.0::DOUBLE AS x, quality::DOUBLE AS y
+                  FROM shuffled JOIN documents USING (doc_id)),
+        batch AS (SELECT k, count(*) AS n, sum(x) AS x, sum(y) AS y, sum(x * x) AS xx, sum(x * y) AS xy, sum(y * y) AS yy
+                  FROM given GROUP BY k),
+        steps AS (
+          SELECT 0 AS step, 0.0::DOUBLE AS w, 0.0::DOUBLE AS b, NULL::DOUBLE AS loss
+          UNION ALL
+          SELECT step + 1, w - 0.05 * 2 * (w * xx + b * x - xy) / n, b - 0.05 * 2 * (w * x + b * n - y) / n,
+                 (w * w * xx + 2 * w * b * x + b * b * n - 2 * w * xy - 2 * b * y + yy) / n
+          FROM steps JOIN batch ON k = step % 8 WHERE step < 128)
+        SELECT epoch, round(loss, 9) AS loss, round(b, 9) AS bias, round(w, 9) AS weight FROM (
+          SELECT ceil(step / 8.0)::INT AS epoch, avg(loss) AS loss, arg_max(b, step) AS b, arg_max(w, step) AS w
+          FROM steps WHERE step > 0 GROUP BY 1)""",
     "ml_ensemble": f"""WITH {_NOISED}, {_SHUFFLED}
         SELECT doc_id AS "ID", round("randomized_AwT_score", 9) AS "randomized_AwT_score",
                round("randomized_SoE_score", 9) AS "randomized_SoE_score", true AS in_range, true AS averaged

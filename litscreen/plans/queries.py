@@ -6,6 +6,7 @@ import datetime
 from functools import reduce
 from operator import and_
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -565,6 +566,16 @@ def linear_fit(spark, d):
     return spark.range(1).select(F.round(F.lit(slope * 1e6), 6).alias("slope_per_million"), F.round(F.lit(intercept), 6).alias("intercept"))
 
 
+def training_epochs(spark, d):
+    """Mini-batch training of one feature, the labels on the length of the texts: loss and model of each epoch."""
+    rows = _read(spark, d, "documents").join(_read(spark, d, "labels"), "doc_id")
+    assembled = VectorAssembler(inputCols=["x"], outputCol="v").transform(
+        rows.select("doc_id", (F.col("n_chars") / 10000.0).alias("x"), F.col("quality").cast("double").alias("y")))
+    models = sinks.write_version(ensemble.train_epochs(assembled, "v", "y", "doc_id"), shared_folder(spark, "epochs"))
+    return spark.read.schema(schemas.EPOCHS).parquet(models).select(
+        "epoch", F.round("loss", 9).alias("loss"), F.round("bias", 9).alias("bias"), F.round(F.get("weights", F.lit(0)), 9).alias("weight"))
+
+
 def ml_ensemble(spark, d):
     """Train on the labelled documents, save, and compare on the test part.
 
@@ -636,6 +647,6 @@ ALL = [
     incremental_select, run_state_advance, select_articles, noise_scores, split_test,
     split_train, rest_after_split, training_order, bootstrap_weights, compare_table,
     mse_by_target, batch_loss, missing_counts, train_join, articles_per_query,
-    vocab_topk, encode_tokens, encode_padded, text_embedding, linear_fit, ml_ensemble, ml_score,
+    vocab_topk, encode_tokens, encode_padded, text_embedding, linear_fit, training_epochs, ml_ensemble, ml_score,
     stream_ingest, stream_dedup,
 ]

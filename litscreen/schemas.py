@@ -88,3 +88,11 @@ HEADS = T.StructType([
     T.StructField("bias", T.DoubleType()),
     T.StructField("weights", T.ArrayType(T.DoubleType())),
 ])
+
+EPOCHS = T.StructType([
+    T.StructField("epoch", T.IntegerType()),
+    T.StructField("loss", T.DoubleType()),
+    T.StructField("target", T.StringType()),
+    T.StructField("bias", T.DoubleType()),
+    T.StructField("weights", T.ArrayType(T.DoubleType())),
+])

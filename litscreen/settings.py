@@ -33,6 +33,9 @@ TEST_SHARE = 0.2
 SPLIT_SEED = 42
 ENSEMBLE_SIZE = 4
 TRAINING_BATCH = 6
+EPOCHS = 16
+STEPS_PER_EPOCH = 8
+LEARNING_RATE = 0.05
 SCORING_BATCH = 15
 MAX_TOKENS = 512
 
@@ -40,4 +43,5 @@ MAX_TOKENS = 512
 PAD_ID, UNKNOWN_ID, START_ID, END_ID = 0, 1, 2, 3
 
 # Layout of tables: hash buckets of a new table (or of each of its folders).
-TABLE_BUCKETS = 16
+TABLE_BUCKETS = 8
+INDEX_BUCKETS = 64

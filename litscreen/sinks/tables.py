@@ -112,7 +112,8 @@ def upsert_by_folder(new: DataFrame, path: str, schema: T.StructType, buckets: i
     stored = T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])
     pending = f"{path}/{PENDING}{uuid.uuid4().hex}"
     with Staging() as staging:
-        batch_path = staging.write(latest_per_key(named, KEYS, newest).withColumn("bucket", bucket), "upsert", parts)
+        latest = latest_per_key(named, KEYS, newest).withColumn("bucket", bucket)
+        batch_path = staging.write(latest.hint("rebalance", *parts), "upsert", parts)
         merged = batch = spark.read.schema(stored).parquet(batch_path)
         landed = _same_partitions(spark, path, batch_path, len(parts), stored)
         if landed is not None:

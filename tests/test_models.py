@@ -136,7 +136,7 @@ def test_scoring_job(spark, trained, tmp_path):
     written = tables.read_version(spark, predictions, schemas.PREDICTIONS)
     got = {r.ID: r for r in written.collect()}
     assert got["1"].Abstract == rows[0][0] and abs(got["1"].Predicted_AwT_score - 0.9) < 0.15
-    kept = spark.read.parquet(filtered + "/v=1")
+    kept = tables.read_version(spark, filtered, schemas.FILTERED)
     assert kept.columns == ["ID", *settings.PREDICTED_COLUMNS]
     assert "1" in {r.ID for r in kept.collect()} and "2" not in {r.ID for r in kept.collect()}
 
@@ -151,3 +151,81 @@ def test_saved_heads_and_embeddings(spark, trained):
     for r in by_heads.collect():
         np.testing.assert_allclose(r.ml, r.AwT_score_members, atol=1e-4)
         assert len(r.embedding) == 64
+
+
+def test_sums_give_the_fits_of_the_solver(spark):
+    """Members and targets from one pass, against one fit of Spark ML for each; one feature never varies."""
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from litscreen.operators import gram
+
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(size=(3000, 5)) * [1, 10, 0.1, 3, 1], np.full((3000, 1), 4.0)], axis=1)
+    y = x @ [1, -0.2, 3, 0, 0.5, 0] + rng.normal(size=3000)
+    names = [f"x{i}" for i in range(6)]
+    rows = spark.createDataFrame([(i, *map(float, r), float(t), float(-2 * t + 1)) for i, (r, t) in enumerate(zip(x, y))],
+                                 ["ID", *names, "one", "two"]).repartition(5)
+    rows = VectorAssembler(inputCols=names, outputCol="features").transform(rows)
+    weighted = ensemble.with_bootstrap(rows, "ID", 2).cache()
+    sums = gram.weighted_sums(weighted, "features", [F.col("one"), F.col("two")], [F.col("weight_0"), F.col("weight_1")])
+    for member in range(2):
+        for place, target in enumerate(("one", "two")):
+            weights, bias = sums[member].ridge(place, 0.01)
+            fitted = LinearRegression(labelCol=target, weightCol=f"weight_{member}", regParam=0.01, solver="normal").fit(weighted)
+            np.testing.assert_allclose(weights, fitted.coefficients.toArray(), atol=1e-6)
+            assert abs(bias - fitted.intercept) < 1e-6
+            stage = ensemble.linear_stage(spark, weights, bias, "y")
+            assert abs(stage.transform(weighted).first().y - fitted.transform(weighted).first().prediction) < 1e-6
+            predicted = np.asarray(x @ weights + bias)
+            w = np.array([r[0] for r in weighted.orderBy("ID").select(f"weight_{member}").collect()])
+            truth = y if target == "one" else -2 * y + 1
+            assert abs(sums[member].loss(place, weights, bias) - (w * (predicted - truth) ** 2).sum() / w.sum()) < 1e-8
+
+
+def test_a_target_that_does_not_vary(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from litscreen.operators import gram
+
+    rows = spark.createDataFrame([(Vectors.dense(1.0, 2.0), 3.0), (Vectors.sparse(2, [1], [5.0]), 3.0)], ["v", "y"])
+    (sums,) = gram.weighted_sums(rows, "v", [F.col("y")], [F.lit(1.0)])
+    weights, bias = sums.ridge(0, 0.01)
+    assert weights.tolist() == [0, 0] and bias == 3.0
+    assert gram.weighted_sums(rows.limit(0), "v", [F.col("y")], [F.lit(1.0)]) == []
+
+
+def test_epochs_follow_the_gradient_row_by_row(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from litscreen.operators import order
+
+    rng = np.random.default_rng(2)
+    x, y = rng.normal(size=(50, 3)), rng.normal(size=50)
+    rows = spark.createDataFrame([(str(i), Vectors.dense(r), float(t)) for i, (r, t) in enumerate(zip(x, y))], ["ID", "v", "y"]).repartition(4)
+    found = ensemble.train_epochs(rows, "v", "y", epochs=5, steps=4, rate=0.1).orderBy("epoch").collect()
+    place = {int(r.ID): r.row for r in order.number_rows(rows, "ID", settings.SPLIT_SEED).collect()}
+    w, b = np.zeros(3), 0.0
+    for epoch in range(5):
+        losses = []
+        for k in range(4):
+            some = [i for i in range(50) if place[i] % 4 == k]
+            gap = x[some] @ w + b - y[some]
+            losses.append((gap ** 2).mean())
+            w, b = w - 0.1 * 2 * (gap[:, None] * x[some]).mean(axis=0), b - 0.1 * 2 * gap.mean()
+        r = found[epoch]
+        assert r.epoch == epoch + 1 and abs(r.loss - np.mean(losses)) < 1e-9 and abs(r.bias - b) < 1e-9
+        np.testing.assert_allclose(r.weights, w, atol=1e-9)
+    assert found[-1].loss < found[0].loss
+    assert ensemble.train_epochs(rows.limit(0), "v", "y").count() == 0
+
+
+def test_the_mean_model_scores_like_all_members(spark, trained):
+    training, path, (model, _, _) = trained
+    every = ensemble.averaged(ensemble.outputs(model, training), settings.PREDICTED_COLUMNS, "identity")
+    one = ensemble.scored(model, training)
+    both = every.join(one.select("ID", *[F.col(c).alias(f"one_{c}") for c in settings.PREDICTED_COLUMNS]), "ID").collect()
+    for r in both:
+        for c in settings.PREDICTED_COLUMNS:
+            assert abs(r[c] - r[f"one_{c}"]) < 1e-9
+    assert len(ensemble.mean_model(model, spark).stages) == len(model.stages) - 6

@@ -180,7 +180,7 @@ def test_an_article_rewrites_one_bucket_of_its_folder(spark, tmp_path):
     before = _parts(path)
     sinks.upsert_articles(_batch(spark, ("a", "7", "new", DAY)), str(path))
     folders = {os.path.dirname(name) for name in _parts(path) ^ before}
-    assert len(folders) == 1 and len({os.path.dirname(name) for name in before}) > 20
+    assert len(folders) == 1 and len({os.path.dirname(name) for name in before}) > 10
     got = {(r.query_folder, r.id): r.content for r in tables.read_landed(spark, str(path)).collect()}
     assert len(got) == 400 and got["a", "7"] == b"new" and got["b", "7"] == b"x"
 
