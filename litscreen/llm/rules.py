@@ -194,14 +194,16 @@ def learn(x: dict[str, np.ndarray], bad: np.ndarray, *, precision: float = 0.9,
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = LABELLED_ROWS) -> DataFrame:
-    """Features and ``bad`` of at most ``rows`` labelled documents, by the hash of the ID."""
+    """Features and ``bad`` of at most ``rows`` labelled documents, by the hash of the ID; rows of one ID count once."""
     chosen = (
         labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
         .groupBy("doc_id").agg(F.min(label).alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
-    counted = statistics(texts).join(F.broadcast(chosen), "doc_id")
+    # One row for each ID, whatever the number of its rows: the one of the least counts.
+    one = statistics(texts).groupBy("doc_id").agg(F.min(F.struct(*COUNTS)).alias("least")).select("doc_id", "least.*")
+    counted = one.join(F.broadcast(chosen), "doc_id")
     return counted.select(*[c.alias(n) for n, c in features().items()], (F.col("label") == 0).alias("bad"))
 
 
@@ -237,7 +239,10 @@ def fired(rules: list[Rule]) -> Column:
 
 
 def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Counts, ``base_failed``, ``kept`` and the ``rule`` that rejects, one row for each document."""
+    """Counts, ``base_failed``, ``kept`` and the ``rule`` that rejects, one row for each document.
+
+    A null text has no words and fails the base rules; a row without an ID is judged like any other.
+    """
     return statistics(docs).select(
         "doc_id", *COUNTS, base_failed().alias("base_failed"),
         (~base_failed() & verdict(rules)).alias("kept"), fired(rules).alias("rule"))

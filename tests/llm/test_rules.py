@@ -81,3 +81,9 @@ def test_kept_rows_keep_all_columns(spark, data):
     assert kept.columns == docs.columns
     judged = {r.doc_id for r in rules.judge(docs, found).where("kept").collect()}
     assert {r.doc_id for r in kept.collect()} == judged and 0 < len(judged) < docs.count()
+
+
+def test_an_id_of_many_rows_is_one_row_of_the_fit(spark):
+    docs = spark.range(3000).selectExpr("if(id % 3 = 0, 7L, id) AS doc_id", "concat('text ', id % 5) AS text")
+    labels = spark.createDataFrame([(7, 0), (8, 1)], "doc_id long, quality int")
+    assert rules.labelled(docs, labels).count() == 2
