@@ -3,6 +3,7 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from litscreen.llm import mixing
 from litscreen.llm.queries import SQL, WEIGHTS, op7_poisson_mixing
@@ -43,5 +44,35 @@ def test_odd_input(spark):
     assert mixing.thresholds(0) == [] and mixing.thresholds(900)[-1] < 2**32
     with pytest.raises(ValueError):
         mixing.replicate(docs, {"a": 1.5})
-    with pytest.raises(ValueError):
-        mixing.replicate(docs, {"a": 1.0}, total=10**6)
+
+
+def test_a_rare_source_is_repeated_as_often_as_it_takes(spark):
+    docs = spark.createDataFrame([(0, "rare", "x"), *[(i, "other", "x") for i in range(1, 3000)]], "doc_id long, source string, text string")
+    found = mixing.replicate(docs, {"rare": 0.9}, total=40_000)
+    rare = sorted(r.copy for r in found.where("source = 'rare'").collect())
+    assert rare == list(range(1, len(rare) + 1)) and abs(len(rare) - 36_000) < 6 * 36_000**0.5
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    rows = con.execute(mixing.sql({"rare": 0.5}, ["doc_id", "source", "text"])).fetchall()
+    again = mixing.replicate(docs, {"rare": 0.5}).select("doc_id", "source", "text", "copy")
+    assert sorted(rows) == sorted(map(tuple, again.collect())) and sum(r[1] == "rare" for r in rows) > 1000
+
+
+@pytest.mark.parametrize("doc_id", [None, 5])
+def test_rows_of_one_id_or_none_do_not_meet_in_one_task(spark, doc_id):
+    docs = spark.range(30_000).selectExpr(
+        f"if(id % 3 = 0, cast({'null' if doc_id is None else doc_id} as long), id) AS doc_id", "'a' AS source", "'same' AS text")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        sizes = mixing.replicate(docs, {"a": 1.0}, total=120_000).groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    assert sizes.max() < 2 * sizes.median()
+
+
+def test_rows_without_an_id_are_drawn_apart(spark):
+    docs = spark.range(2000).selectExpr("cast(null as long) AS doc_id", "'a' AS source", "cast(id as string) AS text")
+    assert 1700 < mixing.replicate(docs, {"a": 1.0}).count() < 2300
