@@ -7,7 +7,9 @@ a cell by its distance to the pivot and the radii of the cell; cells are sorted
 the k-th best distance so far, and then only cells whose bound does not exceed it are searched. The sample decides how
 much is searched, never what is found.
 
-Cells with many vectors, as with many copies of one, are searched in parts.
+Cells with many vectors, as with many copies of one, are searched in parts. Vectors too large for bounds in floating
+point are a cell of their own that every query searches, as such queries search every cell. Scores are exact integers
+of any size; one that is no long and belongs to a result is an error.
 """
 
 from __future__ import annotations
@@ -28,7 +30,9 @@ PER_PIVOT, MOST_PIVOTS, RINGS = 1024, 256, 8
 PART = 4096  # vectors of a cell that are searched at once
 FIRST = 3  # cells that a query visits before it has a bound
 BLOCK = 512  # queries that meet a part at once
-LIMIT = 2.0**31  # scaled components must be smaller
+LIMIT = 2.0**31  # vectors with a component of this size or more are no part of the bounds
+APART = -1  # the cell of those
+OWN, BELOW = -(2**63), -(2**63) + 1  # in the place of a score: the query itself, and a score below any long
 
 
 def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
@@ -51,17 +55,24 @@ def _lists(rows: np.ndarray, kind: type) -> pa.Array:
 def scaled(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
     """``vec_id`` and ``v``, the components times 256 rounded down.
 
-    Rows take no part if the ID or the vector is null, or a component is null, not finite, or 2 ** 23 or larger.
+    Rows take no part if the ID or the vector is null, or a component is null or not finite. A component that is finite
+    but not 256 times as large is an error.
     """
 
     def run(batches):
         for batch in batches:
-            x = np.floor(SCALE * _matrix(batch.column(1)))
-            good = np.isfinite(x).all(1) & (np.abs(np.nan_to_num(x)) < LIMIT).all(1)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good)), _lists(x[good], np.int64)], names=["vec_id", "v"])
+            given = _matrix(batch.column(1))
+            good = np.isfinite(given).all(1)
+            with np.errstate(over="raise"):
+                x = np.floor(SCALE * given[good])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(good)), _lists(x, np.float64)], names=["vec_id", "v"])
 
     rows = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(column).alias("v")).dropna()
-    return rows.mapInArrow(run, "vec_id long, v array<long>")
+    return rows.mapInArrow(run, "vec_id long, v array<double>")
+
+
+def _apart(x: np.ndarray) -> np.ndarray:
+    return (np.abs(x) >= LIMIT).any(1)
 
 
 @dataclass
@@ -83,16 +94,23 @@ class Index:
 
     def keys(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Cell and distance from the pivot of each vector."""
-        d = distances(self.widened(x), self.pivots)
+        apart = _apart(x)
+        d = distances(self.widened(np.where(apart[:, None], 0.0, x)), self.pivots)
         pivot = d.argmin(1)
-        distance = d[np.arange(len(x)), pivot]
-        return pivot * RINGS + (distance[:, None] > self.edges[pivot]).sum(1), distance
+        distance = np.where(apart, 0.0, d[np.arange(len(x)), pivot])
+        cell = pivot * RINGS + (distance[:, None] > self.edges[pivot]).sum(1)
+        return np.where(apart, APART, cell), distance
 
     def bounds(self, x: np.ndarray) -> np.ndarray:
         """Least distance that a vector of each cell can have from each query."""
-        d = distances(self.widened(x, query=True), self.pivots)[:, self.cells // RINGS]
+        apart = _apart(x)
+        ordinary = np.where(apart[:, None], 0.0, x)
+        d = distances(self.widened(ordinary, query=True), self.pivots)[:, self.cells // RINGS]
         bound = np.maximum(0.0, np.maximum(d - self.high, self.low - d))
-        return bound * (1 - 1e-9) - 1e-4  # more than rounding can make of it
+        # More than rounding can make of it: squares are off by some units in their last place.
+        length = np.sqrt(self.most + (ordinary * ordinary).sum(1))[:, None]
+        bound = bound * (1 - 1e-9) - 1e-4 - 8 * 2.0**-26 * length
+        return np.where(apart[:, None] | (self.cells == APART), -np.inf, bound)
 
     def first(self, bounds: np.ndarray) -> np.ndarray:
         """Which cells a query visits first."""
@@ -102,8 +120,10 @@ class Index:
         return found
 
     def radius(self, x: np.ndarray, score: np.ndarray) -> np.ndarray:
-        """Distance of vectors with this score."""
-        return np.sqrt(np.maximum(0.0, (x * x).sum(1) + self.most - 2 * score))
+        """Distance of vectors with this score; without one, and for large queries, no bound at all."""
+        known = ~np.isnan(score) & ~_apart(x)
+        x, score = np.where(known[:, None], x, 0.0), np.where(known, score, 0.0)
+        return np.where(known, np.sqrt(np.maximum(0.0, (x * x).sum(1) + self.most - 2 * score)), np.inf)
 
 
 def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -112,10 +132,11 @@ def distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def fit(vectors: DataFrame, rounds: int = 6) -> Index:
     """Pivots by k-means on the sample, and rings that hold about as much of the sample each."""
-    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    row = vectors.agg(F.count("*"), F.max(F.size("v")), F.max(length)).first()
+    length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)
+    ordinary = F.forall("v", lambda x: F.abs(x) < LIMIT)
+    row = vectors.agg(F.count("*"), F.max(F.size("v")), F.max(F.when(ordinary, length))).first()
     n, width, most = row[0], row[1] or 0, row[2] or 0.0
-    rows = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()["v"]
+    rows = vectors.where(ordinary).orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").toPandas()["v"]
     sample = np.zeros((len(rows), width))
     for i, v in enumerate(rows):
         sample[i, :len(v)] = v
@@ -149,7 +170,7 @@ def build(vectors: DataFrame) -> tuple[Index, DataFrame]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cell), pa.array(distance)],
                                              names=["vec_id", "v", "cell", "distance"])
 
-    keyed = materialise(vectors.mapInArrow(run, "vec_id long, v array<long>, cell long, distance double"), "cells")
+    keyed = materialise(vectors.mapInArrow(run, "vec_id long, v array<double>, cell long, distance double"), "cells")
     # At most pivots times rings rows.
     cells = keyed.groupBy("cell").agg(F.min("distance").alias("low"), F.max("distance").alias("high"), F.count("*").alias("n")) \
         .orderBy("cell").toPandas()
@@ -174,9 +195,9 @@ def _visits(queries: DataFrame, index: Index, later: bool) -> DataFrame:
                 bounds = index.bounds(x)
                 wanted = index.first(bounds)
                 if later:
-                    score = np.asarray(part.column(2).cast(pa.float64()).fill_null(np.nan))
-                    reach = np.where(np.isnan(score), np.inf, index.radius(x, np.nan_to_num(score)))
-                    wanted = ~wanted & (bounds <= reach[:, None])
+                    # Rounded down: a lower score only reaches farther.
+                    score = np.nextafter(np.asarray(part.column(2).cast(pa.float64(), safe=False).fill_null(np.nan)), -np.inf)
+                    wanted = ~wanted & (bounds <= index.radius(x, score)[:, None])
                 row, cell = np.nonzero(wanted)
                 parts = index.parts[cell]
                 row, cell = np.repeat(row, parts), np.repeat(cell, parts)
@@ -186,7 +207,24 @@ def _visits(queries: DataFrame, index: Index, later: bool) -> DataFrame:
                     + [pa.array(index.cells[cell].astype(np.int64)), pa.array(number.astype(np.int32))],
                     names=["query_id", "q", "bound", "cell", "part"])
 
-    return queries.mapInArrow(run, "query_id long, q array<long>, bound long, cell long, part int")
+    return queries.mapInArrow(run, "query_id long, q array<double>, bound long, cell long, part int")
+
+
+def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Inner products of rows of whole numbers, exact: as longs, or as Python's numbers where they may be larger."""
+    most = 2.0**31 / max(1, q.shape[1]) ** 0.5
+    large_q, large_v = ((np.abs(x) >= most).any(1) for x in (q, v))
+    found = np.empty((len(q), len(v)), np.int64)
+    few = lambda x: x.astype(np.int64)
+    found[np.ix_(~large_q, ~large_v)] = few(q[~large_q]) @ few(v[~large_v]).T
+    for rows, columns in ((large_q, np.ones(len(v), bool)), (~large_q, large_v)):
+        if rows.any() and columns.any():
+            whole = lambda x: np.array([[int(c) for c in row] for row in x], object).reshape(x.shape)
+            exact = whole(q[rows]) @ whole(v[columns]).T
+            if (exact >= 2**63).any():
+                raise OverflowError("a score is larger than a long")
+            found[np.ix_(rows, columns)] = np.where(exact < -(2**63) + 2, BELOW, exact).astype(np.int64)
+    return found
 
 
 def _search(width: int, k: int):
@@ -196,29 +234,30 @@ def _search(width: int, k: int):
         ids, v = ids[order], _matrix(vectors["v"].combine_chunks(), width)[order]
         found = [[], [], []]
         names = visits["query_id"].to_numpy()
-        bound = visits["bound"].to_numpy()  # the score to reach; missing where there is none yet
-        exact = width * np.abs(v).max(initial=0) ** 2 * PART * 8 < 2**52
+        bound = visits["bound"].combine_chunks().fill_null(OWN).to_numpy()  # the score to reach
+        top = np.abs(v).max(initial=0)
         for at in range(0, len(names) if len(ids) else 0, BLOCK):
             own = names[at:at + BLOCK]
             q = _matrix(as_array(visits["q"].slice(at, BLOCK)), width)
-            exact_now = exact and width * np.abs(q).max(initial=0) ** 2 * PART * 8 < 2**52
-            scores = q @ v.T if exact_now else (q.astype(np.int64) @ v.astype(np.int64).T).astype(np.int64)
+            # Whether sums of products, times what ranks them below, are whole numbers of 52 bits.
+            exact_now = width * top * np.abs(q).max(initial=0) * PART * 8 < 2**52
+            scores = q @ v.T if exact_now else products(q, v)
             own_from, own_to = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
             for row in np.flatnonzero(own_to > own_from):  # all rows of the query itself come last
-                scores[row, own_from[row]:own_to[row]] = -np.inf if exact_now else -(2**63 - 1)
+                scores[row, own_from[row]:own_to[row]] = -np.inf if exact_now else OWN
             n = min(k, len(ids))
             if exact_now:
                 ranked = scores * (2 * len(ids)) - np.arange(len(ids))  # ties to the smaller ID
                 best = np.argpartition(-ranked, n - 1, axis=1)[:, :n]
             else:
-                best = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+                best = np.argsort(~scores, axis=1, kind="stable")[:, :n]  # ~x falls as x rises, without overflow
             rows = np.repeat(np.arange(len(own)), n)
             best = best.ravel()
-            with np.errstate(invalid="ignore"):
-                keep = (own[rows] != ids[best]) & ~(scores[rows, best] < bound[at:at + BLOCK][rows])
+            taken = scores[rows, best]
+            keep = (own[rows] != ids[best]) & ~(taken < bound[at:at + BLOCK][rows])
             found[0].append(own[rows][keep])
             found[1].append(ids[best][keep])
-            found[2].append(scores[rows, best][keep].astype(np.int64))
+            found[2].append(taken[keep].astype(np.int64))
         return pa.table({n: np.concatenate(f) if f else np.zeros(0, np.int64) for n, f in zip(("query_id", "vec_id", "score"), found)})
 
     return lambda key, vectors, visits: run(vectors, visits)
@@ -247,4 +286,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     bound = begun.where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
     bounded = queries.join(bound, "query_id", "left").select("query_id", "q", "bound")
     found = begun.drop("rank").unionByName(search(_visits(bounded, index, True)))
-    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    low = F.raise_error(F.lit("a score is smaller than a long")).cast("long")
+    score = F.when(F.col("score") == BELOW, low).otherwise(F.col("score"))
+    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))

@@ -27,7 +27,7 @@ def small(monkeypatch):
         monkeypatch.setattr(pivots, name, value)
 
 
-@pytest.mark.parametrize("kind", ["scattered", "clusters", "copies", "large"])
+@pytest.mark.parametrize("kind", ["scattered", "clusters", "copies", "large", "very large", "some very large", "a large query"])
 def test_equals_brute_force(spark, small, kind):
     rng = np.random.default_rng(len(kind))
     x = rng.normal(size=(900, 6))
@@ -37,6 +37,12 @@ def test_equals_brute_force(spark, small, kind):
         x[100:600] = x[50]
     if kind == "large":
         x *= 1e5
+    if kind == "very large":
+        x *= 1e6
+    if kind == "some very large":
+        x[[7, 77, 777]] *= 1e9
+    if kind == "a large query":
+        x[100] *= 1e10
     rows = [(int(i), [float(c) for c in v.astype(np.float32)]) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(5)
     found = pivots.top_k(pivots.scaled(df), F.col("vec_id") % 50 == 0)
@@ -83,3 +89,31 @@ def test_query_equals_sql(spark, data):
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{data}/embeddings.parquet'")
     truth = con.execute(SQL["op6_exact_topk"]).fetchall()
     assert sorted(map(tuple, op6_exact_topk(spark, data).collect())) == sorted(truth) and truth
+
+
+def test_large_components_take_part(spark):
+    """Components of 2 ** 23 and more are candidates; scores beyond 53 bits are exact."""
+    rows = [(0, [1.0, 2.0]), (1, [2.0**23, 1.0]), (2, [3.0, 1.0]), (3, [-(2.0**40), 0.5]), (4, [2.0**45, -1.0]), (50, [2.0**12, 2.0**11])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, pivots.top_k(pivots.scaled(df), F.col("vec_id") % 50 == 0, 3).collect()))
+    assert found == brute(rows, 3) and found[0] == (0, 1, 4, found[0][3])
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(c) for c in 8e6 + rng.integers(0, 1000, 2)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = pivots.top_k(pivots.scaled(df), F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, found.collect())) == brute(rows)
+
+
+def test_a_score_that_is_no_long_is_an_error(spark):
+    for rows in ([(0, [1e20]), (1, [1e20])], [(0, [1e20]), (1, [-1e20])]):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="than a long"):
+            pivots.top_k(pivots.scaled(df), F.col("vec_id") % 50 == 0).collect()
+    fine = spark.createDataFrame([(0, [1e20]), (1, [-1e20]), *[(i, [float(i) / 1e10]) for i in range(2, 9)]], "vec_id long, embedding array<double>")
+    assert [r.vec_id for r in pivots.top_k(pivots.scaled(fine), F.col("vec_id") == 0).orderBy("rank").collect()] == [2, 3, 4, 5, 6]
+
+
+def test_products_of_any_size():
+    rng = np.random.default_rng(6)
+    q, v = (np.floor(rng.normal(size=(n, 3)) * 10.0 ** rng.integers(0, 9, (n, 1))) for n in (12, 15))
+    assert pivots.products(q, v).tolist() == [[sum(int(a) * int(b) for a, b in zip(x, y)) for y in v] for x in q]
