@@ -32,7 +32,8 @@ FIRST = 3  # cells that a query visits before it has a bound
 BLOCK = 512  # queries that meet a part at once
 LIMIT = 2.0**31  # vectors with a component of this size or more are no part of the bounds
 APART = -1  # the cell of those
-OWN, BELOW = -(2**63), -(2**63) + 1  # in the place of a score: the query itself, and a score below any long
+# In the place of a score: the query itself, and scores that are no long.
+OWN, BELOW, ABOVE = -(2**63), -(2**63) + 1, 2**63 - 1
 
 
 def _matrix(column: pa.Array, width: int | None = None) -> np.ndarray:
@@ -211,7 +212,10 @@ def _visits(queries: DataFrame, index: Index, later: bool) -> DataFrame:
 
 
 def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Inner products of rows of whole numbers, exact: as longs, or as Python's numbers where they may be larger."""
+    """Inner products of rows of whole numbers, exact, by Python's numbers where they may be larger than a long.
+
+    What is no long becomes ``BELOW`` or ``ABOVE``.
+    """
     most = 2.0**31 / max(1, q.shape[1]) ** 0.5
     large_q, large_v = ((np.abs(x) >= most).any(1) for x in (q, v))
     found = np.empty((len(q), len(v)), np.int64)
@@ -221,9 +225,7 @@ def products(q: np.ndarray, v: np.ndarray) -> np.ndarray:
         if rows.any() and columns.any():
             whole = lambda x: np.array([[int(c) for c in row] for row in x], object).reshape(x.shape)
             exact = whole(q[rows]) @ whole(v[columns]).T
-            if (exact >= 2**63).any():
-                raise OverflowError("a score is larger than a long")
-            found[np.ix_(rows, columns)] = np.where(exact < -(2**63) + 2, BELOW, exact).astype(np.int64)
+            found[np.ix_(rows, columns)] = np.clip(exact, BELOW, ABOVE).astype(np.int64)
     return found
 
 
@@ -286,6 +288,6 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = K) -> DataFrame:
     bound = begun.where(F.col("rank") == k).select("query_id", F.col("score").alias("bound"))
     bounded = queries.join(bound, "query_id", "left").select("query_id", "q", "bound")
     found = begun.drop("rank").unionByName(search(_visits(bounded, index, True)))
-    low = F.raise_error(F.lit("a score is smaller than a long")).cast("long")
-    score = F.when(F.col("score") == BELOW, low).otherwise(F.col("score"))
+    refused = F.raise_error(F.lit("a score is no long")).cast("long")
+    score = F.when(F.col("score").isin(BELOW, ABOVE), refused).otherwise(F.col("score"))
     return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", score.alias("score"))

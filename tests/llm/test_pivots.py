@@ -93,7 +93,7 @@ def test_query_equals_sql(spark, data):
 
 def test_large_components_take_part(spark):
     """Components of 2 ** 23 and more are candidates; scores beyond 53 bits are exact."""
-    rows = [(0, [1.0, 2.0]), (1, [2.0**23, 1.0]), (2, [3.0, 1.0]), (3, [-(2.0**40), 0.5]), (4, [2.0**45, -1.0]), (50, [2.0**12, 2.0**11])]
+    rows = [(0, [1.0, 2.0]), (1, [2.0**23, 1.0]), (2, [3.0, 1.0]), (3, [-(2.0**40), 0.5]), (4, [2.0**45, -1.0]), (50, [2.0, 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     found = sorted(map(tuple, pivots.top_k(pivots.scaled(df), F.col("vec_id") % 50 == 0, 3).collect()))
     assert found == brute(rows, 3) and found[0] == (0, 1, 4, found[0][3])
@@ -107,7 +107,7 @@ def test_large_components_take_part(spark):
 def test_a_score_that_is_no_long_is_an_error(spark):
     for rows in ([(0, [1e20]), (1, [1e20])], [(0, [1e20]), (1, [-1e20])]):
         df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-        with pytest.raises(Exception, match="than a long"):
+        with pytest.raises(Exception, match="no long"):
             pivots.top_k(pivots.scaled(df), F.col("vec_id") % 50 == 0).collect()
     fine = spark.createDataFrame([(0, [1e20]), (1, [-1e20]), *[(i, [float(i) / 1e10]) for i in range(2, 9)]], "vec_id long, embedding array<double>")
     assert [r.vec_id for r in pivots.top_k(pivots.scaled(fine), F.col("vec_id") == 0).orderBy("rank").collect()] == [2, 3, 4, 5, 6]
