@@ -522,13 +522,13 @@ def articles_per_query(spark, d):
 # ---------------------------------------------------------------- tokens
 
 def vocab_topk(spark, d):
-    vocab = encode.vocabulary(_articles(spark, d), "text", VOCABULARY)
+    vocab = encode.vocabulary(_articles(spark, d), "text", VOCABULARY, prune=True)
     return vocab.select("term", "n", F.col("token_id").cast("long").alias("token_id"))
 
 
 def _encoded(spark, d):
     articles = _articles(spark, d)
-    return encode.encode(articles, encode.vocabulary(articles, "text", VOCABULARY), "doc_id", "text")
+    return encode.encode(articles, encode.vocabulary(articles, "text", VOCABULARY), "doc_id", "text", terms=VOCABULARY)
 
 
 def encode_tokens(spark, d):

@@ -6,12 +6,14 @@ nothing twice, because keys already in the table are left out.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from litscreen import schemas
 from litscreen.operators import extract
@@ -57,6 +59,40 @@ def drop_seen(
     return stream.dropDuplicates([key])
 
 
+def first_seen(stream: DataFrame, key: str, order: str, event_time: str, live: str, delay: str = "0 seconds") -> DataFrame:
+    """The first row of each key by ``order``, once for as long as the key is remembered.
+
+    Of the rows of a key in one micro-batch that of the least ``order`` is let through (missing ones come last). The
+    state of a key ends ``live`` after the time of that row, and then the key may come again: the state is bounded by
+    the keys of that time. Time is that of the rows; rows that come later than ``delay`` are left out.
+    """
+    length = int(pd.Timedelta(live).total_seconds() * 1000)
+
+    def first(_, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        until = state.get[0] if state.exists else None
+        least = None
+        for rows in batches:
+            if until is not None:
+                rows = rows[rows[event_time].astype("datetime64[ms]").astype("int64") >= until]
+            rows = rows if least is None else pd.concat([least, rows])
+            least = rows.sort_values(order, kind="stable", na_position="last").head(1)
+        if least is not None and len(least):
+            until = int(least[event_time].astype("datetime64[ms]").astype("int64").iloc[0]) + length
+            yield least
+        if until <= state.getCurrentWatermarkMs():
+            if state.exists:
+                state.remove()
+        else:
+            state.update((until,))
+            state.setTimeoutTimestamp(until)
+
+    timed = stream.withWatermark(event_time, delay).filter(F.col(event_time).isNotNull())
+    return timed.groupBy(key).applyInPandasWithState(first, stream.schema, "until long", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def append_stream(
     stream: DataFrame,
     transform: Callable[[DataFrame], DataFrame],

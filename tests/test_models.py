@@ -80,6 +80,31 @@ def test_vocabulary_and_encoding(spark):
     assert encode.pad(short, 6).first().input_ids == [2, 4, 6, 3, 0, 0]
 
 
+def test_a_vocabulary_beyond_the_bound_gives_the_same_ids(spark):
+    rows = [(1, "b a b. c"), (2, ""), (3, "B " * 600), (4, None), (1, "a"), (None, "c d e f"), (1, "a"), (7, "the " * 40 + "rare")]
+    docs = spark.createDataFrame(rows, "id int, text string").repartition(3)
+    vocab = encode.vocabulary(docs, "text", 4)
+    plain = sorted(map(repr, encode.encode(docs, vocab, "id", "text").collect()))
+    joined = encode.encode(docs, vocab, "id", "text", most_terms=3)
+    assert sorted(map(repr, joined.collect())) == plain and len(plain) == len(rows)
+    assert sorted(map(repr, encode.encode(docs, vocab, "id", "text", terms=5, most_terms=4).collect())) == plain
+    assert sorted(map(repr, encode.encode(docs, vocab, "id", "text", max_tokens=4, most_terms=0).collect())) == \
+        sorted(map(repr, encode.encode(docs, vocab, "id", "text", max_tokens=4).collect()))
+
+
+def test_summaries_leave_out_the_long_tail(spark):
+    """A few frequent terms among very many rare ones; then terms that are all alike, where nothing is certain."""
+    docs = spark.range(20_000).selectExpr("id", "concat('common word', id % 7, ' rare', id, ' x', id % 90) AS text").repartition(4)
+    for size in (1, 5, 40):
+        plain, pruned = (encode.vocabulary(docs, "text", size, prune) for prune in (False, True))
+        assert plain.orderBy("token_id").collect() == pruned.orderBy("token_id").collect()
+    tokens = docs.select(F.explode(F.split("text", " ")).alias("term"))
+    counts = encode.heavy_terms(tokens, 40, 4096)
+    assert counts is not None and 40 <= counts.count() <= 4096 < tokens.distinct().count()
+    flat = spark.range(9000).select(F.concat(F.lit("t"), "id").alias("term"))
+    assert encode.heavy_terms(flat, 40, 1024) is None
+
+
 def test_bootstrap_follows_poisson(spark):
     df = ensemble.with_bootstrap(spark.range(20_000), "id", 2)
     row = df.agg(

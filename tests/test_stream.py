@@ -1,5 +1,6 @@
 import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from litscreen.operators import dedup
@@ -89,6 +90,25 @@ def test_state_drops_seen_keys(spark, tmp_path):
     assert run(ingest.drop_seen(stream, "ID", "at", "1 day"), "bounded") == ["a", "b", "c"]
 
 
+@pytest.mark.parametrize("live, again", [("9 days", ["c"]), ("2 days", ["a", "b", "c"])])
+def test_state_ends_and_outlives_a_restart(spark, tmp_path, live, again):
+    """Runs from the same checkpoint: live keys are known, expired ones come again."""
+    source, target, checkpoint = tmp_path / "rows", str(tmp_path / "out"), str(tmp_path / "state")
+    source.mkdir()
+
+    def run(name, *rows):
+        (source / name).write_text("\n".join('{"ID": "%s", "n": %d, "at": "2024-01-%02d 12:00:00"}' % row for row in rows))
+        stream = spark.readStream.schema("ID string, n int, at timestamp").json(str(source))
+        (ingest.first_seen(stream, "ID", "n", "at", live, "1 hour").writeStream.format("parquet")
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(target).awaitTermination())
+        return sorted((r.ID, r.n) for r in spark.read.parquet(target).collect())
+
+    assert run("1.json", ("a", 3, 1), ("a", 1, 1), ("b", 9, 1), ("b", 8, 2), ("b", 10, 1)) == [("a", 1), ("b", 8)]
+    assert run("2.json", ("d", 1, 5)) == [("a", 1), ("b", 8), ("d", 1)]  # time goes on
+    late = run("3.json", ("a", 30, 6), ("b", 30, 6), ("b", 31, 6), ("c", 30, 6))
+    assert [i for i, n in late if n == 30] == again and len(late) == 3 + len(again)
+
+
 def test_each_landed_page_is_an_article_of_its_own(spark, data, tmp_path):
     """The newest page of each address, as the batch job takes it in."""
     newest = dedup.latest_per_key(queries._raw_articles(spark, data), ["query_folder", "id"], [F.col("fetched_at").desc()])
