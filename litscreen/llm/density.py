@@ -4,7 +4,9 @@ A page is read once into a tree of elements. Each element has its characters, ta
 all of its subtree. Its density is the number of characters for each tag, lowered by what links make of it; the sum
 over its children says how much dense text it holds together. The element with the largest sum is the core; the
 threshold is the lowest density on the path from the body to the core, and the main text is all that reaches it, with
-the headings and paragraphs between; named articles are taken whole. Elements that are never part of an article are left out beforehand.
+the headings and paragraphs between. Where the core lies in an article element, the main text is that element and all
+others that reach the threshold. Elements that are never part of an article are left out beforehand, and so are those
+whose names say so; inside an article, names that may as well be a topic only decide where the text is sparse.
 """
 
 from __future__ import annotations
@@ -42,6 +44,9 @@ NOT_ARTICLE = re.compile(
     r"subscri\w+|popup|modal|overlay|share|sharing|social|related|recommend\w*|widgets?|toolbar|pagination|pager|copyright|"
     r"contentinfo|complementary|navigation|search|login|signup|hidden)(?=$|[\s_-])", re.I)
 
+#: Of these, words that may be a topic as well (related work, market share, side effects).
+TOPIC = re.compile(r"search|related|side|menu\w*|alerts?|reply|replies|respond|share|sharing|social|hidden|recommend\w*|widgets?|login|signup|overlay|modal", re.I)
+
 #: Class words that describe what a wrapper has or lacks; they do not name the wrapper itself.
 LAYOUT = re.compile(r"(?:\S*[_-])?(?:no|has|have|with|without)[_-]\S*|\S*[_-]free", re.I)
 
@@ -58,6 +63,7 @@ class Node:
     dropped: bool = False
     left_out: bool = False  # by element or as hidden
     named: bool = False  # by its name alone
+    hinted: bool = False  # by a name that may be a topic; density decides
     is_article: bool = False  # an article or main element that no name calls something else
     parts: list[Node | str] = field(default_factory=list)
     chars: int = 0
@@ -87,16 +93,23 @@ def _is_left_out(name: str, attributes: str, parent: Node) -> bool:
     return False
 
 
-def _is_named_out(attributes: str, parent: Node) -> bool:
-    """By the words of class, id and role, other than those that describe what a wrapper has or lacks."""
+def _name_says(attributes: str, parent: Node) -> str:
+    """What class, id and role say of an element: "out", "maybe" or nothing.
+
+    Words that describe what a wrapper has or lacks do not count, and inside an article some are no more than a hint.
+    """
+    said = ""
     for m in _attribute.finditer(attributes):
         value = m[2] or m[3] or m[4] or ""
         if m[1].lower() not in ("class", "id", "role"):
             continue
-        word = NOT_ARTICLE.search(" ".join(w for w in value.split() if not LAYOUT.fullmatch(w)))
-        if word and not ("header" in word[0].lower() and _in_article(parent)):
-            return True
-    return False
+        for word in NOT_ARTICLE.finditer(" ".join(w for w in value.split() if not LAYOUT.fullmatch(w))):
+            inside = _in_article(parent)
+            if inside and TOPIC.fullmatch(word[0].strip(" \t\n\r\f_-")):
+                said = "maybe"
+            elif not ("header" in word[0].lower() and inside):
+                return "out"
+    return said
 
 
 def _take_back(root: Node) -> None:
@@ -155,9 +168,10 @@ def parse(page: str) -> Node:
             continue
         at = _make_room(at, name)
         left_out, whole = _is_left_out(name, m[4], at), name in ("html", "body", "article", "main")
-        named = bool(m[4]) and _is_named_out(m[4], at)
-        node = Node(name, at, at.dropped or left_out or named and not whole, left_out, named and not whole,
-                    name in ("article", "main") and not named)
+        said = _name_says(m[4], at) if m[4] else ""
+        named = said == "out" and not whole
+        node = Node(name, at, at.dropped or left_out or named, left_out, named, said == "maybe" and not whole,
+                    name in ("article", "main") and said != "out")
         at.parts.append(node)
         if name in RAW:
             end = _raw_end[name].search(page, place)
@@ -253,9 +267,12 @@ def main_subtree(root: Node) -> Node:
     threshold = min(n.density for n in path)
     # Go up while nothing as sparse as the threshold is met, past boxes that hold no more text, and to the article that
     # the page itself names.
+    for node in inside:
+        if node.hinted and node.density < threshold:
+            node.dropped = True
     named = [i for i, n in enumerate(path) if n.name == "article"] or [i for i, n in enumerate(path) if n.name == "main"]
     if named:
-        return path[named[-1]]
+        return _articles(inside, path[named[-1]], threshold)
     best = core
     for node in path[1:]:
         if node.chars == best.chars or node.density > threshold and node is not body:
@@ -281,6 +298,18 @@ def main_subtree(root: Node) -> Node:
     return body
 
 
+def _articles(inside: list[Node], chosen: Node, threshold: float) -> Node:
+    """The article of the core and those beside it that reach the threshold, in page order, below one node."""
+    kept, held = Node("#articles"), set()
+    for node in inside:  # parents come first
+        if id(node.parent) in held:
+            held.add(id(node))
+        elif node is chosen or node.name == chosen.name and node.is_article and not node.dropped and node.density >= threshold:
+            held.add(id(node))
+            kept.parts.append(node)
+    return kept
+
+
 def blocks(node: Node) -> list[str]:
     """Texts of the blocks below a node, in page order."""
     found: list[str] = []

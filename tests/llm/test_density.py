@@ -1,4 +1,5 @@
 import html
+import random
 import re
 import time
 
@@ -87,3 +88,36 @@ def test_names_of_wrappers_do_not_drop_what_they_hold(name):
         page = f"<body><div {name}><div class='sidebar'>S</div>{inner}<div class=comments><article class=comment>C</article></div></div></body>"
         assert density.main_text(page) == f"T\n\n{LONG}"
     assert density.main_text(f"<body><div class='related'><article>Other</article></div><div><p>{LONG}</p></div></body>") == LONG
+
+
+def test_articles_beside_each_other_stay():
+    parts = [f"<article><h{i}>T{i}</h{i}><p>{LONG} {i}</p></article>" for i in (1, 2)]
+    assert density.main_text(f"<body>{''.join(parts)}</body>") == f"T1\n\n{LONG} 1\n\nT2\n\n{LONG} 2"
+    links = "<article><a href=1>More</a><a href=2>Even more</a><a href=3>Last one</a></article>"
+    assert density.main_text(f"<body><div>{parts[0]}</div>{links}<div>{parts[1]}</div></body>") == f"T1\n\n{LONG} 1\n\nT2\n\n{LONG} 2"
+
+
+@pytest.mark.parametrize("name", ["related-work", "market share", "side-effects", "search", "menu", "alert", "reply", "hidden", "social"])
+def test_topics_inside_an_article_are_text_where_they_are_dense(name):
+    page = f"<body><article><p>{LONG}</p><section class='{name}'><p>{LONG} too</p></section></article></body>"
+    assert density.main_text(page) == f"{LONG}\n\n{LONG} too"
+    sparse = f"<ul class='{name}'><li><a href=1>A</a></li><li><a href=2>B</a></li><li><a href=3>C</a></li></ul>"
+    assert density.main_text(f"<body><article><p>{LONG}</p>{sparse}<p>{LONG}</p></article></body>") == f"{LONG}\n\n{LONG}"
+
+
+MENU = "<div>" + "".join(f"<div><a href={i}>Entry {i}</a></div>" for i in range(8)) + "</div>"
+PLAIN = [
+    f"<body>{MENU}<div>{''.join(f'<p>{LONG} {i}</p>' for i in range(6))}</div><div><a href=1>Terms</a><a href=2>Contact</a></div></body>",
+    f"<body><div>{MENU}<div><h1>T</h1>{''.join(f'<p>{LONG} {i}</p>' for i in range(6))}</div></div>{MENU}</body>",
+    f"<body><table><tr><td>{MENU}</td><td>{''.join(f'<p>{LONG} {i}</p>' for i in range(9))}</td></tr></table></body>",
+]
+TEXTS = ["\n\n".join(f"{LONG} {i}" for i in range(6)), "T\n\n" + "\n\n".join(f"{LONG} {i}" for i in range(6)),
+         "\n\n".join(f"{LONG} {i}" for i in range(9))]
+
+
+def test_menus_and_footers_without_names_are_told_by_density(monkeypatch):
+    assert [density.main_text(p) for p in PLAIN] == TEXTS
+    rng = random.Random(1)
+    monkeypatch.setattr(density, "density", lambda *_: rng.random())
+    wrong = sum(density.main_text(p) != t for p, t in zip(PLAIN * 5, TEXTS * 5))
+    assert wrong > 5
