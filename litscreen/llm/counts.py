@@ -3,11 +3,13 @@
 Distinct pre-tokens of a part of a batch are held as one ragged array of symbols. Each round looks up the rank of
 every adjacent pair, takes the lowest of each sequence, and merges all its places in all sequences at once, from
 left to right where they overlap. A merged pair only makes pairs of higher rank, so this equals merging one by one.
-Sequences without a pair left are done: their surviving symbols are counted.
+Sequences without a pair left are done: their surviving symbols are counted. Very long sequences have as many rounds as
+they have distinct ranks; there, places are kept by rank, and a round looks only at its own and those beside them.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from functools import lru_cache
 
@@ -20,6 +22,7 @@ from litscreen.llm.texts import Texts, by_slices, text_rows
 LIMIT = 1024
 KEPT_COUNTS = 400_000  # counts of strings that a worker keeps at once; the result does not depend on it
 NO_RANK = np.iinfo(np.int64).max
+LONG = 512  # bytes from which on a sequence is merged by itself; the result does not depend on it
 
 
 class Merges:
@@ -42,6 +45,53 @@ class Merges:
 
     def counts(self, sequences: list[bytes]) -> np.ndarray:
         """Symbols that survive in each sequence; an empty sequence has none."""
+        found = np.zeros(len(sequences), np.int64)
+        short = [i for i, s in enumerate(sequences) if len(s) < LONG]
+        found[short] = self._counts([sequences[i] for i in short])
+        for i in set(range(len(sequences))).difference(short):
+            found[i] = self._count_long(sequences[i])
+        return found
+
+    def _count_long(self, sequence: bytes) -> int:
+        """One sequence: the places of each rank are merged at once, then the pairs beside them are ranked anew."""
+        n = len(sequence)
+        symbols = np.append(self.of_byte[np.frombuffer(sequence, np.uint8)], -1)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        alive = np.ones(n, bool)
+        places: dict[int, list[np.ndarray]] = {}
+        waiting: list[int] = []
+
+        def rank(lefts: np.ndarray) -> None:
+            lefts = lefts[after[lefts] < n]
+            ranks = self.rank(symbols[lefts], symbols[after[lefts]])
+            order = np.argsort(ranks, kind="stable")
+            order = order[: np.searchsorted(ranks[order], NO_RANK)]
+            lefts, ranks = lefts[order], ranks[order]
+            cuts = np.flatnonzero(np.diff(ranks)) + 1
+            for some, r in zip(np.split(lefts, cuts), ranks[np.append(0, cuts)].tolist() if len(ranks) else ()):
+                if r not in places:
+                    places[r] = []
+                    heapq.heappush(waiting, r)
+                places[r].append(some)
+
+        rank(np.arange(n - 1))
+        while waiting:
+            lowest = heapq.heappop(waiting)
+            at = np.unique(np.concatenate(places.pop(lowest)))
+            at = at[alive[at] & (after[at] < n)]
+            at = at[self.rank(symbols[at], symbols[after[at]]) == lowest]
+            if not len(at):
+                continue
+            at = at[_every_second(np.concatenate([[True], after[at[:-1]] != at[1:]]))]
+            right = after[at]
+            symbols[at], alive[right], after[at] = self.made[lowest], False, after[right]
+            inner = after[at] < n
+            before[after[at][inner]] = at[inner]
+            beside = before[at]
+            rank(np.unique(np.concatenate([beside[beside >= 0], at])))
+        return int(alive.sum())
+
+    def _counts(self, sequences: list[bytes]) -> np.ndarray:
         lengths = np.fromiter(map(len, sequences), np.int64, len(sequences))
         result = lengths.copy()
         symbols = self.of_byte[np.frombuffer(b"".join(sequences), np.uint8)]
@@ -60,9 +110,7 @@ class Merges:
             hit = (rank == least) & (least < NO_RANK)
             # Of overlapping places (x x x), every second counts, from the first of the run on.
             at = np.flatnonzero(hit)
-            begins = np.concatenate([[True], np.diff(at) > 1])
-            place = np.arange(len(at)) - np.repeat(np.flatnonzero(begins), np.diff(np.append(np.flatnonzero(begins), len(at))))
-            at = at[place % 2 == 0]
+            at = at[_every_second(np.concatenate([[True], np.diff(at) > 1]))]
             symbols[at] = self.made[rank[at]]
             keep = np.repeat(going, sizes)
             keep[at + 1] = False
@@ -70,6 +118,12 @@ class Merges:
         return result
 
 
+def _every_second(begins: np.ndarray) -> np.ndarray:
+    """The first, third .. place of each run, where runs begin as marked."""
+    first = np.flatnonzero(begins)
+    return (np.arange(len(begins)) - np.repeat(first, np.diff(np.append(first, len(begins))))) % 2 == 0
+
+
 # A space beside other white space, or white space at an end: the text is split as a whole, else at its spaces.
 _odd_space = re.compile(r" \s|\s |^\s|\s$")
 

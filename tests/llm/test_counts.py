@@ -1,3 +1,5 @@
+import time
+import random
 import unicodedata
 
 import public_tokenizers
@@ -44,3 +46,16 @@ def test_query_on_whole_table(spark, data, library):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
     rows = op3_token_counts(spark, data).collect()
     assert {r.doc_id: r.n_tokens for r in rows} == {i: truth(library, t) for i, t in texts.items()} and len(rows) == len(texts)
+
+
+def test_long_words_are_merged_in_seconds():
+    """Random letters, runs of one letter and of two, far beyond the length from which on a word is merged by itself."""
+    rng = random.Random(9)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in (511, 512, 513, 5000, 128_000)]
+    texts += ["a" * 30_000, "ab" * 7000 + "a", "é" * 999, "".join(rng.choice("aeé") for _ in range(20_000)), "x" * 511 + " " + "x" * 512]
+    start = time.time()
+    found = counts.counter(path).count(texts)
+    assert time.time() - start < 30
+    assert found == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
