@@ -29,10 +29,14 @@ NAMES = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _assign = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _access = re.compile(r"AKIA[A-Z0-9]+")
 _hex = re.compile(r"[0-9a-f]+")
-_jwt = re.compile(r"(?<![A-Za-z0-9_-])ey[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_pem = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----([A-Za-z0-9+/=\s]+)-----END \1PRIVATE KEY-----")
+# A header in JSON begins, as base64, with the letter of a brace or of white space before it.
+_jwt = re.compile(r"(?<![A-Za-z0-9_-])([eCID][A-Za-z0-9_-]{7,}+)\.([A-Za-z0-9_-]*+)\.([A-Za-z0-9_-]*+)(?:\.([A-Za-z0-9_-]*)\.([A-Za-z0-9_-]+))?")
+_pem = re.compile(r"-----BEGIN ([A-Z0-9 ]*)PRIVATE KEY-----((?:(?!-----).)+)-----END \1PRIVATE KEY-----", re.S)
+_line_end = re.compile(r"\r\n|[\r\n]|(?:\\r)?\\n|\\r")
+_header_line = re.compile(r"[A-Za-z0-9-]+:|[ \t]+\S")
+_wrapped = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}+(?:(?:\r?\n|(?:\\r)?\\n)[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
 _encoded = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-_hex_key = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
+_hex_key = re.compile(r"[0-9A-Fa-f]{48,}")
 
 _bytes = np.arange(256)
 IS_HEX = np.isin(_bytes, list(b"0123456789abcdef"))
@@ -134,23 +138,68 @@ def base_spans(text: str) -> list[Span]:
     return found + [(m.start(), 2, m.end()) for m in _hex.finditer(text) if len(m[0]) >= 24]
 
 
+def _is_token(m: re.Match) -> int:
+    """Where a signed or encrypted token ends, if it is one; else 0."""
+    header = _json_object(m[1])
+    if header is None or not isinstance(header.get("alg"), str):
+        return 0
+    if m[5] and isinstance(header.get("enc"), str):  # header, key, start vector, data, tag
+        return m.end()
+    return m.end(3) if _json_object(m[2]) is not None else 0
+
+
+def _is_armoured(body: str) -> bool:
+    """The lines between BEGIN and END; line ends may be escaped. Header lines, as of an encrypted key, come first."""
+    lines = _line_end.split(body)
+    at = next((i for i, line in enumerate(lines) if line.strip()), len(lines))
+    headers = []
+    while at < len(lines) and _header_line.match(lines[at]) and (headers or ":" in lines[at]):
+        headers.append(lines[at])
+        at += 1
+    data = decode64("".join("".join(lines[at:]).split()))
+    if data is None:
+        return False
+    if any(h.startswith("Proc-Type:") and "ENCRYPTED" in h for h in headers):  # whole blocks of a cipher
+        return any(h.startswith("DEK-Info:") for h in headers) and len(data) >= 32 and len(data) % 8 == 0
+    return is_private_key(data)
+
+
+def _wrapped_keys(m: re.Match) -> int:
+    """Where a key that is wrapped over lines ends, if it is one; a word on the line behind it may be no part of it."""
+    parts = _line_end.split(m[0])
+    text = "".join(p.strip() for p in parts)
+    data = decode64(text)
+    if data is not None and is_private_key(data):
+        return m.end()
+    data = decode64(text[: len(text) - len(parts[-1].strip())]) if len(parts) > 2 else None
+    if data is not None and is_private_key(data):
+        return m.start() + list(_line_end.finditer(m[0]))[-1].start()
+    return 0
+
+
 def confirmed_spans(text: str) -> list[Span]:
     found = []
     for m in _jwt.finditer(text):
-        header, payload, _ = m[0].split(".")
-        if isinstance((_json_object(header) or {}).get("alg"), str) and _json_object(payload) is not None:
-            found.append((m.start(), 3, m.end()))
+        end = _is_token(m)
+        if end:
+            found.append((m.start(), 3, end))
     for m in _pem.finditer(text):
-        data = decode64("".join(m[2].split()))
-        if data is not None and is_private_key(data):
+        if _is_armoured(m[2]):
             found.append((m.start(), 4, m.end()))
     for m in _encoded.finditer(text):
         data = decode64(m[0])
         if data is not None and is_private_key(data):
             found.append((m.start(), 5, m.end()))
+    armoured = [(start, end) for start, kind, end in found if kind == 4]
+    for m in _wrapped.finditer(text):
+        end = _wrapped_keys(m)
+        if end and not any(a <= m.start() < b for a, b in armoured):
+            found.append((m.start(), 5, end))
     for m in _hex_key.finditer(text):
-        if is_private_key(bytes.fromhex(m[0])):
-            found.append((m.start(), 5, m.end()))
+        for start in (m.start(), m.start() + 1):  # a hex digit may stand before the key, or behind it
+            digits = text[start:m.end() - (m.end() - start) % 2]
+            if is_private_key(bytes.fromhex(digits)):
+                found.append((start, 5, start + len(digits)))
     return found
 
 
@@ -183,7 +232,7 @@ def _found(texts: Texts) -> dict[int, tuple[str, list[Span]]]:
     found = {}
     for i, raw in enumerate(texts.bytes()):
         lower = raw.lower()
-        if candidates[i] or b"AKIA" in raw or b"ey" in raw and b"." in raw and _jwt_like(raw) \
+        if candidates[i] or b"AKIA" in raw or b"." in raw and _jwt_like(raw) \
                 or b"-----BEGIN" in raw or any(name in lower for name in NAMES):
             text = raw.decode()
             some = spans(text)

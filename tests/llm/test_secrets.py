@@ -3,9 +3,12 @@ import hashlib
 import json
 import re
 
+import pyarrow as pa
+import pytest
 from odd import ODD
 
 from litscreen.llm import secrets
+from litscreen.llm.texts import Texts
 
 
 def b64(data, url=False):
@@ -98,3 +101,43 @@ def test_query_on_whole_table(spark, data):
     assert len(rows) == len(texts)
     for r in rows:
         check(r, texts[r.doc_id])
+
+
+def _lines(data, width=64, end="\n"):
+    text = b64(data)
+    return end.join(text[i:i + width] for i in range(0, len(text), width))
+
+
+def _token(header, *parts):
+    return ".".join([b64(header, True), *[b64(p, True) for p in parts]])
+
+
+ARMOUR = "-----BEGIN RSA PRIVATE KEY-----{0}-----END RSA PRIVATE KEY-----"
+STRUCTURES = {
+    "escaped line ends": ("pem", '{"key": "', ARMOUR.format("\\n" + _lines(PKCS1, end="\\n") + "\\n"), '\\n"}'),
+    "header lines": ("pem", "x\n", ARMOUR.format("\nComment: mine\n\n" + _lines(PKCS1) + "\n"), "\ny"),
+    "encrypted": ("pem", "", ARMOUR.format("\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n" + _lines(NUMBER[:96]) + "\n"), ""),
+    "wrapped": ("key", "key:\n", _lines(PKCS1), "\n"),
+    "wrapped and a word behind it": ("key", "", _lines(PKCS8).rstrip("="), "\nword of prose"),
+    "wrapped, escaped": ("key", "'", _lines(SSH, end="\\n"), "'"),
+    "header with a line feed": ("jwt", "t ", _token(b'\n{"alg": "HS256"}', b'{"sub": 1}', NUMBER[:32]), "."),
+    "header with a line feed inside": ("jwt", "", _token(b'{\n "alg": "HS256"}', b'{"sub": 1}', NUMBER[:32]), " end."),
+    "five parts": ("jwt", "(", _token(b'{"alg": "dir", "enc": "A128GCM"}', b"", NUMBER[:12], NUMBER[:50], NUMBER[:16]), ")"),
+    "a hex digit before it": ("key", " a", PKCS8.hex(), " "),
+    "a hex digit behind it": ("key", " ", SEC1.hex().upper(), "F "),
+}
+
+
+@pytest.mark.parametrize("name", STRUCTURES)
+def test_structures(name):
+    kind, before, secret, after = STRUCTURES[name]
+    found = {(secrets.KINDS[k], a, b) for a, k, b in secrets.spans(before + secret + after) if k >= 3}
+    assert found == {(kind, len(before), len(before) + len(secret))}
+    assert secrets._found(Texts(pa.array([before + secret + after]))) != {}
+
+
+def test_what_only_looks_like_it():
+    for text in (ARMOUR.format("\n" + _lines(NUMBER) + "\n"), ARMOUR.format("\nComment: x\n\nno key at all\n"), _lines(PUBLIC), "Entire.sentence.here",
+                 _token(b'{"alg": "dir"}', b"", NUMBER[:12], NUMBER[:50], NUMBER[:16]), "-----BEGIN PRIVATE KEY-----" * 2000, "-" * 50_000,
+                 ("A" * 64 + "\n") * 2000, "I" * 9 + ".a" * 20_000):
+        assert [s for s in secrets.spans(text) if s[1] >= 3] == [], text[:80]
