@@ -292,6 +292,14 @@ SQL = {
         FROM plan FULL JOIN state ON query_id = user_id""",
     "select_articles": f"""WITH {_STANDING_FOUND}, {_TOP_50.format(order='doc_id::VARCHAR')}
         SELECT query_id AS query_folder, doc_id::VARCHAR AS id, md5(text) AS content_md5 FROM top JOIN documents USING (doc_id)""",
+    "select_incremental": f"""WITH {_STANDING_FOUND},
+        state(query_id, last_fetch) AS (VALUES ('q1', DATE '2024-01-20'), ('q2', DATE '2024-01-10'), ('q4', DATE '2024-01-30'), ('q5', DATE '2024-02-10')),
+        top AS (
+          SELECT query_id, doc_id FROM found JOIN events ON event_id = doc_id LEFT JOIN state USING (query_id)
+          WHERE last_fetch IS NULL OR last_fetch <> DATE '2024-01-30' AND ts::DATE BETWEEN last_fetch AND DATE '2024-01-30'
+          QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY ts::DATE DESC, doc_id::VARCHAR) <= 50)
+        SELECT 'landed' AS kind, query_id AS query_folder, doc_id::VARCHAR AS id, md5(text) AS value FROM top JOIN documents USING (doc_id)
+        UNION ALL SELECT 'state', 'q' || i, '', '2024-01-30' FROM range(1, 6) r(i)""",
     "noise_scores": f"""WITH {_NOISED}
         SELECT doc_id, "AwT_score", "SoE_score", round("randomized_AwT_score", 9) AS "randomized_AwT_score",
                round("randomized_SoE_score", 9) AS "randomized_SoE_score" FROM noised""",

@@ -417,8 +417,8 @@ def run_state_advance(spark, d):
     return after.select("query_id", F.date_format("last_fetch", "yyyy-MM-dd").alias("last_fetch"))
 
 
-def select_articles(spark, d):
-    """The whole selection job: plan, search, newest 50, landing and run state."""
+def _selection(spark, d, state, **options):
+    """Run the selection job over the documents; gives the landed articles."""
     documents = _dated(spark, d, _articles(spark, d)).select(
         F.col("doc_id").cast("string").alias("id"), F.col("text").alias("abstract"),
         F.col("text").alias("content"), "pub_date",
@@ -426,14 +426,32 @@ def select_articles(spark, d):
     queries = spark.createDataFrame(
         [(name, str(clauses), name) for name, clauses in STANDING_QUERIES.items()], schemas.QUERIES
     )
-    landing, state = shared_folder(spark, "landing"), shared_folder(spark, "state")
-    jobs.select_articles(
-        spark, documents, queries, _standing_terms(spark), landing, state, CURRENT, first_run=True
-    )
+    landing = shared_folder(spark, "landing")
+    jobs.select_articles(spark, documents, queries, _standing_terms(spark), landing, state, CURRENT, **options)
     landed = spark.read.schema(schemas.ARTICLES_RAW).parquet(landing)
     return landed.select("query_folder", "id", F.md5("content").alias("content_md5"))
 
 
+def select_articles(spark, d):
+    """The whole selection job: plan, search, newest 50, landing and run state."""
+    return _selection(spark, d, shared_folder(spark, "state"), first_run=True)
+
+
+# What a run finds: two queries seen some days ago, one today, one by a clock that was ahead; q3 is new.
+SEEN = {"q1": datetime.date(2024, 1, 20), "q2": datetime.date(2024, 1, 10), "q4": CURRENT, "q5": datetime.date(2024, 2, 10)}
+
+
+def select_incremental(spark, d):
+    """The selection job with a stored state: full, incremental and skipped queries; what it lands, and the state after it."""
+    state = shared_folder(spark, "state")
+    sinks.commit_run_state(spark.createDataFrame(list(SEEN.items()), schemas.RUN_STATE), state)
+    landed = _selection(spark, d, state).select(F.lit("landed").alias("kind"), "query_folder", "id", F.col("content_md5").alias("value"))
+    after = tables.read_run_state(spark, state).select(
+        F.lit("state").alias("kind"), F.col("query_id").alias("query_folder"), F.lit("").alias("id"),
+        F.date_format("last_fetch", "yyyy-MM-dd").alias("value"))
+    return landed.unionByName(after)
+
+
 # ---------------------------------------------------------------- training data
 
 def _labels(spark, d):
@@ -644,7 +662,7 @@ ALL = [
     abstract_table, landed_files, decode_rejects, body_table, csv_round_trip, query_list, union_batches, dedup_first, append_new, upsert_latest,
     boolean_search_top50, search_many, phrase_search, newest_articles, date_range,
     run_gate, query_plan,
-    incremental_select, run_state_advance, select_articles, noise_scores, split_test,
+    incremental_select, run_state_advance, select_articles, select_incremental, noise_scores, split_test,
     split_train, rest_after_split, training_order, bootstrap_weights, compare_table,
     mse_by_target, batch_loss, missing_counts, train_join, articles_per_query,
     vocab_topk, encode_tokens, encode_padded, text_embedding, linear_fit, training_epochs, ml_ensemble, ml_score,

@@ -62,6 +62,20 @@ def test_matches_equal_brute_force(spark, case, broadcast_rows):
     assert (1002, "long") in _brute(docs, terms)
 
 
+def test_an_index_finds_the_same(spark, case, tmp_path):
+    docs, terms = case
+    articles = spark.createDataFrame(docs, "id int, text string").repartition(3)
+    given = spark.createDataFrame(terms, schemas.QUERY_TERMS)
+    index = str(tmp_path / "index")
+    search.build_index(articles, "id", {"Abstract": "text"}, index, buckets=7)
+    got = search.matches(articles, given, "id", {"Abstract": "text"}, index=index)
+    assert sorted(map(tuple, got.collect())) == sorted(_brute(docs, terms))
+    one = search.prepare_terms(given.filter("query_id = 'odd'"), ["Abstract"])
+    read = search._indexed_words(spark, index, one)
+    assert len(read.inputFiles()) > 0 and "PartitionFilters: [isnotnull(bucket" in read._jdf.queryExecution().executedPlan().toString() or \
+        "PartitionFilters: [bucket" in read._jdf.queryExecution().executedPlan().toString()
+
+
 def test_fields_are_searched_apart(spark):
     articles = spark.createDataFrame([(1, "gene", "duct"), (2, "duct", "gene")], "id int, title string, text string")
     terms = spark.createDataFrame(
