@@ -43,3 +43,29 @@ def test_stages_against_brute_force(spark, data):
 def test_whole_run(spark, data):
     rows = corpus_pipeline.run(spark, data)
     assert rows.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_tokens", "ids"] and rows.count() > 50
+
+
+def _folder(spark, tmp_path, docs, labels):
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long, made string, copy int").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int, kept int").write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def test_empty_tables(spark, tmp_path):
+    assert corpus_pipeline.run(spark, _folder(spark, tmp_path, [], [])).count() == 0
+
+
+def test_odd_documents_as_a_whole(spark, tmp_path):
+    """Null and repeated IDs, null, empty and long texts, equal rows, columns of clashing names, contradicting labels."""
+    prose = " ".join(f"word{i}" for i in range(40))
+    docs = [(None, None, None, None, None, None, None), (None, "", "en", "src0", 0, "m", 1), (1, prose, "en", "src1", 9, "m", 1),
+            (1, prose, "en", "src1", 9, "m", 1), (1, prose.upper() + " else entirely", "en", None, 9, "m", 2),
+            (None, prose[::-1], "de", "src0", 9, None, 3), (2, "x" * 200_000 + " " + prose, "en", "src2", 9, "m", 4),
+            (3, " ".join(f"other{i}" for i in range(50)) + " token = abcdef0123456789", None, "src3", 9, "m", 5)]
+    folder = _folder(spark, tmp_path, docs, [(1, 0, 0, 1), (1, 1, 0, 1), (None, 0, 0, 0), (3, None, None, None)])
+    rows = corpus_pipeline.run(spark, folder).collect()
+    texts = {r.text for r in rows}
+    assert rows and texts <= {prose, prose[::-1], prose.upper() + " else entirely", docs[6][1],
+                              docs[7][1].replace("token = abcdef0123456789", "[SECRET]")}
+    assert all(r.n_tokens == len(r.ids) for r in rows)
