@@ -103,3 +103,15 @@ def test_each_component_keeps_a_row_whatever_the_ids(spark):
     found = sorted((r.text or "", r.doc_id) for r in vantage.one_of_each(docs).collect())
     assert [t for t, _ in found] == sorted([one, two, three, four, ""])
     assert dict(found[1:]) == {one: None, two: None, three: 3, four: 7}
+
+
+def test_components_over_several_shards(spark, data, monkeypatch):
+    """Boundary bands, trees of shards and components together: the table dealt to many shards gives the same."""
+    monkeypatch.setattr(vantage, "SHARD", 16)
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    rows = vantage.near_duplicates(docs).collect()
+    given = docs.select("doc_id", "text").collect()
+    fps = {r.doc_id: brute_fingerprint(r.text) for r in given}
+    want = brute_components([(i, fp) for i, fp in fps.items()])
+    assert {r.component_id for r in rows} == set(want) and len(rows) == len(given)
+    assert len({r.component_id for r in rows}) < len(rows)
