@@ -147,8 +147,10 @@ _python_only_space = regex.compile(r"[\x1c-\x1f]")
 class Codec:
     """Encodes whole texts and decodes ids; keeps the ids of words met before, up to a limit."""
 
-    def __init__(self, vocab: vocabulary.Vocabulary):
+    def __init__(self, path: str):
+        vocab = vocabulary.load(path)
         self.vocab, self.automaton, self.known, self.pieces = vocab, Automaton(vocab), {}, {}
+        self.later = vocabulary.Later(path)
         self.symbols = vocabulary.byte_symbols()
         labels = {i: s for s, i in [*vocab.ids.items(), *vocab.special.items()]}
         self.labels = np.array([labels.get(i, "") for i in range(max(labels) + 1)], object)
@@ -158,9 +160,9 @@ class Codec:
         if word.isascii():
             pieces = vocabulary.WORD_PATTERN.findall(word.lower())
         else:
-            word = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower()
+            word = unicodedata.normalize("NFC", word).replace("Σ", "σ").lower().translate(self.later.lower)
             pieces = ["".join([self.symbols[b] for b in p.encode()]) if not p.isascii() else p
-                      for p in vocabulary.split(vocabulary.WORD_PATTERN, word)]
+                      for p in vocabulary.split(vocabulary.WORD_PATTERN, word, self.later.classes)]
         return b"".join([self.pieces.get(p) or self._piece(p) for p in pieces])
 
     def _piece(self, piece: str) -> bytes:
@@ -198,7 +200,7 @@ class Codec:
 
 @lru_cache(2)
 def codec(path: str) -> Codec:
-    return Codec(vocabulary.load(path))
+    return Codec(path)
 
 
 def _columns(path: str, texts: Texts, decode: bool) -> dict:

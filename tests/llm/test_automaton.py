@@ -4,6 +4,7 @@ import unicodedata
 
 import public_tokenizers
 import pytest
+import regex
 from hypothesis import given, settings, strategies as st
 from odd import ODD
 from tokenizers import Tokenizer
@@ -51,6 +52,17 @@ def test_every_character(library):
     assert not wrong
 
 
+def test_characters_unknown_to_python(library):
+    """Letters, digits and folds of later versions of Unicode, and every 41st code point of no version."""
+    unknown = [chr(c) for c in range(0x34000) if unicodedata.category(chr(c)) == "Cn"]
+    later = [c for c in unknown if regex.match(r"\P{Cn}", c)]
+    assert len(later) > 1000
+    own = automaton.codec(PATH)
+    for c in later + unknown[::41]:
+        text = f"a{c}b {c}c{c} 1{c}!{c}{c}é"
+        assert own.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids, hex(ord(c))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet="aabcdehilnorst'1.! éΣ", max_size=60))
 def test_any_text(text):
