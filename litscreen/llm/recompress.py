@@ -6,11 +6,13 @@ of what they stand for, so they are the same in all tasks, and a name depends on
 two equal substrings the same symbols arise, apart from a few words at the ends. A round only takes names of up to a
 number of words, which bounds how many words it can spoil at an end: ``LOSS`` for all rounds.
 
-So two equal windows of ``WINDOW`` words share a symbol boundary among their first ``LOSS`` words, and the phrase that
-follows it still lies inside both. Phrases that stand behind boundaries twice or more reveal long repeats. Only
-windows around them are verified, by 96 bits of hashes of all their words, and the first occurrence of each is kept.
+So two equal windows of ``WINDOW`` words share a symbol boundary among their first ``LOSS`` words and one among their
+last, and all symbols between the two. The symbols behind a boundary, as many as fit into ``INSIDE`` words, are named
+once more: such names that occur twice or more reveal long repeats. Only windows around them are verified, by 96 bits of
+a name of the whole window: its symbols from the first boundary behind ``LOSS`` words to the last one before the last
+``LOSS``, which all equal windows share, and the single words on both sides. The first occurrence of each is kept.
 
-Texts are dealt into groups by the hash of their ID. Groups send names in one array for each bucket of hashes, each
+Texts are dealt into groups by the hash of ID and text. Groups send names in one array for each bucket of hashes, each
 name once, so that no passage is ever gathered in one task however often it occurs; what comes back is one bit for
 each name sent. Texts are shuffled once, and arrays are bounded by the size of a group and of a bucket.
 """
@@ -29,9 +31,9 @@ from litscreen.llm.texts import BASE, SLICE_BYTES, Texts, Words, mix, powers, sl
 
 WINDOW = 20
 RUN = 2  # words of a run that is named; of a longer run a window does not see the ends
-CAPS = (1, 2, 4)  # longest symbols, in words, that the rounds of pairs take
+CAPS = (1, 2)  # longest symbols, in words, that the rounds of pairs take
 LOSS = RUN + sum(CAPS)
-PHRASE = WINDOW - LOSS
+INSIDE = WINDOW - 2 * LOSS  # words of a window whose symbols do not depend on what stands around it, at least
 SECOND_BASE = 0xD6E8FEB86659FD93
 GROUP_BYTES = 8 << 20  # text that a group is meant to have
 NO_ID = 2**63 - 1  # missing IDs come last
@@ -40,8 +42,11 @@ KEY_BITS = np.uint64((1 << 48) - 1)  # of a phrase; a wrong match only costs a v
 
 # ---------------------------------------------------------------- parse of one group
 
-def boundaries(names: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Words at which the symbols of the parse begin. ``text`` tells texts apart; no symbol reaches over its end."""
+def parse(names: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words at which the symbols of the parse begin, and the names of the symbols.
+
+    ``text`` tells texts apart; no symbol reaches over its end.
+    """
     names, first = names.copy(), np.arange(len(names))
     span = np.ones(len(names), np.int64)
 
@@ -64,7 +69,19 @@ def boundaries(names: np.ndarray, text: np.ndarray) -> np.ndarray:
         left = taken & ~right
         right &= taken
         merge(left[:-1] & right[1:] & (text[1:] == text[:-1]))
-    return first
+    return first, names
+
+
+class Sums:
+    """Hashes of stretches of a sequence of names, from the sums of its beginnings."""
+
+    def __init__(self, names: np.ndarray, base: int):
+        n = len(names)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(names * powers(base, n)[:n])])
+        self.back = powers(pow(base, -1, 2**64), n)
+
+    def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.sums[end] - self.sums[begin]) * self.back[begin])
 
 
 class Group:
@@ -88,20 +105,18 @@ class Group:
         self.text = np.repeat(np.arange(len(self.counts)), self.counts)
         self.end = np.repeat(np.cumsum(self.counts), self.counts)  # of the text of each word
 
-    def hashes(self, at: np.ndarray, size: int, base: int = BASE) -> np.ndarray:
-        """Of the ``size`` words from each place on."""
-        n = len(self.names)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(self.names * powers(base, n)[:n])])
-        return mix((sums[at + size] - sums[at]) * powers(pow(base, -1, 2**64), n)[at])
+        self.first, self.symbols = parse(self.names, self.text)
+        self.borders = np.append(self.first, len(self.names))
 
     def phrases(self) -> tuple[np.ndarray, np.ndarray]:
-        """Boundaries with a whole phrase behind them, and its hash."""
-        at = boundaries(self.names, self.text)
-        at = at[at + PHRASE <= self.end[at]] if len(at) else at
-        return at, self.hashes(at, PHRASE) & KEY_BITS
+        """Boundaries with ``INSIDE`` words behind them, and the name of the symbols that lie in these words."""
+        begin = np.flatnonzero(self.first + INSIDE <= self.end[self.first]) if len(self.first) else self.first
+        at = self.first[begin]
+        end = np.searchsorted(self.borders, at + INSIDE, "right") - 1
+        return at, Sums(self.symbols, BASE)(begin, end) & KEY_BITS
 
     def around(self, at: np.ndarray) -> np.ndarray:
-        """Begins of the windows that hold the phrase behind one of these boundaries."""
+        """Begins of the windows that may share the symbols behind one of these boundaries."""
         change = np.zeros(len(self.names) + 1, np.int64)
         begin = self.end[at] - self.counts[self.text[at]]
         np.add.at(change, np.maximum(at - LOSS, begin), 1)
@@ -109,10 +124,18 @@ class Group:
         wanted = np.cumsum(change)[:-1] > 0
         return np.flatnonzero(wanted & (np.arange(len(self.names)) + WINDOW <= self.end))
 
+    def _names(self, at: np.ndarray, base: int) -> np.ndarray:
+        """Of whole windows: words before the first boundary that all equal ones share, symbols, words behind the last."""
+        begin = np.searchsorted(self.borders, at + LOSS)
+        end = np.searchsorted(self.borders, at + WINDOW - LOSS, "right") - 1
+        words, symbols = Sums(self.names, base), Sums(self.symbols, base)
+        head, tail = words(at, self.borders[begin]), words(self.borders[end], at + WINDOW)
+        return mix(mix(head * np.uint64(3) + symbols(begin, end)) * np.uint64(3) + tail)
+
     def windows(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Two hashes of each window, and whether it is the first of its kind in the group."""
-        name = self.hashes(at, WINDOW)
-        check = (self.hashes(at, WINDOW, SECOND_BASE) >> np.uint64(32)).astype(np.uint32)
+        """Two names of each window, and whether it is the first of its kind in the group."""
+        name = self._names(at, BASE)
+        check = (self._names(at, SECOND_BASE) >> np.uint64(32)).astype(np.uint32)
         order = np.lexsort((check, name))  # stable: equal windows stay in the order of places
         again = np.zeros(len(at), bool)
         again[order[1:]] = (name[order[1:]] == name[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
@@ -251,13 +274,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     A word goes if a window over it has the words of a window that begins earlier: in a text of a smaller ID, or
     before it in the same text. A null text has no words. Rows without an ID come last; rows with the same ID come in
-    the order of their texts, so of two equal rows one keeps its words. One row for each row.
+    an order of their texts that is fixed, by hash first, so of two equal rows one keeps its words. Rows of one ID are
+    dealt out by their texts, so only rows that are equal in both are held together. One row for each row.
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     groups = max(1, math.ceil(size / GROUP_BYTES))
     buckets = max(1, groups // 2)
-    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
-    texts = text_rows(docs, "doc_id").withColumn("grp", F.pmod(spread, F.lit(groups))).repartition("grp")
+    spread = F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups))
+    texts = text_rows(docs, "doc_id").withColumn("grp", spread).repartition("grp")
     by_group = texts.groupBy("grp")
     shared = (
         by_group.applyInArrow(_send_phrases(buckets), "bucket long, grp long, names binary")

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from odd import ODD
 
@@ -58,23 +59,47 @@ def test_equals_brute_force(spark, small_groups, seed):
 
 
 @pytest.mark.parametrize("words", [2, 5, 300])
-def test_equal_windows_share_a_boundary(words):
-    """Whatever stands around two equal windows, a boundary among their first words has the phrase inside both."""
+def test_equal_windows_share_symbols(words):
+    """Whatever stands around two equal windows, they share the symbols that reveal them, and have one name."""
     rng = np.random.default_rng(words)
-    names = recompress.mix(np.arange(words, dtype=np.uint64))
+    vocabulary = [f"w{i}" for i in range(words)]
     for _ in range(400):
-        window = rng.choice(names, 20)
+        window = rng.choice(vocabulary, 20).tolist()
         if rng.random() < 0.3:
-            window = np.resize(rng.choice(names, rng.integers(1, 4)), 20)
-        places = []
+            window = np.resize(rng.choice(vocabulary, rng.integers(1, 4)), 20).tolist()
+        revealed, named = [], []
         for _ in range(2):
-            before, after = rng.choice(names, rng.integers(0, 12)), rng.choice(names, rng.integers(0, 12))
+            before, after = (rng.choice(vocabulary, rng.integers(0, 12)).tolist() for _ in range(2))
             if rng.random() < 0.5:
-                before, after = np.resize(window, 20)[-len(before):] if len(before) else before, window[: len(after)]
-            whole = np.concatenate([before, window, after])
-            first = recompress.boundaries(whole, np.zeros(len(whole), np.int64)) - len(before)
-            places.append({int(b) for b in first if 0 <= b <= recompress.LOSS})
-        assert places[0] & places[1]
+                before, after = window[len(window) - len(before):], window[:len(after)]
+            group = recompress.Group(pa.table({"doc_id": [1], "text": [" ".join(before + window + after)]}))
+            at, phrase = group.phrases()
+            near = (at >= len(before)) & (at <= len(before) + recompress.LOSS)
+            revealed.append({(int(a) - len(before), int(p)) for a, p in zip(at[near], phrase[near])})
+            named.append([int(x[0]) for x in group.windows(np.array([len(before)]))[:2]])
+        assert revealed[0] & revealed[1]
+        assert named[0] == named[1]
+
+
+def test_symbols_name_what_they_hold():
+    """Symbols with the same name stand for the same words, and are up to four words long."""
+    rng = np.random.default_rng(1)
+    words = rng.choice(recompress.mix(np.arange(1, 5, dtype=np.uint64)), 4000)
+    first, names = recompress.parse(words, np.repeat(np.arange(40), 100))
+    held = {}
+    for name, begin, end in zip(names.tolist(), first, np.append(first[1:], len(words))):
+        assert held.setdefault(name, words[begin:end].tolist()) == words[begin:end].tolist()
+    assert {len(h) for h in held.values()} == {1, 2, 3, 4} and set(range(0, 4000, 100)) <= set(first.tolist())
+
+
+def test_hot_id_is_dealt_out(spark, small_groups):
+    """Rows of one ID, or none, are spread over groups; of each passage one occurrence stays."""
+    passage = " ".join(f"p{i}" for i in range(25))
+    rows = [(i % 2 or None, f"{passage} q{i} r{i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = recompress.remove_repeats(docs).collect()
+    assert sorted(r.n_removed for r in found) == [0] + [25] * 199
+    assert [r.doc_id for r in found if not r.n_removed] == [1]
 
 
 def test_odd_texts(spark, small_groups):
