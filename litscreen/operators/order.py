@@ -28,8 +28,12 @@ def _parts(hashed: DataFrame) -> DataFrame:
     return counts.select("_part", "_rows", (until - F.col("_rows")).alias("_before"))
 
 
-def _hashed(df: DataFrame, id_col: str, seed: int) -> DataFrame:
-    hashed = df.withColumn("_hash", order_hash(id_col, seed))
+def _hashed(df: DataFrame, id_col: str, seed: int, by_row: bool = False) -> DataFrame:
+    found = order_hash(id_col, seed)
+    if by_row:
+        whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+        found = F.when(F.col(id_col).isNull(), F.md5(F.concat(whole, F.lit(f":{seed}")))).otherwise(found)
+    hashed = df.withColumn("_hash", found)
     return hashed.withColumn("_part", F.substring("_hash", 1, _PREFIX_DIGITS))
 
 
@@ -69,8 +73,12 @@ def split(
 
 
 def number_rows(df: DataFrame, id_col: str, seed: int, name: str = "row") -> DataFrame:
-    """Number all rows from 0 in shuffled order, without gaps."""
-    hashed = _hashed(df, id_col, seed)
+    """Number all rows from 0 in shuffled order, without gaps.
+
+    Rows without an ID are ordered by the hash of all their columns, so they do not meet in one part, and each gets
+    the same number in every run; only rows that are equal in all columns may change places.
+    """
+    hashed = _hashed(df, id_col, seed, by_row=True)
     before = _parts(hashed.select("_part")).select("_part", "_before")
     place = Window.partitionBy("_part").orderBy("_hash", id_col)
     numbered = hashed.join(F.broadcast(before), "_part")  # at most 16 ** 4 rows

@@ -72,3 +72,18 @@ def test_missing_ids_are_numbered_and_split_too(spark):
     for seed in range(6):
         train, test = order.split(df, "ID", 0.4, seed)
         assert train.count() + test.count() == 4 and test.select("ID").distinct().count() == 2
+
+
+def test_rows_without_an_id_are_dealt_out(spark):
+    rows = [(None, f"t{i}", [float(i)]) for i in range(400)] + [(f"k{i}", None, None) for i in range(100)]
+    df = spark.createDataFrame(rows, "ID string, `a.b` string, v array<double>")
+
+    def numbers(parts):
+        found = order.number_rows(df.repartition(parts), "ID", 42).collect()
+        return {(r.ID, r["a.b"]): r.row for r in found}
+
+    first = numbers(3)
+    assert sorted(first.values()) == list(range(500)) and numbers(7) == first
+    missing = sorted(n for (i, _), n in first.items() if i is None)
+    assert missing[-1] - missing[0] > 450  # not one stretch, as rows of one hash would be
+    assert order._hashed(df, "ID", 42, by_row=True).select("_part").distinct().count() > 450
